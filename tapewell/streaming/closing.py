@@ -1,0 +1,81 @@
+"""Second step of the streamed windows: the state of one symbol and source.
+
+Kept per key: its clock (the newest event time seen) and the sums of the windows
+that are still open. A window closes when a later record of the same key moves
+its clock to the window's end plus grace; a quiet key's window stays open.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+CLOSED_SCHEMA = (
+    "kind string, symbol string, source string, window_size string, start_ms long, "
+    "end_ms long, a double, b double, n long, event_ms long"
+)
+WINDOW = "window"
+LATE = "late"
+
+
+class PerKeyTumbling(StatefulProcessor):
+    """Merges block sums in order of arrival, closing windows between blocks."""
+
+    def __init__(self, sizes: dict[str, int], grace_ms: int) -> None:
+        self.width = {label: seconds * 1000 for label, seconds in sizes.items()}
+        self.grace_ms = grace_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.clock = handle.getValueState("clock", "ms long")
+        self.open = handle.getMapState(
+            "open", "window_size string, start_ms long", "a double, b double, n long"
+        )
+
+    def _end(self, window: tuple[str, int]) -> int:
+        return window[1] + self.width[window[0]]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        partials = pd.concat(list(rows), ignore_index=True)
+        clock = self.clock.get()[0] if self.clock.exists() else None
+        windows = {(k[0], k[1]): (v[0], v[1], v[2]) for k, v in self.open.iterator()}
+        stored = dict(windows)
+        out: list[tuple] = []
+        for _, block in partials.groupby("block", sort=True):
+            for row in block.itertuples(index=False):
+                window = (row.window_size, int(row.start_ms))
+                end = self._end(window)
+                shut = clock is not None and clock >= end + self.grace_ms
+                missed = [*row.late, *row.on_time] if shut else row.late
+                out += [(LATE, *window, end, None, None, None, int(t)) for t in missed]
+                if not shut and len(row.on_time):
+                    a, b, n = windows.get(window, (0.0, 0.0, 0))
+                    windows[window] = (a + row.a, b + row.b, n + int(row.n))
+            newest = int(block["newest_ms"].max())
+            clock = newest if clock is None else max(clock, newest)
+            done = [w for w in windows if clock >= self._end(w) + self.grace_ms]
+            for window in sorted(done, key=lambda w: (w[1], w[0])):
+                a, b, n = windows.pop(window)
+                out.append((WINDOW, *window, self._end(window), a, b, n, None))
+        self._save(clock, windows, stored)
+        if out:
+            frame = pd.DataFrame(
+                out,
+                columns=["kind", "window_size", "start_ms", "end_ms", "a", "b", "n", "event_ms"],
+            )
+            frame.insert(1, "symbol", key[0])
+            frame.insert(2, "source", key[1])
+            frame = frame.astype({"n": "Int64", "event_ms": "Int64"})
+            yield frame.astype({"a": "float64", "b": "float64"})
+
+    def _save(self, clock: int, windows: dict, stored: dict) -> None:
+        self.clock.update((clock,))
+        for window in stored.keys() - windows.keys():
+            self.open.removeKey(window)
+        for window, sums in windows.items():
+            if stored.get(window) != sums:
+                self.open.updateValue(window, sums)
+
+    def close(self) -> None:
+        pass

@@ -1,0 +1,76 @@
+"""First step of the streamed windows: sums per block of consecutive arrivals.
+
+Inside a block it is known which records come too late for a window that the
+block itself closed. What a block cannot know is how far the clock of a symbol
+had come before it, but all its records in one window share that fate. So a block
+can be summed up per window before anything is known of the others.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+
+PARTIAL_SCHEMA = (
+    "symbol string, source string, block long, newest_ms long, window_size string, "
+    "start_ms long, a double, b double, n long, on_time array<long>, late array<long>"
+)
+
+KEYS = ["symbol", "source"]
+BEFORE_ANYTHING = np.iinfo(np.int64).min
+
+
+def _prior_max(keys: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Largest earlier time with the same key, rows being in order of arrival."""
+    running = pd.Series(times).groupby(keys).cummax()
+    prior = running.groupby(keys).shift(1, fill_value=BEFORE_ANYTHING)
+    return prior.to_numpy()
+
+
+def block_partials(
+    sizes: dict[str, int], grace_ms: int
+) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Function from the rows of one block to one row per (symbol, source, size, window)."""
+
+    def summarize(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("arrival_seq", kind="stable").reset_index(drop=True)
+        keys = rows.groupby(KEYS, sort=False).ngroup().to_numpy()
+        times = rows["event_ms"].to_numpy()
+        prior = _prior_max(keys, times)
+        newest = pd.Series(times).groupby(keys).transform("max").to_numpy()
+        values = rows[["a", "b", "n"]].to_numpy(dtype="float64")
+        parts = []
+        for label, seconds in sizes.items():
+            width = seconds * 1000
+            start = times - times % width
+            late = prior >= start + width + grace_ms
+            order = np.lexsort((start, keys))  # stable, so arrivals stay in order
+            k, s = keys[order], start[order]
+            cuts = np.flatnonzero((np.diff(k) != 0) | (np.diff(s) != 0)) + 1
+            first = np.concatenate(([0], cuts))
+            head = order[first]
+            kept = np.where(late[order, None], 0.0, values[order])
+            sums = np.add.reduceat(kept, first, axis=0)
+            groups = np.split(order, cuts)
+            parts.append(
+                pd.DataFrame(
+                    {
+                        "symbol": rows["symbol"].to_numpy()[head],
+                        "source": rows["source"].to_numpy()[head],
+                        "block": rows["block"].to_numpy()[head],
+                        "newest_ms": newest[head],
+                        "window_size": label,
+                        "start_ms": start[head],
+                        "a": sums[:, 0],
+                        "b": sums[:, 1],
+                        "n": sums[:, 2].astype("int64"),
+                        "on_time": [times[g[~late[g]]] for g in groups],
+                        "late": [times[g[late[g]]] for g in groups],
+                    }
+                )
+            )
+        return pd.concat(parts, ignore_index=True)
+
+    return summarize

@@ -39,9 +39,11 @@ SYMBOLS = DEFAULT_SYMBOLS
 GOLD_BUILT_AT = "2024-02-01 00:00:00"
 GRACE = 5
 
-# Metrics are compared to this many decimals. Prices have two decimals and sizes are whole
-# numbers, so ratios that end exactly halfway between two results are rarest here.
+# Metrics are compared to this many decimals. Averages of two-decimal prices often end exactly
+# halfway between two of them, where the last bit of a sum would decide; both sides therefore
+# move values off the halfway points by the same hair before rounding.
 DIGITS = 9
+HAIR = 1e-11
 
 _ADAPTER = """
 SELECT 'coinbase' AS exchange,
@@ -103,7 +105,7 @@ def result(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     for field in df.schema:
         column = F.col(field.name)
         if isinstance(field.dataType, T.DoubleType):
-            column = F.round(column, digits)
+            column = F.round(column + F.lit(HAIR), digits)
         elif isinstance(field.dataType, T.TimestampType):
             column = column.cast("timestamp_ntz")
         columns.append(column.alias(field.name))
@@ -123,6 +125,21 @@ SYMBOL_LIST = ", ".join(f"'{s}'" for s in SYMBOLS)
 _SIZE_ROWS = ", ".join(f"('{label}', {secs})" for label, secs in SIZES.items())
 START = "make_timestamp((epoch_us(ts_event) // (secs * 1000000)) * (secs * 1000000))"
 
+_CLOCK_WINDOWS = """
+SELECT symbol, source, window_size, window_start, window_end,
+  CASE WHEN sum(CASE WHEN tr THEN size END) > 0
+    THEN sum(CASE WHEN tr THEN price * size END) / sum(CASE WHEN tr THEN size END) END AS vwap,
+  coalesce(sum(CASE WHEN tr THEN size END), 0) AS trade_volume,
+  count(CASE WHEN tr THEN 1 END) AS trade_count,
+  avg(CASE WHEN qu THEN best_ask - best_bid END) AS avg_spread,
+  avg(CASE WHEN qu THEN (best_ask + best_bid) / 2.0 END) AS avg_mid,
+  count(CASE WHEN qu THEN 1 END) AS ticker_count,
+  count(CASE WHEN tr OR qu THEN 1 END) AS event_count
+FROM (SELECT *, event_type = 'trade' AND price IS NOT NULL AND size IS NOT NULL AS tr,
+        event_type = 'ticker' AND best_bid IS NOT NULL AND best_ask IS NOT NULL AS qu
+      FROM late_flags WHERE {kept})
+GROUP BY ALL"""
+
 CTES = {
     "market_events": _ADAPTER.format(
         string="VARCHAR", json="json_extract_string(props, '$.k')", table="events"
@@ -179,20 +196,8 @@ SELECT c.*, window_size, {START} AS window_start,
   {START} + to_seconds(secs) AS window_end,
   coalesce(prior_max >= {START} + to_seconds(secs + {GRACE}), false) AS late
 FROM clocked c, sizes""",
-    "clock_windows": """
-SELECT symbol, source, window_size, window_start, window_end,
-  CASE WHEN sum(CASE WHEN tr THEN size END) > 0
-    THEN sum(CASE WHEN tr THEN price * size END) / sum(CASE WHEN tr THEN size END) END AS vwap,
-  coalesce(sum(CASE WHEN tr THEN size END), 0) AS trade_volume,
-  count(CASE WHEN tr THEN 1 END) AS trade_count,
-  avg(CASE WHEN qu THEN best_ask - best_bid END) AS avg_spread,
-  avg(CASE WHEN qu THEN (best_ask + best_bid) / 2.0 END) AS avg_mid,
-  count(CASE WHEN qu THEN 1 END) AS ticker_count,
-  count(CASE WHEN tr OR qu THEN 1 END) AS event_count
-FROM (SELECT *, event_type = 'trade' AND price IS NOT NULL AND size IS NOT NULL AS tr,
-        event_type = 'ticker' AND best_bid IS NOT NULL AND best_ask IS NOT NULL AS qu
-      FROM late_flags WHERE NOT late)
-GROUP BY ALL""",
+    "clock_windows": _CLOCK_WINDOWS.format(kept="NOT late"),
+    "all_clock_windows": _CLOCK_WINDOWS.format(kept="true"),
     "closed_by_clock": f"""
 SELECT w.* FROM clock_windows w
 JOIN (SELECT symbol, source, max(ts_event) AS watermark FROM clocked GROUP BY ALL)
@@ -213,7 +218,7 @@ def with_ctes(*names: str, select: str) -> str:
 
 
 def rounded(*columns: str, digits: int = DIGITS) -> str:
-    return ", ".join(f"round({c}, {digits}) AS {c}" for c in columns)
+    return ", ".join(f"round({c} + {HAIR}, {digits}) AS {c}" for c in columns)
 
 
 GOLD_SELECT = (

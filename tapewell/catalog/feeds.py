@@ -354,15 +354,15 @@ _TRADE_OK = "event_type = 'trade' AND price > 0 AND size >= 0"
 _QUOTE_OK = "event_type = 'ticker' AND best_bid >= 0 AND best_ask >= 0 AND best_ask >= best_bid"
 
 _TRADE_ROW = (
-    "exchange, symbol, event_type, round(price, 9) AS price, round(size, 9) AS size, side, "
+    "exchange, symbol, event_type, round(price + 1e-11, 9) AS price, round(size + 1e-11, 9) AS size, side, "
     "{trade_id} AS trade_id, CAST(NULL AS DOUBLE) AS best_bid, CAST(NULL AS DOUBLE) AS best_ask, "
     "CAST(NULL AS DOUBLE) AS best_bid_size, CAST(NULL AS DOUBLE) AS best_ask_size, {ts} AS ts_event"
 )
 _QUOTE_ROW = (
     "{exchange} AS exchange, symbol, event_type, CAST(NULL AS DOUBLE) AS price, "
     "CAST(NULL AS DOUBLE) AS size, CAST(NULL AS VARCHAR) AS side, "
-    "CAST(NULL AS VARCHAR) AS trade_id, round(best_bid, 9) AS best_bid, "
-    "round(best_ask, 9) AS best_ask, CAST({bid_size} AS DOUBLE) AS best_bid_size, "
+    "CAST(NULL AS VARCHAR) AS trade_id, round(best_bid + 1e-11, 9) AS best_bid, "
+    "round(best_ask + 1e-11, 9) AS best_ask, CAST({bid_size} AS DOUBLE) AS best_bid_size, "
     "CAST(NULL AS DOUBLE) AS best_ask_size, {ts} AS ts_event"
 )
 
@@ -410,8 +410,8 @@ FROM market_events WHERE {_BAD_TRADE} AND NOT (price IS NULL AND event_id % 3 =
 UNION ALL SELECT 'binance_us', event_id, {_QUOTE_REASON} FROM market_events WHERE {_BAD_QUOTE}"""
 
 _EVENTS = (
-    "exchange, symbol, event_type, round(price, 9) AS price, round(size, 9) AS size, side, "
-    "trade_id, round(best_bid, 9) AS best_bid, round(best_ask, 9) AS best_ask, "
+    "exchange, symbol, event_type, round(price + 1e-11, 9) AS price, round(size + 1e-11, 9) AS size, side, "
+    "trade_id, round(best_bid + 1e-11, 9) AS best_bid, round(best_ask + 1e-11, 9) AS best_ask, "
     "best_bid_size, best_ask_size, ts_event, ts_ingest"
 )
 
@@ -530,8 +530,8 @@ FROM (SELECT symbol, count(*) AS n, count(*) FILTER (event_type = 'trade') AS tr
     "spread_mid": Query(
         _spread_mid,
         _from_events(
-            "SELECT event_id, round(best_ask - best_bid, 9) AS spread, "
-            "round((best_ask + best_bid) / 2.0, 9) AS mid FROM market_events"
+            "SELECT event_id, round(best_ask - best_bid + 1e-11, 9) AS spread, "
+            "round((best_ask + best_bid) / 2.0 + 1e-11, 9) AS mid FROM market_events"
         ),
     ),
     "parse_ts": Query(

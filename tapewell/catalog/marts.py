@@ -162,16 +162,16 @@ MART_QUERIES: dict[str, Query] = {
         _silver_trades,
         with_ctes(
             "silver_trades",
-            select="SELECT exchange, symbol, trade_id, round(price, 9) AS price, "
-            "round(size, 9) AS size, side, ts_event, ts_ingest FROM silver_trades",
+            select="SELECT exchange, symbol, trade_id, round(price + 1e-11, 9) AS price, "
+            "round(size + 1e-11, 9) AS size, side, ts_event, ts_ingest FROM silver_trades",
         ),
     ),
     "silver_trades_filter": Query(
         _silver_trades_filter,
         with_ctes(
             "market_events",
-            select="SELECT event_id, symbol, trade_id, round(price, 9) AS price, "
-            "round(size, 9) AS size, ts_event FROM market_events WHERE event_type = 'trade' "
+            select="SELECT event_id, symbol, trade_id, round(price + 1e-11, 9) AS price, "
+            "round(size + 1e-11, 9) AS size, ts_event FROM market_events WHERE event_type = 'trade' "
             "AND price > 0 AND size >= 0 AND trade_id IS NOT NULL",
         ),
     ),
@@ -179,7 +179,7 @@ MART_QUERIES: dict[str, Query] = {
         _dedup_trades,
         with_ctes(
             "market_events",
-            select="SELECT symbol, trade_id, round(price, 9) AS price, round(size, 9) AS size, "
+            select="SELECT symbol, trade_id, round(price + 1e-11, 9) AS price, round(size + 1e-11, 9) AS size, "
             "side, event_id FROM (SELECT *, row_number() OVER (PARTITION BY symbol, trade_id "
             "ORDER BY ts_event, ts_ingest, price, size, exchange, side) AS rn FROM market_events "
             "WHERE event_type = 'trade' AND price > 0 AND size >= 0 AND trade_id IS NOT NULL) "
@@ -313,9 +313,9 @@ MART_QUERIES: dict[str, Query] = {
         lambda spark, sf: result(analytics.vwap_moving_average(gold(spark, sf))),
         with_ctes(
             "gold",
-            select="SELECT symbol, window_start, round(vwap, 9) AS vwap, round(avg(vwap) OVER "
+            select="SELECT symbol, window_start, round(vwap + 1e-11, 9) AS vwap, round(avg(vwap) OVER "
             "(PARTITION BY symbol ORDER BY window_start ROWS BETWEEN 2 PRECEDING AND CURRENT "
-            "ROW), 9) AS vwap_ma3, round(trade_volume, 9) AS trade_volume, trade_count FROM gold "
+            "ROW) + 1e-11, 9) AS vwap_ma3, round(trade_volume + 1e-11, 9) AS trade_volume, trade_count FROM gold "
             "WHERE window_size = '1m' AND trade_count > 0",
         ),
     ),
@@ -323,7 +323,7 @@ MART_QUERIES: dict[str, Query] = {
         lambda spark, sf: result(analytics.symbol_summary(gold(spark, sf))),
         with_ctes(
             "gold",
-            select="SELECT symbol, count(*) AS windows, round(sum(trade_volume), 9) AS "
+            select="SELECT symbol, count(*) AS windows, round(sum(trade_volume) + 1e-11, 9) AS "
             "total_volume, round(avg(avg_spread), 6) AS mean_spread FROM gold "
             "WHERE window_size = '1m' GROUP BY symbol",
         ),
@@ -349,7 +349,7 @@ MART_QUERIES: dict[str, Query] = {
         lambda spark, sf: result(analytics.spread_series(gold(spark, sf))),
         with_ctes(
             "gold",
-            select="SELECT symbol, window_start, round(avg_spread, 9) AS avg_spread FROM gold "
+            select="SELECT symbol, window_start, round(avg_spread + 1e-11, 9) AS avg_spread FROM gold "
             "WHERE window_size = '1m' AND ticker_count > 0",
         ),
     ),

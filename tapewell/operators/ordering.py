@@ -3,9 +3,15 @@
 Whether a record is late depends on everything that arrived before it for the
 same key. A plain running maximum would put all rows of a key into one task, and
 one symbol can hold a third of all rows. So rows are cut into blocks of
-consecutive arrivals: a block holds at most ``block_rows`` rows, the maximum of
-each block is a small table, its running maximum is what a block starts from, and
-the rest is worked out inside the block. Rows are shuffled once, by (key, block).
+consecutive arrivals by ranges of the arrival number: the maximum of each block is
+a small table, its running maximum is what a block starts from, and the rest is
+worked out inside the block. Rows are shuffled once, by (key, block).
+
+A block spans ``block_span`` arrival numbers. The default fits both numberings
+made here: it is 8,192 messages for events numbered by message and position, and
+one task's share of the sort for :func:`with_arrival_seq`. Numbers without gaps
+(the offsets of one Kafka partition, say) want a span of as many rows as a task
+should sort.
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ from tapewell.operators.windows import (
 from tapewell.schemas import ARRIVAL
 from tapewell.session import stage
 
-BLOCK_ROWS = 1 << 18
+BLOCK_SPAN = 1 << 33
 DEFAULT_GRACE_SECONDS = 5
 
 
@@ -41,13 +47,13 @@ def with_arrival_seq(df: DataFrame, order_by: list[str]) -> DataFrame:
 
 
 def with_prior_max(
-    df: DataFrame, keys: list[str], value: str = "ts_event", block_rows: int = BLOCK_ROWS
+    df: DataFrame, keys: list[str], value: str = "ts_event", block_span: int = BLOCK_SPAN
 ) -> DataFrame:
     """Add ``prior_max``: the largest ``value`` among earlier arrivals with the same keys.
 
     Needs :data:`ARRIVAL`, a number that is unique and increasing by arrival.
     """
-    blocks = df.withColumn("_block", F.expr(f"{ARRIVAL} div {int(block_rows)}"))
+    blocks = df.withColumn("_block", F.expr(f"{ARRIVAL} div {int(block_span)}"))
     tops = blocks.groupBy(*keys, "_block").agg(F.max(value).alias("_top"))
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = tops.select(*keys, "_block", F.max("_top").over(before).alias("_carried"))
@@ -63,7 +69,7 @@ def with_prior_max(
 
 
 def flag_out_of_order(
-    events: DataFrame, by: str = "symbol", block_rows: int = BLOCK_ROWS
+    events: DataFrame, by: str = "symbol", block_span: int = BLOCK_SPAN
 ) -> DataFrame:
     """Add ``out_of_order``: the event is older than one that arrived earlier for its symbol.
 
@@ -71,15 +77,15 @@ def flag_out_of_order(
     no order to break and are left out.
     """
     keyed = events.where(F.col(by).isNotNull())
-    prior = with_prior_max(keyed, [by], "ts_event", block_rows)
+    prior = with_prior_max(keyed, [by], "ts_event", block_span)
     late = F.coalesce(F.col("ts_event") < F.col("prior_max"), F.lit(False))
     return prior.withColumn("out_of_order", late).drop("prior_max")
 
 
-def count_out_of_order(events: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def count_out_of_order(events: DataFrame, block_span: int = BLOCK_SPAN) -> DataFrame:
     """One row with the number of out-of-order events over all symbols."""
     narrow = events.select("symbol", "ts_event", ARRIVAL)
-    flagged = flag_out_of_order(narrow, "symbol", block_rows)
+    flagged = flag_out_of_order(narrow, "symbol", block_span)
     return flagged.agg(F.count_if("out_of_order").alias("out_of_order"))
 
 
@@ -88,12 +94,12 @@ def event_time_ms(ts: Column) -> Column:
     return F.date_trunc("MILLISECOND", ts)
 
 
-def with_closing_clock(events: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def with_closing_clock(events: DataFrame, block_span: int = BLOCK_SPAN) -> DataFrame:
     """Add ``source`` and ``prior_max``, the clock of (symbol, source) before each event."""
     clocked = events.withColumn("source", source_of(F.col("event_type"))).withColumn(
         "ts_event", event_time_ms(F.col("ts_event"))
     )
-    return with_prior_max(clocked, ["symbol", "source"], "ts_event", block_rows)
+    return with_prior_max(clocked, ["symbol", "source"], "ts_event", block_span)
 
 
 def _is_late(window_end: Column, grace_seconds: int) -> Column:
@@ -105,7 +111,7 @@ def late_flags(
     events: DataFrame,
     sizes: dict[str, int] = WINDOW_SIZES,
     grace_seconds: int = DEFAULT_GRACE_SECONDS,
-    block_rows: int = BLOCK_ROWS,
+    block_span: int = BLOCK_SPAN,
 ) -> DataFrame:
     """Each event once per window size, with ``late``: its window had already closed.
 
@@ -113,7 +119,7 @@ def late_flags(
     Late events are below the clock they are judged by, so letting them take part
     in the running maximum changes nothing.
     """
-    sized = with_window_sizes(with_closing_clock(events, block_rows), sizes)
+    sized = with_window_sizes(with_closing_clock(events, block_span), sizes)
     return sized.withColumn("late", _is_late(F.col("window_end"), grace_seconds)).drop("prior_max")
 
 
@@ -121,10 +127,10 @@ def late_records(
     events: DataFrame,
     sizes: dict[str, int] = WINDOW_SIZES,
     grace_seconds: int = DEFAULT_GRACE_SECONDS,
-    block_rows: int = BLOCK_ROWS,
+    block_span: int = BLOCK_SPAN,
 ) -> DataFrame:
     """Late events only, with the bounds of the window they missed."""
-    flagged = late_flags(events, sizes, grace_seconds, block_rows)
+    flagged = late_flags(events, sizes, grace_seconds, block_span)
     return flagged.where("late").select(
         "symbol",
         "source",
@@ -139,14 +145,14 @@ def closed_windows_by_clock(
     events: DataFrame,
     sizes: dict[str, int] = WINDOW_SIZES,
     grace_seconds: int = DEFAULT_GRACE_SECONDS,
-    block_rows: int = BLOCK_ROWS,
+    block_span: int = BLOCK_SPAN,
 ) -> DataFrame:
     """Batch definition of the streamed windows: closed by their own clock, late events left out.
 
     The newest event of a key is never late, so the clocks come from the same small
     table of window sums that they are then compared with.
     """
-    kept = late_flags(events, sizes, grace_seconds, block_rows).where(~F.col("late"))
+    kept = late_flags(events, sizes, grace_seconds, block_span).where(~F.col("late"))
     keys = ("symbol", "source", "window_size", "window_start", "window_end")
     sums = (
         event_terms(kept, keys[1:])

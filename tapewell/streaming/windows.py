@@ -19,23 +19,20 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tapewell.functions.windows import WINDOW_SIZES
-from tapewell.operators.ordering import DEFAULT_GRACE_SECONDS, event_time_ms
+from tapewell.operators.ordering import BLOCK_SPAN, DEFAULT_GRACE_SECONDS, event_time_ms
 from tapewell.operators.windows import EVENT_SUMS, event_terms, metrics_of_sums, source_of
 from tapewell.schemas import ARRIVAL, LATE_SCHEMA, WINDOW_SCHEMA
 from tapewell.session import ensure_session
 from tapewell.streaming.closing import CLOSED_SCHEMA, LATE, WINDOW, PerKeyTumbling
 from tapewell.streaming.partials import PARTIAL_SCHEMA, block_partials
 
-# Rows of one block are handled as one pandas frame.
-STREAM_BLOCK_ROWS = 1 << 16
-
 
 def with_event_time(events: DataFrame) -> DataFrame:
     """Event time is ``ts_event`` cut to whole milliseconds, whatever the broker says."""
     return events.withColumn("ts_event", event_time_ms(F.col("ts_event")))
 
 
-def _narrow(events: DataFrame, block_rows: int) -> DataFrame:
+def _narrow(events: DataFrame, block_span: int) -> DataFrame:
     """The few columns the windows are made from; ``a`` and ``b`` mean different things
     by source: price times size and size for trades, spread and mid for quotes."""
     terms = event_terms(
@@ -46,7 +43,7 @@ def _narrow(events: DataFrame, block_rows: int) -> DataFrame:
         "symbol",
         "source",
         ARRIVAL,
-        F.expr(f"{ARRIVAL} div {int(block_rows)}").alias("block"),
+        F.expr(f"{ARRIVAL} div {int(block_span)}").alias("block"),
         F.unix_millis("ts_event").alias("event_ms"),
         F.coalesce("_pv", "_spread", F.lit(0.0)).alias("a"),
         F.coalesce("trade_volume", "_mid", F.lit(0.0)).alias("b"),
@@ -58,18 +55,19 @@ def stream_windows(
     events: DataFrame,
     sizes: dict[str, int] = WINDOW_SIZES,
     grace_seconds: int = DEFAULT_GRACE_SECONDS,
-    block_rows: int = STREAM_BLOCK_ROWS,
+    block_span: int = BLOCK_SPAN,
 ) -> DataFrame:
     """Closed windows (``kind`` window) and late records (``kind`` late) of a stream.
 
     Each window comes out once, when final. The input needs the arrival number;
-    within a micro-batch it decides what came first. Bound micro-batches with the
-    source's own limit (files or offsets per trigger).
+    within a micro-batch it decides what came first. The rows of one block are
+    handled as one pandas frame. Bound micro-batches with the source's own limit
+    (files or offsets per trigger).
     """
     ensure_session(events.sparkSession)
     grace_ms = int(grace_seconds * 1000)
     partials = (
-        _narrow(events, block_rows)
+        _narrow(events, block_span)
         .groupBy("block")
         .applyInPandas(block_partials(sizes, grace_ms), PARTIAL_SCHEMA)
     )

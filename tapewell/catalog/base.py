@@ -207,7 +207,10 @@ WHERE watermark >= window_end + to_seconds({GRACE})""",
 
 
 def with_ctes(*names: str, select: str) -> str:
-    """``select`` after the named steps and everything they build on."""
+    """``select`` after the named steps and everything they build on.
+
+    A ``select`` that starts with a comma adds steps of its own.
+    """
     wanted = set(names)
     for name in reversed(list(CTES)):  # steps only build on earlier ones
         if name in wanted:

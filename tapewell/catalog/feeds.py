@@ -177,14 +177,20 @@ def all_messages(events: DataFrame) -> DataFrame:
     )
 
 
-_INGEST = F.col("ts_recorded")
 _OUT = [c for c in EVENT_COLUMNS if c != "ts_ingest"]
 
 
+
+
+def _ingest() -> Column:
+    """Messages count as ingested when they were recorded."""
+    return F.col("ts_recorded")
+
+
 def _normalized(build, job):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         raw = build(market_events(spark, sf))
-        events, _ = job(raw, symbol_dimension(spark, default_feed()), _INGEST)
+        events, _ = job(raw, symbol_dimension(spark, default_feed()), _ingest())
         return result(events.select(*_OUT))
 
     return run
@@ -192,7 +198,7 @@ def _normalized(build, job):
 
 def _tagged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     raw = all_messages(market_events(spark, sf))
-    return raw, normalize_tagged(raw, symbol_dimension(spark, default_feed()), _INGEST)
+    return raw, normalize_tagged(raw, symbol_dimension(spark, default_feed()), _ingest())
 
 
 def _rejects(spark: SparkSession, sf: str) -> DataFrame:
@@ -202,7 +208,7 @@ def _rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 def _summary(spark: SparkSession, sf: str) -> DataFrame:
     raw = coinbase_messages(market_events(spark, sf))
-    tagged = normalize_tagged(raw, symbol_dimension(spark, default_feed()), _INGEST)
+    tagged = normalize_tagged(raw, symbol_dimension(spark, default_feed()), _ingest())
     return normalization_summary(raw, tagged).select(
         "messages",
         "events",
@@ -230,7 +236,7 @@ def _raw_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def _quarantine_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     raw = coinbase_trade_messages(market_events(spark, sf))
-    rejects = normalize_coinbase_trades(raw, symbol_dimension(spark, default_feed()), _INGEST)[1]
+    rejects = normalize_coinbase_trades(raw, symbol_dimension(spark, default_feed()), _ingest())[1]
     path = work_dir(spark, "quarantine")
     land_quarantine(to_quarantine(rejects), path)
     return read_quarantine(spark, path).select(
@@ -253,7 +259,7 @@ def _stream_normalize(spark: SparkSession, sf: str) -> DataFrame:
         f"{sink}/events",
         f"{sink}/quarantine",
         f"{sink}/checkpoint",
-        ts_ingest=_INGEST,
+        ts_ingest=_ingest(),
     ).awaitTermination()
     landed = spark.read.parquet(f"{sink}/events").groupBy("event_type", "symbol").agg(
         F.count("*").alias("n"), F.max("ts_event").alias("newest")

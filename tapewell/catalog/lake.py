@@ -23,14 +23,15 @@ from tapewell.operators import analytics
 from tapewell.operators.contract import apply_contract
 from tapewell.operators.ordering import closed_windows_by_clock
 from tapewell.operators.quality import reconcile, windows_parity
+from tapewell.operators.silver import silver_ticker, silver_trades
 from tapewell.plans.marts import mart_checks
 from tapewell.plans.medallion import run_medallion
 from tapewell.schemas import EVENT_COLUMNS
-from tapewell.session import work_dir
+from tapewell.session import stage, streaming_session, work_dir
 from tapewell.sinks.lake import (
     land_windows,
     start_bronze_sink,
-    start_text_sink,
+    start_record_sink,
     write_bronze,
     write_gold_csv,
     write_raw_messages,
@@ -57,6 +58,10 @@ def _bronze(spark: SparkSession, sf: str) -> str:
     return root
 
 
+def _bronze_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return stream_bronze(streaming_session(spark), _bronze(spark, sf))
+
+
 def _gold_root(spark: SparkSession, sf: str) -> str:
     root = work_dir(spark, "gold")
     materialize_gold(gold(spark, sf), root, GENERATION)
@@ -70,7 +75,7 @@ def _bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def _bronze_sink(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze copied by a stream: exactly the rows of the first table, by folder."""
     out = work_dir(spark, "bronze-stream")
-    stream = stream_bronze(spark, _bronze(spark, sf))
+    stream = _bronze_stream(spark, sf)
     start_bronze_sink(stream, f"{out}/bronze", f"{out}/checkpoint").awaitTermination()
     copied = read_bronze(spark, f"{out}/bronze")
     return result(
@@ -128,25 +133,21 @@ def _windows_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def _emit_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Closed windows streamed out as JSON records, then parsed back."""
     out = work_dir(spark, "records")
-    closed = only_windows(stream_windows(stream_bronze(spark, _bronze(spark, sf)), SIZES, GRACE))
-    start_text_sink(window_records(closed), f"{out}/text", f"{out}/checkpoint").awaitTermination()
+    closed = only_windows(stream_windows(_bronze_stream(spark, sf), SIZES, GRACE))
+    start_record_sink(
+        window_records(closed), f"{out}/checkpoint", path=f"{out}/text"
+    ).awaitTermination()
     lines = spark.read.schema("value string").text(f"{out}/text")
-    texts = parse_window_records(lines.select("value"))
-    return result(
-        lines.select(
-            F.get_json_object("value", "$.symbol").alias("symbol"),
-            F.get_json_object("value", "$.source").alias("source"),
-            F.get_json_object("value", "$.window_size").alias("window_size"),
-            F.get_json_object("value", "$.window_start").alias("start_text"),
-            F.get_json_object("value", "$.window_end").alias("end_text"),
-            F.get_json_object("value", "$.event_count").cast("bigint").alias("event_count"),
-        ).where(F.lit(len(texts.columns)) == 12)
-    )
+    bounds = [
+        F.get_json_object("value", f"$.{name}").alias(f"{name}_text")
+        for name in ("window_start", "window_end")
+    ]
+    return result(parse_window_records(lines, *bounds))
 
 
 def _streamed(spark: SparkSession, sf: str, build) -> tuple[DataFrame, DataFrame]:
     out = work_dir(spark, "stream")
-    stream = build(stream_bronze(spark, _bronze(spark, sf)), SIZES, GRACE)
+    stream = build(_bronze_stream(spark, sf), SIZES, GRACE)
     run_stream(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
     return read_stream_output(spark, f"{out}/rows")
 
@@ -171,10 +172,10 @@ def _stream_global(spark: SparkSession, sf: str) -> DataFrame:
     """Windows closed by the global watermark; all data is one micro-batch here, so nothing
     is late and every window closes that the newest event of all symbols has passed."""
     out = work_dir(spark, "global")
-    windows = stream_windows_global(
-        stream_bronze(spark, _bronze(spark, sf)), SIZES, f"{GRACE} seconds"
-    )
-    run_stream(windows, f"{out}/rows", f"{out}/checkpoint", ("window_size", "source")).awaitTermination()
+    windows = stream_windows_global(_bronze_stream(spark, sf), SIZES, f"{GRACE} seconds")
+    run_stream(
+        windows, f"{out}/rows", f"{out}/checkpoint", ("window_size", "source")
+    ).awaitTermination()
     return result(read_windows(spark, f"{out}/rows"))
 
 
@@ -182,7 +183,7 @@ def _stream_parity(spark: SparkSession, sf: str) -> DataFrame:
     """Streamed windows against their batch definition: number of disagreements."""
     root = _bronze(spark, sf)
     out = work_dir(spark, "parity")
-    stream = stream_windows(stream_bronze(spark, root), SIZES, GRACE)
+    stream = stream_windows(stream_bronze(streaming_session(spark), root), SIZES, GRACE)
     run_stream(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
     streamed, _ = read_stream_output(spark, f"{out}/rows")
     batch = closed_windows_by_clock(read_bronze(spark, root), SIZES, GRACE)
@@ -191,9 +192,6 @@ def _stream_parity(spark: SparkSession, sf: str) -> DataFrame:
 
 def _marts(spark: SparkSession, sf: str) -> DataFrame:
     """All mart checks over the marts of the driver events, with their offending rows."""
-    from tapewell.operators.silver import silver_ticker, silver_trades
-    from tapewell.session import stage
-
     events = market_events(spark, sf)
     trades = stage(silver_trades(events), "silver-trades")
     checks = mart_checks(trades, silver_ticker(events), stage(gold(spark, sf), "gold"), SIZES)
@@ -256,6 +254,43 @@ _CHECK_SQL = {
     "OR abs(coalesce(g.vwap, 0) - coalesce(r.vwap, 0)) > 1e-6",
 }
 
+# The whole run counted in SQL: what the feed yields, what it rejects, and the windows of both.
+_RUN_SQL = """
+, fed AS (SELECT *, CASE WHEN event_type = 'ticker' THEN 'ticker' ELSE 'trades' END AS source
+  FROM market_events
+  WHERE (size IS NULL OR size > 0) AND symbol IN ('BTC-USD', 'ETH-USD', 'SOL-USD')),
+accepted AS (SELECT * FROM fed WHERE (event_type = 'trade' AND price > 0)
+  OR (event_type = 'ticker' AND best_ask >= 0 AND best_ask >= best_bid AND event_id % 11 <> 0)),
+kept AS (SELECT * FROM accepted WHERE event_type = 'ticker' UNION ALL
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY symbol, trade_id
+    ORDER BY ts_event) AS rn FROM accepted WHERE event_type = 'trade') WHERE rn = 1),
+two AS (SELECT label AS window_size, CAST(width AS BIGINT) AS secs
+  FROM (VALUES ('1m', 60), ('5m', 300)) AS v(label, width)),
+streamed AS (SELECT symbol, source, window_size, max(start + secs * 1000000) AS ends
+  FROM (SELECT *, (epoch_us(ts_event) // (secs * 1000000)) * (secs * 1000000) AS start
+        FROM accepted, two) GROUP BY symbol, source, window_size, start),
+clocks AS (SELECT symbol, source, max(epoch_ms(ts_event)) * 1000 AS newest
+  FROM accepted GROUP BY ALL),
+produced AS (SELECT symbol, count(DISTINCT (window_size, epoch_us(ts_event) // (secs * 1000000)))
+  AS n FROM kept, two GROUP BY symbol),
+expected AS (SELECT symbol, count(DISTINCT (window_size, epoch_us(ts_event) // (secs * 1000000)))
+  AS n FROM accepted, two GROUP BY symbol)
+SELECT (SELECT count(*) FROM accepted) AS replayed_events,
+  (SELECT count(*) FROM accepted) AS bronze_rows,
+  (SELECT count(*) FROM streamed JOIN clocks USING (symbol, source)
+    WHERE newest >= ends + 5000000) AS window_rows,
+  (SELECT CAST(sum(n) AS BIGINT) FROM produced) AS gold_rows,
+  CAST(2 AS INT) AS gold_snapshots,
+  (SELECT count(*) FROM fed WHERE event_type = 'trade' AND (price IS NULL OR price <= 0))
+  + (SELECT count(*) FROM fed WHERE event_type = 'ticker' AND event_id % 11 <> 0
+      AND (best_ask < 0 OR best_ask < best_bid))
+  + (SELECT count(*) FROM market_events WHERE event_type = 'ticker' AND event_id % 11 = 0)
+    AS quarantined,
+  (SELECT min(round(100.0 * p.n / e.n, 2)) FROM expected e JOIN produced p USING (symbol))
+    AS completeness_pct,
+  CAST(0 AS BIGINT) AS gold_violations
+"""
+
 LAKE_QUERIES: dict[str, Query] = {
     "bronze_roundtrip": Query(
         _bronze_roundtrip,
@@ -316,9 +351,9 @@ GROUP BY bad""",
         _emit_windows,
         with_ctes(
             "closed_by_clock",
-            select="SELECT symbol, source, window_size, "
-            "strftime(window_start, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS start_text, "
-            "strftime(window_end, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS end_text, event_count "
+            select=f"SELECT {WINDOW_SELECT}, "
+            "strftime(window_start, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS window_start_text, "
+            "strftime(window_end, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS window_end_text "
             "FROM closed_by_clock",
         ),
     ),
@@ -370,5 +405,5 @@ GROUP BY bad""",
             ),
         ),
     ),
-    "medallion_run": Query(_medallion),
+    "medallion_run": Query(_medallion, with_ctes("market_events", select=_RUN_SQL)),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewell.catalog.base import (
@@ -27,7 +27,8 @@ from tapewell.operators.contract import (
 )
 from tapewell.operators.silver import silver_ticker, silver_trades
 
-_BUILT = F.lit(GOLD_BUILT_AT).cast("timestamp")
+def _built() -> Column:
+    return F.lit(GOLD_BUILT_AT).cast("timestamp")
 
 
 def _contract_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,7 +74,7 @@ def _coerce_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _latency(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.latency_p95(market_events(spark, sf), _BUILT)
+    return quality.latency_p95(market_events(spark, sf), _built())
 
 
 def _completeness(spark: SparkSession, sf: str) -> DataFrame:
@@ -86,7 +87,7 @@ def _thin_gold(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sla(spark: SparkSession, sf: str) -> DataFrame:
-    report = quality.sla_report(market_events(spark, sf), _thin_gold(spark, sf), _BUILT, SIZES)
+    report = quality.sla_report(market_events(spark, sf), _thin_gold(spark, sf), _built(), SIZES)
     worst = F.array_min(F.map_values("completeness_by_symbol"))
     return report.withColumn("symbols", F.size("completeness_by_symbol")).withColumn(
         "worst_in_map", worst

@@ -35,7 +35,10 @@ def ts_from_millis(millis: Column) -> Column:
 
 
 def strict_double(text: Column) -> Column:
-    """Decimal text to double, or null when it is not a number."""
+    """Decimal text to double, or null when it is not a number.
+
+    For an optional field, null is only an error where :func:`is_given` holds.
+    """
     trimmed = F.trim(text)
     return F.when(~trimmed.rlike(JAVA_ONLY_NUMBER), trimmed.try_cast("double"))
 
@@ -45,18 +48,6 @@ def is_given(text: Column) -> Column:
     return text.isNotNull() & (text != "")
 
 
-def opt_double(text: Column) -> Column:
-    """Optional number: null or empty text is null, other text must be a number.
-
-    Use together with :func:`bad_opt_double`, which marks text that is not one.
-    """
-    return F.when(is_given(text), strict_double(text))
-
-
-def bad_opt_double(text: Column) -> Column:
-    return is_given(text) & strict_double(text).isNull()
-
-
 def finite(value: Column) -> Column:
     """NaN and infinities become null: the JSON an event travels in has neither."""
     usable = ~F.isnan(value) & (F.abs(value) < float("inf"))

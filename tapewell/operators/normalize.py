@@ -68,7 +68,7 @@ _FIELDS = {
 # Sub-records of one message are numbered in these low bits of the arrival number.
 ORDINAL_BITS = 20
 
-_RECORD = F.col("record")
+_RECORD = "record"
 
 
 def _gate_exchanges(raw: DataFrame) -> DataFrame:
@@ -84,14 +84,14 @@ def _sub_texts(events: Column, name: str) -> Column:
     )
 
 
-def _absent(text: Column, holder: Column, key: Column) -> Column:
+def _absent(text: Column, holder: str, key: Column) -> Column:
     """True if the JSON object has no such key at all (a null value does not count)."""
     keys = F.json_object_keys(holder)
     return text.isNull() & ~F.coalesce(F.array_contains(keys, key), F.lit(False))
 
 
 def _why_unreadable(
-    text: Column, holder: Column, key: Column, null_reason: str, bad_reason: Column
+    text: Column, holder: str, key: Column, null_reason: str, bad_reason: Column
 ) -> Column:
     """Reason for a required field that could not be read: missing, null or garbage."""
     return (
@@ -105,7 +105,7 @@ def _quoted(before: str, text: Column) -> Column:
     return F.concat(F.lit(f"{before}: '"), text, F.lit("'"))
 
 
-def _why_no_timestamp(text: Column, holder: Column, key: str) -> Column:
+def _why_no_timestamp(text: Column, holder: str, key: str) -> Column:
     return _why_unreadable(
         text,
         holder,
@@ -192,7 +192,7 @@ def sub_records(raw: DataFrame, ts_ingest: Column | None = None) -> DataFrame:
             is_ticker & envelope_ts.isNull(),
             F.concat(
                 F.lit("bad envelope timestamp: "),
-                _why_no_timestamp(F.col("c.timestamp"), F.col("payload"), "timestamp"),
+                _why_no_timestamp(F.col("c.timestamp"), "payload", "timestamp"),
             ),
         ).alias("envelope_reason"),
         F.posexplode(

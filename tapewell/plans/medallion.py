@@ -15,7 +15,7 @@ from tapewell.operators.normalize import events_of, normalize_tagged, rejects_of
 from tapewell.operators.ordering import DEFAULT_GRACE_SECONDS
 from tapewell.operators.quality import reconcile, sla_report
 from tapewell.plans.marts import build_marts
-from tapewell.session import ensure_session
+from tapewell.session import ensure_session, streaming_session
 from tapewell.sinks.lake import land_quarantine, land_windows, write_bronze, write_run_summary
 from tapewell.sinks.versioned import read_gold
 from tapewell.sources.dimension import symbol_dimension
@@ -69,7 +69,8 @@ def run_medallion(
     finally:
         tagged.unpersist()
 
-    streamed = stream_windows(stream_bronze(spark, paths["bronze"]), sizes, grace_seconds)
+    arriving = stream_bronze(streaming_session(spark), paths["bronze"])
+    streamed = stream_windows(arriving, sizes, grace_seconds)
     out, checkpoint = f"{root}/runs/{run}/stream", f"{root}/runs/{run}/checkpoint"
     run_stream(streamed, out, checkpoint).awaitTermination()
     closed, _late = read_stream_output(spark, out)

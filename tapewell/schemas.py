@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "long": T.LongType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """Schema from "name type, name type"; needs no running session, unlike ``fromDDL``."""
+    fields = (part.split() for part in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 # One raw exchange message per line; the payload stays text until it is normalized.

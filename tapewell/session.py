@@ -35,6 +35,19 @@ def ensure_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def streaming_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application for stateful streams.
+
+    A stateful stream opens one state store per shuffle partition and keeps that
+    number for good, so it gets no more partitions than the application has cores.
+    """
+    session = ensure_session(spark.newSession())
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(min(wanted, cores)))
+    return session
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint folder named by the cluster.
 

@@ -12,7 +12,6 @@ from tapewell.functions.windows import iso_utc
 from tapewell.schemas import (
     ARRIVAL,
     BRONZE_SCHEMA,
-    EVENT_COLUMNS,
     GOLD_SCHEMA,
     QUARANTINE_SCHEMA,
     RAW_SCHEMA,
@@ -104,8 +103,9 @@ def land_quarantine(quarantine: DataFrame, root: str, clear: bool = True) -> int
 def write_raw_messages(raw: DataFrame, path: str) -> None:
     """Raw messages as JSON lines, the payload as a nested document.
 
-    Payload text is spliced in as it stands, so nothing in it is reinterpreted.
-    Files are range-partitioned by ``seq`` and sorted within.
+    Payload text is spliced in as it stands, so nothing in it is reinterpreted; only
+    line breaks, which JSON allows between tokens alone, become spaces. Files are
+    range-partitioned by ``seq`` and sorted within.
     """
     head = F.to_json(
         F.struct(
@@ -119,7 +119,7 @@ def write_raw_messages(raw: DataFrame, path: str) -> None:
     line = F.concat(
         F.substring(head, F.lit(1), F.length(head) - 1),
         F.lit(',"payload":'),
-        F.col("payload"),
+        F.translate("payload", "\r\n", "  "),
         F.lit("}"),
     )
     raw.select(*RAW_SCHEMA.fieldNames()).orderBy("seq").select(line.alias("value")).write.mode(
@@ -149,19 +149,24 @@ def write_run_summary(summary: DataFrame, path: str) -> None:
     summary.write.mode("overwrite").json(path)
 
 
-def start_text_sink(
-    records: DataFrame, path: str, checkpoint: str, bounded: bool = True
+def start_record_sink(
+    records: DataFrame,
+    checkpoint: str,
+    path: str | None = None,
+    kafka: dict[str, str] | None = None,
+    bounded: bool = True,
 ) -> StreamingQuery:
-    """Append a stream of JSON records (one ``value`` column) to text files, exactly once."""
-    writer = (
-        records.select("value")
-        .writeStream.format("text")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
-    trigger = {"availableNow": True} if bounded else {"processingTime": "10 seconds"}
-    return writer.trigger(**trigger).start()
-
+    """Stream JSON records to text files, exactly once, or to Kafka by topic and key.
 
-def event_columns(df: DataFrame) -> DataFrame:
-    return df.select(*EVENT_COLUMNS)
+    Files get the ``value`` text; Kafka needs its connector on the class path and
+    delivers at least once.
+    """
+    if (path is None) == (kafka is None):
+        raise ValueError("give either a folder or Kafka options")
+    if kafka is not None:
+        writer = records.select("topic", "key", "value").writeStream.format("kafka")
+        writer = writer.options(**kafka)
+    else:
+        writer = records.select("value").writeStream.format("text").option("path", path)
+    trigger = {"availableNow": True} if bounded else {"processingTime": "10 seconds"}
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapewell.config import TICKER_TOPIC, TRADES_TOPIC, WINDOWS_TOPIC
@@ -61,6 +61,7 @@ def window_records(windows: DataFrame) -> DataFrame:
     )
 
 
-def parse_window_records(records: DataFrame) -> DataFrame:
-    """Window records back to typed windows."""
-    return records.select(F.from_json("value", WINDOW_SCHEMA).alias("w")).select("w.*")
+def parse_window_records(records: DataFrame, *extra: Column) -> DataFrame:
+    """Window records back to typed windows, with any further columns asked for."""
+    opened = records.select(F.from_json("value", WINDOW_SCHEMA).alias("_w"), *extra)
+    return opened.select("_w.*", *opened.columns[1:])

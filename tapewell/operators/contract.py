@@ -69,33 +69,42 @@ def contract_rules(symbols: Sequence[str]) -> dict[str, Column]:
     }
 
 
+def _keeps_all(rules: dict[str, Column]) -> Column:
+    return _all(list(rules.values()))
+
+
+def _reason(rules: dict[str, Column]) -> Column:
+    """Names of the broken rules in sorted order; ``concat_ws`` leaves out the others."""
+    broken = [F.when(~keeps, F.lit(name)) for name, keeps in sorted(rules.items())]
+    return F.concat_ws(", ", *broken)
+
+
 def tag_contract(df: DataFrame, symbols: Sequence[str]) -> DataFrame:
     """Add ``quarantine_reason``: every broken rule's name, sorted; null if none is broken."""
-    broken = [
-        F.when(~keeps, F.lit(name)) for name, keeps in sorted(contract_rules(symbols).items())
-    ]
-    names = F.array_compact(F.array(*broken))
-    return df.withColumn(
-        "quarantine_reason", F.when(F.size(names) > 0, F.array_join(names, ", "))
-    )
+    rules = contract_rules(symbols)
+    return df.withColumn("quarantine_reason", F.when(~_keeps_all(rules), _reason(rules)))
 
 
 def apply_contract(df: DataFrame, symbols: Sequence[str]) -> ContractSplit:
-    """Test every rule on every row and split the rows; extra columns are allowed."""
-    tagged = tag_contract(df, symbols)
-    good = F.col("quarantine_reason").isNull()
+    """Test every rule on every row and split the rows; extra columns are allowed.
+
+    Reasons are only put together for the rows that need one.
+    """
+    rules = contract_rules(symbols)
+    keeps = _keeps_all(rules)
     return ContractSplit(
-        valid=tagged.where(good).drop("quarantine_reason"), quarantined=tagged.where(~good)
+        valid=df.where(keeps),
+        quarantined=df.where(~keeps).withColumn("quarantine_reason", _reason(rules)),
     )
 
 
 def contract_report(df: DataFrame, symbols: Sequence[str]) -> DataFrame:
     """One row: n_valid, n_quarantined, ok and the sorted names of rules broken anywhere."""
     rules = sorted(contract_rules(symbols).items())
-    broken_any = reduce(lambda a, b: a | b, [~keeps for _, keeps in rules])
+    keeps_all = _keeps_all(dict(rules))
     counts = df.agg(
-        F.count_if(~broken_any).alias("n_valid"),
-        F.count_if(broken_any).alias("n_quarantined"),
+        F.count_if(keeps_all).alias("n_valid"),
+        F.count_if(~keeps_all).alias("n_quarantined"),
         *[F.count_if(~keeps).alias(f"_rule{i}") for i, (_, keeps) in enumerate(rules)],
     )
     hit = [F.when(F.col(f"_rule{i}") > 0, F.lit(name)) for i, (name, _) in enumerate(rules)]

@@ -162,44 +162,42 @@ def sub_records(raw: DataFrame, ts_ingest: Column | None = None) -> DataFrame:
     of old trades on subscribing) are skipped for trades only.
     """
     ingest = ts_ingest if ts_ingest is not None else F.current_timestamp()
+    is_coinbase = F.col("exchange") == "coinbase"
     opened = _gate_exchanges(raw).select(
         "seq",
         "exchange",
         ingest.cast("timestamp").alias("ts_ingest"),
         "payload",
-        F.when(
-            F.col("exchange") == "coinbase", F.from_json("payload", _COINBASE_PAYLOAD)
-        ).alias("c"),
+        F.when(is_coinbase, F.from_json("payload", _COINBASE_PAYLOAD)).alias("c"),
     )
-    channel, events = F.col("c.channel"), F.col("c.events")
-    envelope_ts = parse_ts(F.col("c.timestamp"))
-    is_binance = F.col("exchange") == "binance_us"
-    is_trades = channel == "market_trades"
-    is_ticker = channel == "ticker"
+    is_ticker = F.col("c.channel") == "ticker"
+    timed = opened.withColumn("envelope_ts", F.when(is_ticker, parse_ts(F.col("c.timestamp"))))
+    kinds = timed.withColumn(
+        "kind",
+        F.when(~is_coinbase, BINANCE)
+        .when(F.col("c.channel") == "market_trades", COINBASE_TRADE)
+        .when(is_ticker & F.col("envelope_ts").isNull(), BAD_ENVELOPE)
+        .when(is_ticker, COINBASE_TICKER),
+    )
+    kind, events = F.col("kind"), F.col("c.events")
     live = F.filter(events, lambda e: ~e["type"].eqNullSafe("snapshot"))
     binance_data = F.coalesce(F.get_json_object("payload", "$.data"), F.col("payload"))
-    return opened.select(
+    why_bad = F.concat(
+        F.lit("bad envelope timestamp: "),
+        _why_no_timestamp(F.col("c.timestamp"), "payload", "timestamp"),
+    )
+    return kinds.select(
         "seq",
         "exchange",
         "ts_ingest",
-        envelope_ts.alias("envelope_ts"),
-        F.when(is_binance, BINANCE)
-        .when(is_trades, COINBASE_TRADE)
-        .when(is_ticker & envelope_ts.isNull(), BAD_ENVELOPE)
-        .when(is_ticker, COINBASE_TICKER)
-        .alias("kind"),
-        F.when(
-            is_ticker & envelope_ts.isNull(),
-            F.concat(
-                F.lit("bad envelope timestamp: "),
-                _why_no_timestamp(F.col("c.timestamp"), "payload", "timestamp"),
-            ),
-        ).alias("envelope_reason"),
+        "envelope_ts",
+        "kind",
+        F.when(kind == BAD_ENVELOPE, why_bad).alias("envelope_reason"),
         F.posexplode(
-            F.when(is_binance, F.array(binance_data))
-            .when(is_trades, _sub_texts(live, "trades"))
-            .when(is_ticker & envelope_ts.isNull(), F.array("payload"))
-            .when(is_ticker, _sub_texts(events, "tickers"))
+            F.when(kind == COINBASE_TRADE, _sub_texts(live, "trades"))
+            .when(kind == COINBASE_TICKER, _sub_texts(events, "tickers"))
+            .when(kind == BINANCE, F.array(binance_data))
+            .when(kind == BAD_ENVELOPE, F.array("payload"))
         ).alias("ordinal", "record"),
     )
 
@@ -301,12 +299,13 @@ def tag_records(fields: DataFrame) -> DataFrame:
     """Type every field and work out the reason, if any, to reject the sub-record.
 
     Values are typed in a step of their own, so that a text is read once and the
-    reasons only look at what came of it.
+    reasons only look at what came of it. The step is a generator of one row: a
+    later filter on the reason would otherwise be moved in front of a plain
+    projection, together with a copy of all the typing it depends on.
     """
     kind = F.col("kind")
     texts = _by_kind(fields)
-    typed = texts.select(
-        "*",
+    values = F.struct(
         *[strict_double(F.col(f"{name}_text")).alias(name) for name in NUMBERS],
         F.when(kind == COINBASE_TRADE, parse_ts(F.col("time_text")))
         .when(kind == COINBASE_TICKER, F.col("envelope_ts"))
@@ -314,6 +313,7 @@ def tag_records(fields: DataFrame) -> DataFrame:
         .when(kind == BINANCE_BOOK, F.col("ts_ingest"))
         .alias("ts_event"),
     )
+    typed = texts.select("*", F.inline(F.array(values)))
     is_trade, has_book = F.col("is_trade"), F.col("has_book")
     price_key = F.when(kind == BINANCE_TRADE, "p").otherwise("price")
     size_key = F.when(kind == BINANCE_TRADE, "q").otherwise("size")

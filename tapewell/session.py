@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+# Generated methods beyond this size are not compiled by the JVM but interpreted, which costs
+# more than not fusing the operators; Spark's own default allows much larger ones.
+METHOD_LIMIT_CONF = "spark.sql.codegen.hugeMethodLimit"
+METHOD_LIMIT = "8000"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -21,6 +25,7 @@ def build_session(app: str = "tapewell", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         STATE_STORE_CONF: ROCKSDB,
+        METHOD_LIMIT_CONF: METHOD_LIMIT,
         **conf,
     }
     for key, value in settings.items():
@@ -32,6 +37,7 @@ def ensure_session(spark: SparkSession) -> SparkSession:
     """Pin the run-time settings results depend on, on a session made elsewhere."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set(STATE_STORE_CONF, ROCKSDB)
+    spark.conf.set(METHOD_LIMIT_CONF, METHOD_LIMIT)
     return spark
 
 

@@ -324,6 +324,7 @@ def test_blank_lines_are_skipped_and_malformed_ones_stop_the_job(spark, tmp_path
         good.replace('"seq":1', '"seq":"x"'),
         good.replace('"seq":1,', ""),
         good.replace("{}", "5"),
+        good.replace("{}", '"{}"'),
         good.replace("2026-01-01T00:00:00Z", "soon"),
     ):
         path.write_text(f"{good}\n{bad}\n")

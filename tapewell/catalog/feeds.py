@@ -17,7 +17,7 @@ from tapewell.catalog.base import (
     result,
     with_ctes,
 )
-from tapewell.config import default_feed
+from tapewell.config import TICKER_TOPIC, default_feed
 from tapewell.functions.events import encode_event, with_event_columns
 from tapewell.functions.parsing import mid, parse_ts, spread
 from tapewell.operators.normalize import (
@@ -34,11 +34,12 @@ from tapewell.operators.normalize import (
 )
 from tapewell.schemas import EVENT_COLUMNS
 from tapewell.session import work_dir
-from tapewell.sinks.lake import land_quarantine, write_raw_messages
+from tapewell.sinks.lake import land_quarantine, start_bronze_sink, write_raw_messages
 from tapewell.sinks.topics import publish, route_events, topic_records
 from tapewell.sources.dimension import symbol_dimension
-from tapewell.sources.lake import read_quarantine
+from tapewell.sources.lake import read_bronze, read_quarantine
 from tapewell.sources.raw import count_raw_messages, read_raw_messages, stream_raw_messages
+from tapewell.sources.topics import read_topic_events, stream_topic_events
 from tapewell.streaming.normalizing import stream_normalize
 
 PER_MESSAGE = 3
@@ -229,9 +230,9 @@ def _raw_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Messages written as JSON lines, counted unparsed, and read back."""
     path = work_dir(spark, "raw")
     write_raw_messages(coinbase_trade_messages(market_events(spark, sf)), path)
-    lines = count_raw_messages(spark, path)
-    back = read_raw_messages(spark, path).where(F.lit(lines) > 0)
-    return result(back.select("seq", "ts_recorded", "exchange", "channel"))
+    lines = F.lit(count_raw_messages(spark, path)).cast("bigint")
+    back = read_raw_messages(spark, path)
+    return result(back.select("seq", "ts_recorded", "exchange", "channel", lines.alias("lines")))
 
 
 def _quarantine_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -309,10 +310,17 @@ def _route_events(spark: SparkSession, sf: str) -> DataFrame:
 def _published(spark: SparkSession, sf: str) -> DataFrame:
     """Events published to topic files, read back and decoded."""
     path = work_dir(spark, "topics")
-    publish(market_events(spark, sf).where("event_type <> 'heartbeat'"), path=path)
-    records = spark.read.schema("topic string, key string, value string").parquet(path)
-    decoded = with_event_columns(records)
-    return result(decoded.select("topic", "key", *EVENT_COLUMNS))
+    publish(market_events(spark, sf), path=path)
+    return result(read_topic_events(spark, path).select("topic", "key", *EVENT_COLUMNS))
+
+
+def _consumed(spark: SparkSession, sf: str) -> DataFrame:
+    """The ticker topic consumed as a stream from its beginning, landed as bronze."""
+    path, out = work_dir(spark, "topics"), work_dir(spark, "consumed")
+    publish(market_events(spark, sf), path=path)
+    events = stream_topic_events(spark, path=path, topics=[TICKER_TOPIC])
+    start_bronze_sink(events, f"{out}/bronze", f"{out}/checkpoint").awaitTermination()
+    return result(read_bronze(spark, f"{out}/bronze").select(*EVENT_COLUMNS))
 
 
 def _forced_topic(spark: SparkSession, sf: str) -> DataFrame:
@@ -480,8 +488,8 @@ FROM (SELECT symbol, count(*) AS n, count(*) FILTER (event_type = 'trade') AS tr
         _raw_roundtrip,
         _from_events(
             f"SELECT event_id // {PER_MESSAGE} AS seq, max(ts_ingest) AS ts_recorded, "
-            "'coinbase' AS exchange, 'market_trades' AS channel FROM market_events "
-            "WHERE event_type = 'trade' GROUP BY 1"
+            "'coinbase' AS exchange, 'market_trades' AS channel, count(*) OVER () AS lines "
+            "FROM market_events WHERE event_type = 'trade' GROUP BY 1"
         ),
     ),
     "quarantine_roundtrip": Query(
@@ -519,10 +527,13 @@ FROM (SELECT symbol, count(*) AS n, count(*) FILTER (event_type = 'trade') AS tr
     "publish_events": Query(
         _published,
         _from_events(
-            f"SELECT {_TOPIC}, symbol AS key, {_EVENTS} FROM market_events "
-            "WHERE event_type <> 'heartbeat'"
+            f"SELECT {_TOPIC}, symbol AS key, {_EVENTS} FROM market_events"
         ),
     ),
+    "consume_topic": Query(
+        _consumed,
+        _from_events(f"SELECT {_EVENTS} FROM market_events WHERE event_type = 'ticker'"),
+    ),
     "publish_one_topic": Query(
         _forced_topic,
         _from_events(

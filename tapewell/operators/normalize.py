@@ -65,8 +65,10 @@ _FIELDS = {
     "A": "bn_ask_quantity",
 }
 
-# Sub-records of one message are numbered in these low bits of the arrival number.
-ORDINAL_BITS = 20
+# Sub-records of one message are numbered in these low bits of the arrival number; a message
+# of several megabytes holds fewer. What is left is for the message number.
+ORDINAL_BITS = 16
+MESSAGE_LIMIT = 1 << (63 - ORDINAL_BITS)
 
 _RECORD = "record"
 
@@ -295,6 +297,16 @@ def _by_kind(fields: DataFrame) -> DataFrame:
     )
 
 
+def _arrival_number() -> Column:
+    """Message number, then position in the message, as one increasing number."""
+    seq = F.col("seq")
+    number = F.shiftleft(seq, ORDINAL_BITS) + F.col("ordinal")
+    complaint = F.concat(F.lit("message number out of range: "), seq.cast("string"))
+    return F.when(
+        (seq < MESSAGE_LIMIT) & (F.col("ordinal") < (1 << ORDINAL_BITS)) | seq.isNull(), number
+    ).otherwise(F.raise_error(complaint).cast("bigint"))
+
+
 def tag_records(fields: DataFrame) -> DataFrame:
     """Type every field and work out the reason, if any, to reject the sub-record.
 
@@ -334,7 +346,7 @@ def tag_records(fields: DataFrame) -> DataFrame:
     }
     return checked.select(
         "seq",
-        (F.shiftleft(F.col("seq"), ORDINAL_BITS) + F.col("ordinal")).alias(ARRIVAL),
+        _arrival_number().alias(ARRIVAL),
         *[event.get(name, F.col(name)).alias(name) for name in EVENT_COLUMNS],
         "reason",
         "record",

@@ -8,7 +8,7 @@ a small table, its running maximum is what a block starts from, and the rest is
 worked out inside the block. Rows are shuffled once, by (key, block).
 
 A block spans ``block_span`` arrival numbers. The default fits both numberings
-made here: it is 8,192 messages for events numbered by message and position, and
+made here: it is 16,384 messages for events numbered by message and position, and
 one task's share of the sort for :func:`with_arrival_seq`. Numbers without gaps
 (the offsets of one Kafka partition, say) want a span of as many rows as a task
 should sort.
@@ -30,7 +30,7 @@ from tapewell.operators.windows import (
 from tapewell.schemas import ARRIVAL
 from tapewell.session import stage
 
-BLOCK_SPAN = 1 << 33
+BLOCK_SPAN = 1 << 30
 DEFAULT_GRACE_SECONDS = 5
 
 
@@ -51,7 +51,9 @@ def with_prior_max(
 ) -> DataFrame:
     """Add ``prior_max``: the largest ``value`` among earlier arrivals with the same keys.
 
-    Needs :data:`ARRIVAL`, a number that is unique and increasing by arrival.
+    Needs :data:`ARRIVAL`, a number that is unique and increasing by arrival. Rows
+    with a null key are left out. ``df`` is read twice (once for the few columns of
+    the maxima), so it should be a stored table or cheap to compute.
     """
     blocks = df.withColumn("_block", F.expr(f"{ARRIVAL} div {int(block_span)}"))
     tops = blocks.groupBy(*keys, "_block").agg(F.max(value).alias("_top"))

@@ -1,30 +1,51 @@
-"""Exact percentile of a large integer column.
+"""Exact percentile of a large integer or timestamp column.
 
 Spark's exact ``percentile`` gathers every distinct value in one task, which does
 not hold for a column of microseconds. Here the wanted rank is narrowed down: a
 job counts rows in a fixed number of equal bins, the bin holding the rank becomes
 the next range, and after a few rounds the range is a single value. No task and
-no step ever sees more than ``bins`` counts.
+no step ever sees more than ``bins`` counts. Later rounds only look at rows of the
+range; on a stored table the range reaches the Parquet scan and skips row groups.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BINS = 1 << 14
 
 
+def _as_number(df: DataFrame, column: str) -> Column:
+    """The column as a whole number; microseconds since 1970 for timestamps."""
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        return F.unix_micros(column)
+    return F.col(column).cast("bigint")
+
+
+def _as_bound(df: DataFrame, column: str, number: int) -> Column:
+    """A literal of the column's own type, so that comparing with it can be pushed down."""
+    literal = F.lit(number).cast("bigint")
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        return F.timestamp_micros(literal)
+    return literal
+
+
 def _value_at(df: DataFrame, column: str, rank: int, low: int, high: int, bins: int) -> int:
-    """The value with ``rank`` smaller-or-equal predecessors, known to be in [low, high]."""
-    value = F.col(column)
+    """The value at ``rank`` (from 0) in ascending order, known to be in [low, high]."""
     while low < high:
         width = math.ceil((high - low + 1) / bins)
+        in_range = F.col(column).between(
+            _as_bound(df, column, low), _as_bound(df, column, high)
+        )
+        offset = _as_number(df, column) - F.lit(low).cast("bigint")
         counted = (
-            df.where(value.between(low, high))
-            .groupBy(F.expr(f"({column} - {low}L) div {width}L").alias("bin"))
+            df.where(in_range)
+            .select(offset.alias("offset"))
+            .groupBy(F.expr(f"offset div {width}L").alias("bin"))
             .agg(F.count("*").alias("n"))
         )
         upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
@@ -41,7 +62,7 @@ def _value_at(df: DataFrame, column: str, rank: int, low: int, high: int, bins:
 
 def exact_percentile(df: DataFrame, column: str, share: float, bins: int = BINS) -> float | None:
     """Percentile with linear interpolation between neighbours; None for no rows."""
-    value = F.col(column)
+    value = _as_number(df, column)
     n, low, high = df.agg(F.count(value), F.min(value), F.max(value)).first()
     if not n:
         return None

@@ -240,6 +240,9 @@ WINDOW_SELECT = (
     + ", ticker_count, event_count"
 )
 EVENT_SELECT = (
-    "exchange, symbol, event_type, price, size, side, trade_id, best_bid, best_ask, "
-    "best_bid_size, best_ask_size, ts_event, ts_ingest"
+    "exchange, symbol, event_type, "
+    + rounded("price", "size")
+    + ", side, trade_id, "
+    + rounded("best_bid", "best_ask", "best_bid_size", "best_ask_size")
+    + ", ts_event, ts_ingest"
 )

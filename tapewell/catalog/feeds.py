@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewell.catalog.base import (
+    EVENT_SELECT,
     SYMBOL_LIST,
     Query,
     market_events,
@@ -423,11 +424,6 @@ SELECT 'binance_us' AS exchange, event_id AS seq, {_TRADE_REASON.format(key='p')
 FROM market_events WHERE {_BAD_TRADE} AND NOT (price IS NULL AND event_id % 3 = 0)
 UNION ALL SELECT 'binance_us', event_id, {_QUOTE_REASON} FROM market_events WHERE {_BAD_QUOTE}"""
 
-_EVENTS = (
-    "exchange, symbol, event_type, round(price + 1e-11, 9) AS price, round(size + 1e-11, 9) AS size, side, "
-    "trade_id, round(best_bid + 1e-11, 9) AS best_bid, round(best_ask + 1e-11, 9) AS best_ask, "
-    "best_bid_size, best_ask_size, ts_event, ts_ingest"
-)
 
 
 def _from_events(select: str) -> str:
@@ -527,12 +523,12 @@ FROM (SELECT symbol, count(*) AS n, count(*) FILTER (event_type = 'trade') AS tr
     "publish_events": Query(
         _published,
         _from_events(
-            f"SELECT {_TOPIC}, symbol AS key, {_EVENTS} FROM market_events"
+            f"SELECT {_TOPIC}, symbol AS key, {EVENT_SELECT} FROM market_events"
         ),
     ),
     "consume_topic": Query(
         _consumed,
-        _from_events(f"SELECT {_EVENTS} FROM market_events WHERE event_type = 'ticker'"),
+        _from_events(f"SELECT {EVENT_SELECT} FROM market_events WHERE event_type = 'ticker'"),
     ),
     "publish_one_topic": Query(
         _forced_topic,
@@ -542,7 +538,7 @@ FROM (SELECT symbol, count(*) AS n, count(*) FILTER (event_type = 'trade') AS tr
         ),
     ),
     "event_json_roundtrip": Query(
-        _event_roundtrip, _from_events(f"SELECT event_id, {_EVENTS} FROM market_events")
+        _event_roundtrip, _from_events(f"SELECT event_id, {EVENT_SELECT} FROM market_events")
     ),
     "spread_mid": Query(
         _spread_mid,

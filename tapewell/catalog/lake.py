@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewell.catalog.base import (
+    EVENT_SELECT,
     GOLD_SELECT,
     GRACE,
     SIZES,
@@ -38,7 +39,13 @@ from tapewell.sinks.lake import (
 )
 from tapewell.sinks.topics import parse_window_records, window_records
 from tapewell.sinks.versioned import gold_snapshots, materialize_gold, read_gold
-from tapewell.sources.lake import read_bronze, read_gold_csv, read_windows, stream_bronze
+from tapewell.sources.lake import (
+    ALL_FILES,
+    read_bronze,
+    read_gold_csv,
+    read_windows,
+    stream_bronze,
+)
 from tapewell.streaming.windows import (
     only_windows,
     read_stream_output,
@@ -59,7 +66,7 @@ def _bronze(spark: SparkSession, sf: str) -> str:
 
 
 def _bronze_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return stream_bronze(streaming_session(spark), _bronze(spark, sf))
+    return stream_bronze(streaming_session(spark), _bronze(spark, sf), ALL_FILES)
 
 
 def _gold_root(spark: SparkSession, sf: str) -> str:
@@ -183,7 +190,8 @@ def _stream_parity(spark: SparkSession, sf: str) -> DataFrame:
     """Streamed windows against their batch definition: number of disagreements."""
     root = _bronze(spark, sf)
     out = work_dir(spark, "parity")
-    stream = stream_windows(stream_bronze(streaming_session(spark), root), SIZES, GRACE)
+    arriving = stream_bronze(streaming_session(spark), root, ALL_FILES)
+    stream = stream_windows(arriving, SIZES, GRACE)
     run_stream(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
     streamed, _ = read_stream_output(spark, f"{out}/rows")
     batch = closed_windows_by_clock(read_bronze(spark, root), SIZES, GRACE)
@@ -220,11 +228,6 @@ def _medallion(spark: SparkSession, sf: str) -> DataFrame:
 # --- SQL ---
 
 _CLOSED = f"SELECT {WINDOW_SELECT} FROM closed_by_clock"
-_EVENTS = (
-    "exchange, symbol, event_type, round(price + 1e-11, 9) AS price, round(size + 1e-11, 9) AS size, side, "
-    "trade_id, round(best_bid + 1e-11, 9) AS best_bid, round(best_ask + 1e-11, 9) AS best_ask, "
-    "best_bid_size, best_ask_size, ts_event, ts_ingest"
-)
 _FIRST = "CASE WHEN window_size = '1m' THEN 2 ELSE 3 END"
 
 _CHECK_SQL = {
@@ -295,7 +298,7 @@ SELECT (SELECT count(*) FROM accepted) AS replayed_events,
 LAKE_QUERIES: dict[str, Query] = {
     "bronze_roundtrip": Query(
         _bronze_roundtrip,
-        with_ctes("market_events", select=f"SELECT {_EVENTS} FROM market_events"),
+        with_ctes("market_events", select=f"SELECT {EVENT_SELECT} FROM market_events"),
     ),
     "bronze_sink": Query(
         _bronze_sink,

@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from tapewell.config import FeedConfig, default_feed
 from tapewell.functions.windows import WINDOW_SIZES
 from tapewell.operators.normalize import events_of, normalize_tagged, rejects_of, to_quarantine
-from tapewell.operators.ordering import DEFAULT_GRACE_SECONDS
+from tapewell.operators.ordering import DEFAULT_GRACE_SECONDS, closed_windows_by_clock
 from tapewell.operators.quality import reconcile, sla_report
 from tapewell.plans.marts import build_marts
 from tapewell.session import ensure_session, streaming_session
 from tapewell.sinks.lake import land_quarantine, land_windows, write_bronze, write_run_summary
 from tapewell.sinks.versioned import read_gold
 from tapewell.sources.dimension import symbol_dimension
-from tapewell.sources.lake import read_bronze, stream_bronze
+from tapewell.sources.lake import ALL_FILES, read_bronze, stream_bronze
 from tapewell.sources.raw import read_raw_messages
 from tapewell.streaming.windows import read_stream_output, run_stream, stream_windows
 
@@ -38,6 +38,7 @@ def run_medallion(
     ts_ingest: Column | None = None,
     limit: int | None = None,
     run_checks: bool = True,
+    streaming: bool = False,
 ) -> DataFrame:
     """Run everything over recorded messages and return the one-row run summary.
 
@@ -45,6 +46,11 @@ def run_medallion(
     before; what a run needs only for itself (stream output and checkpoint) goes
     to folders of its own, so runs cannot get in each other's way. The messages
     are parsed once: events and rejects are both taken from the persisted result.
+
+    Recorded messages are bounded, so the closed windows come from their batch
+    definition, which gives the rows the stream gives and has no micro-batch to
+    fit. ``streaming`` sends bronze through the stream instead, as one micro-batch:
+    the files of a table are not in order of arrival, so they must not be split.
     """
     ensure_session(spark)
     run = uuid.uuid4().hex[:8]
@@ -69,11 +75,15 @@ def run_medallion(
     finally:
         tagged.unpersist()
 
-    arriving = stream_bronze(streaming_session(spark), paths["bronze"])
-    streamed = stream_windows(arriving, sizes, grace_seconds)
-    out, checkpoint = f"{root}/runs/{run}/stream", f"{root}/runs/{run}/checkpoint"
-    run_stream(streamed, out, checkpoint).awaitTermination()
-    closed, _late = read_stream_output(spark, out)
+    if streaming:
+        arriving = stream_bronze(streaming_session(spark), paths["bronze"], ALL_FILES)
+        out, checkpoint = f"{root}/runs/{run}/stream", f"{root}/runs/{run}/checkpoint"
+        run_stream(
+            stream_windows(arriving, sizes, grace_seconds), out, checkpoint
+        ).awaitTermination()
+        closed, _late = read_stream_output(spark, out)
+    else:
+        closed = closed_windows_by_clock(read_bronze(spark, paths["bronze"]), sizes, grace_seconds)
     window_rows = land_windows(closed, paths["windows"])
 
     marts = build_marts(spark, paths["bronze"], paths["gold"], sizes, run_checks)

@@ -306,8 +306,8 @@ def test_the_whole_run(spark, tmp_path):
     source = tmp_path / "raw.jsonl"
     raw_lines(source)
     root = str(tmp_path / "lake")
-    for _ in range(2):  # a second run replaces the first
-        row = run_medallion(spark, str(source), root).first()
+    for streaming in (False, True):  # both give the same; the second run replaces the first
+        row = run_medallion(spark, str(source), root, streaming=streaming).first()
         assert (row.replayed_events, row.bronze_rows, row.quarantined) == (119, 119, 1)
         assert (row.gold_snapshots, row.gold_violations) == (2, 0)
         assert row.gold_rows == read_gold(spark, root + "/gold").count() == 2 * (7 + 2)

@@ -16,6 +16,7 @@ from tapewell.catalog.base import (
     Query,
     market_events,
     result,
+    rounded,
     with_ctes,
 )
 from tapewell.config import TICKER_TOPIC, default_feed
@@ -283,7 +284,10 @@ def _symbol_dimension(spark: SparkSession, sf: str) -> DataFrame:
     """Every event's symbol as each exchange spells it, mapped back; unknown ones dropped."""
     config = default_feed()
     events = market_events(spark, sf).select("event_id", "symbol")
-    kinds = {"coinbase": ("coinbase_trade", F.col("symbol")), "binance_us": ("binance_trade", _native())}
+    kinds = {
+        "coinbase": ("coinbase_trade", F.col("symbol")),
+        "binance_us": ("binance_trade", _native()),
+    }
     parts = []
     for exchange, (kind, native) in kinds.items():
         fields = events.select(
@@ -369,15 +373,16 @@ _TRADE_OK = "event_type = 'trade' AND price > 0 AND size >= 0"
 _QUOTE_OK = "event_type = 'ticker' AND best_bid >= 0 AND best_ask >= 0 AND best_ask >= best_bid"
 
 _TRADE_ROW = (
-    "exchange, symbol, event_type, round(price + 1e-11, 9) AS price, round(size + 1e-11, 9) AS size, side, "
+    "exchange, symbol, event_type, " + rounded("price", "size") + ", side, "
     "{trade_id} AS trade_id, CAST(NULL AS DOUBLE) AS best_bid, CAST(NULL AS DOUBLE) AS best_ask, "
     "CAST(NULL AS DOUBLE) AS best_bid_size, CAST(NULL AS DOUBLE) AS best_ask_size, {ts} AS ts_event"
 )
 _QUOTE_ROW = (
     "{exchange} AS exchange, symbol, event_type, CAST(NULL AS DOUBLE) AS price, "
     "CAST(NULL AS DOUBLE) AS size, CAST(NULL AS VARCHAR) AS side, "
-    "CAST(NULL AS VARCHAR) AS trade_id, round(best_bid + 1e-11, 9) AS best_bid, "
-    "round(best_ask + 1e-11, 9) AS best_ask, CAST({bid_size} AS DOUBLE) AS best_bid_size, "
+    "CAST(NULL AS VARCHAR) AS trade_id, "
+    + rounded("best_bid", "best_ask")
+    + ", CAST({bid_size} AS DOUBLE) AS best_bid_size, "
     "CAST(NULL AS DOUBLE) AS best_ask_size, {ts} AS ts_event"
 )
 
@@ -403,7 +408,10 @@ _BINANCE_QUOTES = (
     + f" FROM market_events WHERE {_KNOWN} AND {_QUOTE_OK}"
 )
 
-_TRADE_REASON = "CASE WHEN price IS NULL THEN '''{key}''' ELSE concat('price must be > 0, got ', price) END"
+_TRADE_REASON = (
+    "CASE WHEN price IS NULL THEN '''{key}''' "
+    "ELSE concat('price must be > 0, got ', price) END"
+)
 _QUOTE_REASON = (
     "CASE WHEN best_ask < 0 THEN concat('best_ask must be >= 0, got ', best_ask) "
     "ELSE concat('crossed book: best_ask (', best_ask, ') < best_bid (', best_bid, ')') END"

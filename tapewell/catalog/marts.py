@@ -85,7 +85,8 @@ def _window_bounds(spark: SparkSession, sf: str) -> DataFrame:
 
 def _window_sizes(spark: SparkSession, sf: str) -> DataFrame:
     sized = with_window_sizes(market_events(spark, sf), SIZES)
-    return result(sized.groupBy("window_size", "symbol", "window_start").agg(F.count("*").alias("n")))
+    counted = sized.groupBy("window_size", "symbol", "window_start").agg(F.count("*").alias("n"))
+    return result(counted)
 
 
 def _join_windows(spark: SparkSession, sf: str) -> DataFrame:
@@ -162,16 +163,18 @@ MART_QUERIES: dict[str, Query] = {
         _silver_trades,
         with_ctes(
             "silver_trades",
-            select="SELECT exchange, symbol, trade_id, round(price + 1e-11, 9) AS price, "
-            "round(size + 1e-11, 9) AS size, side, ts_event, ts_ingest FROM silver_trades",
+            select="SELECT exchange, symbol, trade_id, "
+            + rounded("price", "size")
+            + ", side, ts_event, ts_ingest FROM silver_trades",
         ),
     ),
     "silver_trades_filter": Query(
         _silver_trades_filter,
         with_ctes(
             "market_events",
-            select="SELECT event_id, symbol, trade_id, round(price + 1e-11, 9) AS price, "
-            "round(size + 1e-11, 9) AS size, ts_event FROM market_events WHERE event_type = 'trade' "
+            select="SELECT event_id, symbol, trade_id, "
+            + rounded("price", "size")
+            + ", ts_event FROM market_events WHERE event_type = 'trade' "
             "AND price > 0 AND size >= 0 AND trade_id IS NOT NULL",
         ),
     ),
@@ -179,7 +182,7 @@ MART_QUERIES: dict[str, Query] = {
         _dedup_trades,
         with_ctes(
             "market_events",
-            select="SELECT symbol, trade_id, round(price + 1e-11, 9) AS price, round(size + 1e-11, 9) AS size, "
+            select="SELECT symbol, trade_id, " + rounded("price", "size") + ", "
             "side, event_id FROM (SELECT *, row_number() OVER (PARTITION BY symbol, trade_id "
             "ORDER BY ts_event, ts_ingest, price, size, exchange, side) AS rn FROM market_events "
             "WHERE event_type = 'trade' AND price > 0 AND size >= 0 AND trade_id IS NOT NULL) "
@@ -313,9 +316,9 @@ MART_QUERIES: dict[str, Query] = {
         lambda spark, sf: result(analytics.vwap_moving_average(gold(spark, sf))),
         with_ctes(
             "gold",
-            select="SELECT symbol, window_start, round(vwap + 1e-11, 9) AS vwap, round(avg(vwap) OVER "
+            select="SELECT symbol, window_start, " + rounded("vwap") + ", round(avg(vwap) OVER "
             "(PARTITION BY symbol ORDER BY window_start ROWS BETWEEN 2 PRECEDING AND CURRENT "
-            "ROW) + 1e-11, 9) AS vwap_ma3, round(trade_volume + 1e-11, 9) AS trade_volume, trade_count FROM gold "
+            "ROW) + 1e-11, 9) AS vwap_ma3, " + rounded("trade_volume") + ", trade_count FROM gold "
             "WHERE window_size = '1m' AND trade_count > 0",
         ),
     ),
@@ -349,7 +352,7 @@ MART_QUERIES: dict[str, Query] = {
         lambda spark, sf: result(analytics.spread_series(gold(spark, sf))),
         with_ctes(
             "gold",
-            select="SELECT symbol, window_start, round(avg_spread + 1e-11, 9) AS avg_spread FROM gold "
+            select="SELECT symbol, window_start, " + rounded("avg_spread") + " FROM gold "
             "WHERE window_size = '1m' AND ticker_count > 0",
         ),
     ),

@@ -71,7 +71,8 @@ def _coerce_frame(spark: SparkSession, sf: str) -> DataFrame:
         ).alias("ts_event"),
     )
     typed = coerce_event_frame(loose)
-    return result(typed.select("event_id", "price", "size", "best_bid", "best_ask_size", "ts_event"))
+    names = ("event_id", "price", "size", "best_bid", "best_ask_size", "ts_event")
+    return result(typed.select(*names))
 
 
 def _latency(spark: SparkSession, sf: str) -> DataFrame:
@@ -177,8 +178,8 @@ _EXPECTED = (
 _COMPLETE = (
     "(SELECT symbol, expected, coalesce(produced, 0) AS produced, "
     "round(100.0 * coalesce(produced, 0) / expected, 2) AS completeness_pct "
-    f"FROM {_EXPECTED} LEFT JOIN (SELECT symbol, count(*) AS produced FROM {_THIN} GROUP BY symbol) "
-    "USING (symbol))"
+    f"FROM {_EXPECTED} LEFT JOIN (SELECT symbol, count(*) AS produced FROM {_THIN} "
+    "GROUP BY symbol) USING (symbol))"
 )
 _LATENCY = (
     f"(SELECT round(quantile_cont((epoch_us(TIMESTAMP '{GOLD_BUILT_AT}') - epoch_us(ts_ingest)) "

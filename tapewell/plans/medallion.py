@@ -15,7 +15,7 @@ from tapewell.operators.normalize import events_of, normalize_tagged, rejects_of
 from tapewell.operators.ordering import DEFAULT_GRACE_SECONDS, closed_windows_by_clock
 from tapewell.operators.quality import reconcile, sla_report
 from tapewell.plans.marts import build_marts
-from tapewell.session import ensure_session, streaming_session
+from tapewell.session import ensure_session, stage, streaming_session
 from tapewell.sinks.lake import land_quarantine, land_windows, write_bronze, write_run_summary
 from tapewell.sinks.versioned import read_gold
 from tapewell.sources.dimension import symbol_dimension
@@ -83,7 +83,8 @@ def run_medallion(
         ).awaitTermination()
         closed, _late = read_stream_output(spark, out)
     else:
-        closed = closed_windows_by_clock(read_bronze(spark, paths["bronze"]), sizes, grace_seconds)
+        bronze = read_bronze(spark, paths["bronze"])
+        closed = stage(closed_windows_by_clock(bronze, sizes, grace_seconds), "closed-windows")
     window_rows = land_windows(closed, paths["windows"])
 
     marts = build_marts(spark, paths["bronze"], paths["gold"], sizes, run_checks)

@@ -184,7 +184,8 @@ def test_gold_csv_roundtrip(spark, gold, tmp_path):
 
 
 def test_routing_and_publishing(spark, frame, tmp_path):
-    df = frame([trade("BTC-USD", 1.0, 1.0, 0), quote("ETH-USD", 1.0, 2.0, 0), event(event_type="x")])
+    odd = event(event_type="x")
+    df = frame([trade("BTC-USD", 1.0, 1.0, 0), quote("ETH-USD", 1.0, 2.0, 0), odd])
     trades, tickers = route_events(df)
     assert [r.event_type for r in trades.collect()] == ["trade", "x"]
     assert [r.symbol for r in tickers.collect()] == ["ETH-USD"]
@@ -283,19 +284,30 @@ def test_parity_reports_every_kind_of_difference(gold):
 
 def raw_lines(path: Path) -> None:
     def line(seq, channel, event):
-        body = {"channel": channel, "timestamp": (at(seq)).isoformat(), "events": [event]}
-        return json.dumps(
-            {"seq": seq, "ts_recorded": at(seq).isoformat().replace("+00:00", "Z"),
-             "exchange": "coinbase", "channel": channel, "payload": body}
-        )
+        sent = at(seq).isoformat()
+        message = {
+            "seq": seq,
+            "ts_recorded": sent.replace("+00:00", "Z"),
+            "exchange": "coinbase",
+            "channel": channel,
+            "payload": {"channel": channel, "timestamp": sent, "events": [event]},
+        }
+        return json.dumps(message)
+
+    def a_trade(seq, k):
+        bad = (seq, k) == (50, 1)
+        return {
+            "product_id": "BTC-USD",
+            "trade_id": f"{seq}-{k}",
+            "price": "-1" if bad else str(100 + k),
+            "size": "1.5",
+            "time": (at(seq) + timedelta(milliseconds=k)).isoformat(),
+            "side": "BUY",
+        }
 
     lines = []
     for seq in range(0, 400, 10):
-        trades = [
-            {"product_id": "BTC-USD", "trade_id": f"{seq}-{k}", "price": str(100 + k - 2 * (k == 1 and seq == 50) * 101),
-             "size": "1.5", "time": (at(seq) + timedelta(milliseconds=k)).isoformat(), "side": "BUY"}
-            for k in range(2)
-        ]
+        trades = [a_trade(seq, k) for k in range(2)]
         lines.append(line(seq, "market_trades", {"type": "update", "trades": trades}))
         tick = {"product_id": "ETH-USD", "best_bid": "10", "best_ask": "10.5"}
         lines.append(line(seq + 5, "ticker", {"type": "update", "tickers": [tick]}))

@@ -33,10 +33,8 @@ def dim(spark):
 
 
 def raw(spark, *payloads, exchange="coinbase"):
-    rows = [
-        (i, INGEST, exchange, None, p if isinstance(p, str) else json.dumps(p, separators=(",", ":")))
-        for i, p in enumerate(payloads)
-    ]
+    texts = [p if isinstance(p, str) else json.dumps(p, separators=(",", ":")) for p in payloads]
+    rows = [(i, INGEST, exchange, None, text) for i, text in enumerate(texts)]
     return spark.createDataFrame(rows, RAW_SCHEMA)
 
 

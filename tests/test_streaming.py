@@ -60,8 +60,9 @@ def naive(seconds):
 
 
 def test_late_record_is_dropped_and_reported(feed):
-    times = [(10, 100.0, 1.0), (20, 100.0, 1.0), (70, 200.0, 1.0), (80, 200.0, 1.0), (30, 999.0, 5.0)]
-    feed.send([trade("BTC-USD", price, size, s) for s, price, size in times])
+    prices = {10: 100.0, 20: 100.0, 70: 200.0, 80: 200.0}
+    in_time = [trade("BTC-USD", price, 1.0, s) for s, price in prices.items()]
+    feed.send([*in_time, trade("BTC-USD", 999.0, 5.0, 30)])
     windows, late = feed.drain(stream_windows, {"1m": 60, "5m": 300}, 2)
     (first,) = windows.collect()
     assert (first.window_start, first.trade_count, first.vwap) == (naive(0), 2, 100.0)

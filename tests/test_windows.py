@@ -62,7 +62,8 @@ def test_quotes(frame):
 
 
 def test_unusable_events_still_make_a_window(frame):
-    rows = [event(price=1.0), event(event_type="ticker", best_bid=1.0), trade("ETH-USD", 1.0, 0.0, 0)]
+    one_sided = event(event_type="ticker", best_bid=1.0)
+    rows = [event(price=1.0), one_sided, trade("ETH-USD", 1.0, 0.0, 0)]
     btc, eth = compute_windows(frame(rows), 60, "1m").collect()
     assert (btc.event_count, btc.trade_volume, btc.vwap, btc.avg_mid) == (0, 0.0, None, None)
     assert (eth.trade_count, eth.vwap) == (1, None)

@@ -155,8 +155,13 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).when((a == "") | (b == ""), F.lit(0.0)).otherwise(same)
 
 
+def _cell(doc_id: Column) -> Column:
+    """Number of the range of ids, from 0 for the smallest a long can hold."""
+    return F.shiftrightunsigned(doc_id.bitwiseXOR(F.lit(-(1 << 63))), CELL_BITS)
+
+
 def _before(keys: DataFrame) -> DataFrame:
-    """(key, before) for distinct keys: the next smaller key, the largest for the smallest.
+    """(key, before) for distinct keys from 0 on: the next smaller key, the largest for the smallest.
 
     Keys are ordered within ranges of 512, the ranges by the same means, until one is left.
     """
@@ -178,7 +183,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     Documents are ordered in cells of 512 neighbouring ids; each cell also gets the first
     document of the next one. ``doc_id`` must not be null; equal ids are ordered by text.
     """
-    cell = F.shiftright("doc_id", CELL_BITS)
+    cell = _cell(F.col("doc_id"))
     firsts = stage(
         docs.groupBy(cell.alias("key")).agg(F.min(F.struct("doc_id")).alias("head")).select("key", "head.doc_id"), "firsts"
     )

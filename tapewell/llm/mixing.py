@@ -102,7 +102,7 @@ def draw_shards(quotas: np.ndarray, shard_slots: int = SHARD_SLOTS) -> np.ndarra
             left -= some
             wanted -= int(some.sum())
         shards.append(drawn)
-    return np.array(shards, np.int64).reshape(-1, len(quotas))
+    return np.array(shards, np.int64).reshape(len(shards), len(quotas))
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

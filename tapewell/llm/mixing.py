@@ -219,9 +219,12 @@ def _pieces(laid: DataFrame) -> DataFrame:
 
 
 def _taken_pieces(laid: DataFrame, sources: list[tuple[str | None, Source]]) -> DataFrame:
-    """Pieces with ``times``, how often their block is taken; blocks meet slots by index."""
+    """Pieces with ``times``, how often their block is taken; blocks meet slots by index.
+
+    Both sides grow with the corpus, so they are merged, never sent whole to a task.
+    """
     times = slots_of(laid.sparkSession, sources).groupBy("number", "block").agg(F.count("*").alias("times"))
-    return _pieces(laid).join(times, ["number", "block"])
+    return _pieces(laid).join(times.hint("merge"), ["number", "block"])
 
 
 def mixture_counts(docs: DataFrame) -> DataFrame:

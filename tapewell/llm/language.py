@@ -20,6 +20,7 @@ from .text import chunks, held_out, strings
 
 NO_LANGUAGE = "und"
 GRAM = 4
+CHUNK_BYTES = 1 << 20
 SLOT_BITS = 20
 SEEDS = (0x9E3779B1, 0x85EBCA77)
 # Fitting: texts per language, n-grams per language, fewest sightings of an n-gram, and how
@@ -74,7 +75,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         column = strings(batch.column("text"))
         langs = batch.column("lang").to_pylist()
-        for low, high in chunks(column):
+        for low, high in chunks(column, CHUNK_BYTES):
             found, owner = grams(column[low:high].to_pylist())
             names = sorted(set(langs[low:high]))
             codes = np.array([names.index(x) for x in langs[low:high]], np.uint64)
@@ -179,7 +180,7 @@ def identify_language(docs: DataFrame, filters: Filters, text: str = "text") ->
         for batch in batches:
             column = strings(batch.column(text))
             named, scores = [], []
-            for low, high in chunks(column):
+            for low, high in chunks(column, CHUNK_BYTES):
                 some, score = decide(column[low:high].to_pylist(), shared.value)
                 named += some
                 scores.append(score)

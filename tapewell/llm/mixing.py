@@ -24,7 +24,7 @@ from .text import chunks, mix, raw, strings, word_spans
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
 # Rows of one source that are numbered together; a source of any size is cut into such parts.
-PART_ROWS = 20_000
+PART_ROWS = 5_000
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 SEED = 20_011

@@ -20,7 +20,7 @@ from tapewell.catalog.base import (
     with_ctes,
 )
 from tapewell.config import TICKER_TOPIC, default_feed
-from tapewell.functions.events import encode_event, with_event_columns
+from tapewell.functions.events import decode_events, encode_event, with_event_columns
 from tapewell.functions.parsing import mid, parse_ts, spread
 from tapewell.operators.normalize import (
     events_of,
@@ -333,6 +333,24 @@ def _forced_topic(spark: SparkSession, sf: str) -> DataFrame:
     return records.groupBy("topic", "key").agg(F.count("*").alias("n"))
 
 
+def _decode_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Four of five encoded events damaged, each kind its own way: what is read and what refused."""
+    encoded = market_events(spark, sf).select("event_id", encode_event().alias("value"))
+    kind = F.col("event_id") % 5
+    damaged = (
+        F.when(kind == 1, F.lit("{}"))
+        .when(kind == 2, F.substring("value", 1, 20))
+        .when(kind == 3, F.regexp_replace("value", '"event_type":"[a-z]+"', '"event_type":"rumour"'))
+        .when(kind == 4, F.regexp_replace("value", r"^\{", '{"colour":"red",'))
+        .otherwise(F.col("value"))
+    )
+    events, rejects = decode_events(encoded.withColumn("value", damaged))
+    read = events.select("event_id", F.lit("read").alias("outcome"))
+    return read.unionByName(
+        rejects.select("event_id", F.trim(F.regexp_extract("reason", "^[a-z_ ]+", 0)).alias("outcome"))
+    )
+
+
 def _event_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     encoded = market_events(spark, sf).select("event_id", encode_event().alias("value"))
     return result(with_event_columns(encoded).select("event_id", *EVENT_COLUMNS))
@@ -548,6 +566,16 @@ FROM (SELECT symbol, count(*) AS n, count(*) FILTER (event_type = 'trade') AS tr
     "event_json_roundtrip": Query(
         _event_roundtrip, _from_events(f"SELECT event_id, {EVENT_SELECT} FROM market_events")
     ),
+    "decode_rejects": Query(
+        _decode_rejects,
+        _from_events(
+            "SELECT event_id, CASE WHEN event_id % 5 = 1 THEN 'missing field' "
+            "WHEN event_id % 5 = 2 THEN 'not a' WHEN event_id % 5 = 4 THEN 'unknown fields' "
+            "WHEN event_id % 5 = 3 OR event_type NOT IN ('trade', 'ticker') THEN 'unknown event_type' "
+            "WHEN price <= 0 THEN 'price must be' WHEN best_ask < best_bid THEN 'crossed book' "
+            "ELSE 'read' END AS outcome FROM market_events"
+        ),
+    ),
     "spread_mid": Query(
         _spread_mid,
         _from_events(

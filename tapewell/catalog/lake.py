@@ -23,7 +23,7 @@ from tapewell.catalog.feeds import coinbase_messages
 from tapewell.operators import analytics
 from tapewell.operators.contract import apply_contract
 from tapewell.operators.ordering import closed_windows_by_clock
-from tapewell.operators.quality import reconcile, windows_parity
+from tapewell.operators.quality import parity_by_size, reconcile
 from tapewell.operators.silver import silver_ticker, silver_trades
 from tapewell.plans.marts import mart_checks
 from tapewell.plans.medallion import run_medallion
@@ -58,6 +58,9 @@ from tapewell.streaming.windows import (
 
 GENERATION = 1  # makes snapshot ids repeatable: 2 for the first append, 3 for the second
 
+# Ample for the state of the registered streams: a few windows of a few symbols.
+STATE_PARTITIONS = 8
+
 
 def _bronze(spark: SparkSession, sf: str) -> str:
     root = work_dir(spark, "bronze")
@@ -66,7 +69,7 @@ def _bronze(spark: SparkSession, sf: str) -> str:
 
 
 def _bronze_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return stream_bronze(streaming_session(spark), _bronze(spark, sf), ALL_FILES)
+    return stream_bronze(streaming_session(spark, STATE_PARTITIONS), _bronze(spark, sf), ALL_FILES)
 
 
 def _gold_root(spark: SparkSession, sf: str) -> str:
@@ -187,15 +190,15 @@ def _stream_global(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_parity(spark: SparkSession, sf: str) -> DataFrame:
-    """Streamed windows against their batch definition: number of disagreements."""
+    """Streamed windows against their batch definition: agreeing and disagreeing, per size."""
     root = _bronze(spark, sf)
     out = work_dir(spark, "parity")
-    arriving = stream_bronze(streaming_session(spark), root, ALL_FILES)
+    arriving = stream_bronze(streaming_session(spark, STATE_PARTITIONS), root, ALL_FILES)
     stream = stream_windows(arriving, SIZES, GRACE)
     run_stream(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
     streamed, _ = read_stream_output(spark, f"{out}/rows")
     batch = closed_windows_by_clock(read_bronze(spark, root), SIZES, GRACE)
-    return windows_parity(streamed, batch).agg(F.count("*").alias("mismatches"))
+    return parity_by_size(streamed, batch)
 
 
 def _marts(spark: SparkSession, sf: str) -> DataFrame:
@@ -391,8 +394,8 @@ GROUP BY bad""",
         _stream_parity,
         with_ctes(
             "closed_by_clock",
-            select="SELECT count(*) - count(DISTINCT (symbol, source, window_size, window_start)) "
-            "AS mismatches FROM closed_by_clock",
+            select="SELECT window_size, count(DISTINCT (symbol, source, window_start)) AS matched, "
+            "CAST(0 AS BIGINT) AS mismatches FROM closed_by_clock GROUP BY window_size",
         ),
     ),
     "mart_checks": Query(

@@ -80,16 +80,11 @@ def _latency(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _completeness(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.completeness(market_events(spark, sf), _thin_gold(spark, sf), SIZES)
-
-
-def _thin_gold(spark: SparkSession, sf: str) -> DataFrame:
-    """Gold without the windows of early mornings, so that something is missing."""
-    return gold(spark, sf).where(F.hour("window_start") >= 2)
+    return quality.completeness(market_events(spark, sf), gold(spark, sf), SIZES)
 
 
 def _sla(spark: SparkSession, sf: str) -> DataFrame:
-    report = quality.sla_report(market_events(spark, sf), _thin_gold(spark, sf), _built(), SIZES)
+    report = quality.sla_report(market_events(spark, sf), gold(spark, sf), _built(), SIZES)
     worst = F.array_min(F.map_values("completeness_by_symbol"))
     return report.withColumn("symbols", F.size("completeness_by_symbol")).withColumn(
         "worst_in_map", worst
@@ -149,7 +144,7 @@ def _windows_parity(spark: SparkSession, sf: str) -> DataFrame:
         trade_windows(silver_trades(events), SIZES), ticker_windows(silver_ticker(events), SIZES)
     ).withColumn("event_count", F.col("trade_count") + F.col("ticker_count"))
     keys = ("symbol", "window_size", "window_start")
-    return count_rows(quality.windows_parity(gold(spark, sf), separate, keys), "mismatches")
+    return quality.parity_by_size(gold(spark, sf), separate, keys)
 
 
 _ISIN_SYMBOLS = f"isin([{SYMBOL_LIST}])".replace("'", "''")
@@ -169,7 +164,7 @@ _BROKEN = " || ".join(
 )
 _TAGGED = f"(SELECT *, list_sort({_BROKEN}) AS broken FROM market_events)"
 
-_THIN = "(SELECT * FROM gold WHERE hour(window_start) >= 2)"
+_GOLD = "gold"
 
 _EXPECTED = (
     "(SELECT symbol, count(*) AS expected FROM (SELECT DISTINCT symbol, window_size, "
@@ -178,7 +173,7 @@ _EXPECTED = (
 _COMPLETE = (
     "(SELECT symbol, expected, coalesce(produced, 0) AS produced, "
     "round(100.0 * coalesce(produced, 0) / expected, 2) AS completeness_pct "
-    f"FROM {_EXPECTED} LEFT JOIN (SELECT symbol, count(*) AS produced FROM {_THIN} "
+    f"FROM {_EXPECTED} LEFT JOIN (SELECT symbol, count(*) AS produced FROM {_GOLD} "
     "GROUP BY symbol) USING (symbol))"
 )
 _LATENCY = (
@@ -273,11 +268,11 @@ FROM (SELECT (SELECT latency_p95_s FROM """
             + _LATENCY
             + """) AS latency_p95_s, CAST(60 AS DOUBLE) AS latency_target_s,
   (SELECT count(*) FROM """
-            + _THIN
+            + _GOLD
             + """) AS windows_produced, CAST(sum(expected) AS BIGINT) AS windows_expected,
   min(completeness_pct) AS completeness_pct, CAST(99 AS DOUBLE) AS completeness_target_pct,
   (SELECT count(*) FROM """
-            + _THIN
+            + _GOLD
             + f" WHERE {_BAD_GOLD}) AS gold_violations, CAST(count(*) AS INT) AS symbols, "
             + "min(completeness_pct) AS worst_in_map FROM "
             + _COMPLETE
@@ -363,10 +358,13 @@ FROM (SELECT (SELECT latency_p95_s FROM """
         with_ctes(
             "gold",
             "joined_windows",
-            select="SELECT 'mismatches' AS check_name, count(*) AS violations FROM gold g "
-            "FULL OUTER JOIN joined_windows j USING (symbol, window_size, window_start) "
-            "WHERE g.trade_count IS DISTINCT FROM j.trade_count "
-            "OR g.ticker_count IS DISTINCT FROM j.ticker_count",
+            select="SELECT window_size, count(*) FILTER (same) AS matched, "
+            "count(*) FILTER (NOT same) AS mismatches FROM (SELECT window_size, "
+            "g.trade_count IS NOT DISTINCT FROM j.trade_count "
+            "AND g.ticker_count IS NOT DISTINCT FROM j.ticker_count "
+            "AND abs(coalesce(g.vwap, 0) - coalesce(j.vwap, 0)) < 1e-6 AS same FROM gold g "
+            "FULL OUTER JOIN joined_windows j USING (symbol, window_size, window_start)) "
+            "GROUP BY window_size",
         ),
     ),
 }

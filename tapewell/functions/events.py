@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapewell.functions.checks import ingest_check
 from tapewell.functions.windows import iso_utc
-from tapewell.schemas import EVENT_COLUMNS, EVENT_SCHEMA
+from tapewell.schemas import EVENT_COLUMNS, EVENT_SCHEMA, FLOAT_COLUMNS
 
 TIMESTAMPS = ("ts_event", "ts_ingest")
+REQUIRED = ("exchange", "symbol", "event_type", *TIMESTAMPS)
+# The kinds of event and the sides of a trade.
+ALLOWED = {"event_type": ("trade", "ticker"), "side": ("buy", "sell")}
 
 
 def encode_event() -> Column:
@@ -20,16 +24,61 @@ def encode_event() -> Column:
     return F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
 
 
+def form_problem(text: Column, event: Column) -> Column:
+    """Why ``text``, read as ``event``, does not have the form of an event; null if it has.
+
+    In this order: not a JSON object, unknown fields, a required field without a value, a
+    value that cannot be read as its type.
+    """
+    keys = F.json_object_keys(text)
+    names = F.array(*[F.lit(name) for name in EVENT_COLUMNS])
+    unknown = F.array_except(keys, names)
+    given = {name: F.get_json_object(text, f"$.{name}") for name in EVENT_COLUMNS}
+    rules = [
+        F.when(keys.isNull(), F.lit("not a JSON object")),
+        F.when(F.size(unknown) > 0, F.concat(F.lit("unknown fields: "), F.array_join(unknown, ", "))),
+        *[F.when(given[name].isNull(), F.lit(f"missing field: {name}")) for name in REQUIRED],
+        *[
+            F.when(given[name].isNotNull() & event[name].isNull(), F.lit(f"unreadable field: {name}"))
+            for name in EVENT_COLUMNS
+        ],
+    ]
+    return F.coalesce(*rules)
+
+
+def event_problem(text: Column, event: Column) -> Column:
+    """Why ``text``, read as ``event``, is not a valid event: its form, its words, its numbers."""
+    words = [
+        F.when(~event[name].isin(*allowed), F.concat(F.lit(f"unknown {name}: "), event[name]))
+        for name, allowed in ALLOWED.items()
+    ]
+    numbers = ingest_check({name: event[name] for name in FLOAT_COLUMNS})
+    return F.coalesce(form_problem(text, event), *words, numbers)
+
+
 def decode_event(text: Column) -> Column:
-    """JSON text back to an event struct; fails on fields an event does not have."""
+    """JSON text back to an event struct; fails on a text that has not the form of an event.
+
+    Events that break the contract travel like others, for the contract to sort out;
+    :func:`decode_events` refuses those too.
+    """
     event = F.from_json(text, EVENT_SCHEMA)
-    names = F.array(*[F.lit(name) for name in EVENT_COLUMNS])
-    unknown = F.array_except(F.json_object_keys(text), names)
-    problem = F.concat(
-        F.lit("not a market event, unknown or unreadable fields: "),
-        F.coalesce(F.array_join(unknown, ", "), text, F.lit("null")),
+    problem = form_problem(text, event)
+    refused = F.concat(F.lit("not a market event, "), problem)
+    return F.when(problem.isNull(), event).otherwise(F.raise_error(refused).cast(EVENT_SCHEMA))
+
+
+def decode_events(df: DataFrame, text: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(events, rejects) of a column of event JSON: one bad text does not stop the others.
+
+    Events have the event columns in place of the text, rejects the text and a ``reason``.
+    """
+    rest = [name for name in df.columns if name != text]
+    read = df.withColumn("_event", F.from_json(F.col(text), EVENT_SCHEMA)).withColumn(
+        "reason", event_problem(F.coalesce(F.col(text), F.lit("")), F.col("_event"))
     )
-    return F.when(F.size(unknown) == 0, event).otherwise(F.raise_error(problem).cast(EVENT_SCHEMA))
+    events = read.where(F.col("reason").isNull()).select(*rest, "_event.*")
+    return events, read.where(F.col("reason").isNotNull()).select(*rest, text, "reason")
 
 
 def with_event_columns(df: DataFrame, text: str = "value") -> DataFrame:

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from tapewell.functions.windows import WINDOW_SIZES, add_seconds, with_window_sizes
 from tapewell.operators.windows import (
     EVENT_SUMS,
-    closed_windows,
     event_terms,
     metrics_of_sums,
     source_of,
@@ -164,6 +163,9 @@ def closed_windows_by_clock(
             F.max("ts_event").alias("newest"),
         )
     )
-    clocks = sums.groupBy("symbol", "source").agg(F.max("newest").alias("watermark"))
-    metrics = metrics_of_sums(sums, ("source",))
-    return closed_windows(metrics, clocks, grace_seconds, ("symbol", "source"))
+    # A clock is the newest event over a key's window sums, a row per window: the sums are
+    # not computed a second time to be joined with themselves.
+    clock = F.max("newest").over(Window.partitionBy("symbol", "source"))
+    closes_at = add_seconds(F.col("window_end"), grace_seconds)
+    closed = sums.withColumn("watermark", clock).where(F.col("watermark") >= closes_at)
+    return metrics_of_sums(closed.drop("watermark"), ("source",))

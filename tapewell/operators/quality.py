@@ -260,6 +260,23 @@ METRICS = ("vwap", "trade_volume", "avg_spread", "avg_mid")
 COUNTS = ("trade_count", "ticker_count", "event_count")
 
 
+def parity_by_size(
+    streamed: DataFrame, batch: DataFrame, keys: Sequence[str] = (*KEYS, "source")
+) -> DataFrame:
+    """Per window size: windows on which two computations agree, and on which they do not."""
+    keys = list(keys)
+    problems = windows_parity(streamed, batch, keys)
+    either = streamed.select(*keys).unionByName(batch.select(*keys)).distinct()
+    return (
+        either.join(problems, keys, "left")
+        .groupBy("window_size")
+        .agg(
+            F.count_if(F.col("problem").isNull()).alias("matched"),
+            F.count_if(F.col("problem").isNotNull()).alias("mismatches"),
+        )
+    )
+
+
 def windows_parity(
     streamed: DataFrame, batch: DataFrame, keys: Sequence[str] = (*KEYS, "source")
 ) -> DataFrame:

@@ -39,6 +39,7 @@ def run_medallion(
     limit: int | None = None,
     run_checks: bool = True,
     streaming: bool = False,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """Run everything over recorded messages and return the one-row run summary.
 
@@ -76,7 +77,7 @@ def run_medallion(
         tagged.unpersist()
 
     if streaming:
-        arriving = stream_bronze(streaming_session(spark), paths["bronze"], ALL_FILES)
+        arriving = stream_bronze(streaming_session(spark, state_partitions), paths["bronze"], ALL_FILES)
         out, checkpoint = f"{root}/runs/{run}/stream", f"{root}/runs/{run}/checkpoint"
         run_stream(
             stream_windows(arriving, sizes, grace_seconds), out, checkpoint

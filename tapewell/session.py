@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,31 +40,29 @@ def ensure_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def streaming_session(spark: SparkSession) -> SparkSession:
+def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A session of the same application for stateful streams.
 
     A stateful stream opens one state store per shuffle partition and keeps that
-    number for good, so it gets no more partitions than the application has cores.
+    number for good. Choose ``state_partitions`` for the state the stream will hold at
+    its largest; without it the session's own number of shuffle partitions stays.
     """
     session = ensure_session(spark.newSession())
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
-    session.conf.set("spark.sql.shuffle.partitions", str(min(wanted, cores)))
+    session.conf.set(
+        "spark.sql.shuffle.partitions",
+        str(state_partitions or spark.conf.get("spark.sql.shuffle.partitions")),
+    )
     return session
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint folder named by the cluster.
 
-    Only a local master may fall back to a folder of its own machine.
+    A session that names none has its warehouse, which all executors share as well.
     """
-    context = spark.sparkContext
-    base = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tapewell-"))
-        base = context.getCheckpointDir()
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +17,7 @@ from tapewell.schemas import (
     RAW_SCHEMA,
     WINDOW_SCHEMA,
 )
+from tapewell.session import stage
 
 BRONZE_PARTITIONS = ("event_type", "symbol")
 WINDOW_PARTITIONS = ("window_size", "source")
@@ -37,14 +38,24 @@ def _land(df: DataFrame, root: str, partitions: tuple[str, ...], clear: bool) ->
 
     ``rebalance`` groups rows by table partition so that tasks do not each write a
     file per partition, and lets adaptive execution split a partition that holds a
-    large share of all rows and merge the small ones.
+    large share of all rows and merge the small ones. ``df`` is evaluated once; the rows
+    counted are those of this write, whoever else writes.
     """
-    if df.isEmpty():
-        return 0
-    before = 0 if clear else _rows_landed(df, root)
-    writer = df.hint("rebalance", *partitions).write.partitionBy(*partitions)
-    writer.mode("overwrite" if clear else "append").parquet(root)
-    return _rows_landed(df, root) - before
+    if clear:
+        # The old table may go only once there are rows, so these are written down first.
+        df = stage(df, "landing")
+        landed = df.count()
+        if landed:
+            _write(df, root, partitions, "overwrite")
+        return landed
+    seen = Observation()
+    _write(df.observe(seen, F.count(F.lit(1)).alias("rows")), root, partitions, "append")
+    return seen.get["rows"]
+
+
+def _write(df: DataFrame, root: str, partitions: tuple[str, ...], mode: str) -> None:
+    rebalanced = df.hint("rebalance", *partitions)
+    rebalanced.write.partitionBy(*partitions).mode(mode).parquet(root)
 
 
 def write_bronze(events: DataFrame, root: str, clear: bool = True) -> int:

@@ -2,14 +2,32 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tapewell.operators.normalize import events_of, normalize_tagged, rejects_of, to_quarantine
 from tapewell.sinks.lake import BRONZE_PARTITIONS
 
 
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run a checkpoint belongs to, written beside its state when it starts.
+
+    Batch numbers start again with a new checkpoint, so they name a batch only within a run.
+    """
+    path = f"{checkpoint.rstrip('/')}/tapewell-run"
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+    spark.createDataFrame([(uuid.uuid4().hex,)], "value string").write.text(path)
+    return spark.read.text(path).first()[0]
+
+
 def stream_normalize(
     raw: DataFrame,
     dim: DataFrame | None,
@@ -22,9 +40,11 @@ def stream_normalize(
     """Normalize raw messages into an event table and a quarantine table.
 
     A bad sub-record goes to the quarantine and never stops the stream. Every
-    micro-batch is parsed once and written under its own ``batch_id`` folder,
-    which a repeated batch overwrites, so each record lands exactly once.
+    micro-batch is parsed once and written under a folder of its run and ``batch_id``,
+    which a repeated batch overwrites, so each record lands exactly once. A run is what
+    shares a checkpoint: a new checkpoint on the same roots adds to them.
     """
+    run = run_of(raw.sparkSession, checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         tagged = normalize_tagged(batch, dim, ts_ingest)
@@ -35,10 +55,10 @@ def stream_normalize(
                 .hint("rebalance", *BRONZE_PARTITIONS)
                 .write.mode("overwrite")
                 .partitionBy(*BRONZE_PARTITIONS)
-                .parquet(f"{events_root}/batch_id={batch_id}")
+                .parquet(f"{events_root}/run={run}/batch_id={batch_id}")
             )
             to_quarantine(rejects_of(tagged)).write.mode("overwrite").parquet(
-                f"{quarantine_root}/batch_id={batch_id}"
+                f"{quarantine_root}/run={run}/batch_id={batch_id}"
             )
         finally:
             tagged.unpersist()

@@ -17,6 +17,7 @@ from tapewell.functions.parsing import (
     strict_double,
     ts_from_millis,
 )
+from tapewell.schemas import EVENT_SCHEMA
 from tests.conftest import BASE, event, quote, trade
 
 
@@ -122,3 +123,34 @@ def test_iso_text_keeps_fractions(spark):
         "2026-03-01T00:00:00+00:00",
         "2026-03-01T00:00:00.000005+00:00",
     ]
+
+
+@pytest.mark.parametrize(
+    ("change", "reason"),
+    [
+        ({}, None),
+        ({"price": "abc"}, "unreadable field: price"),
+        ({"price": -7.5}, "price must be > 0, got -7.5"),
+        ({"symbol": None}, "missing field: symbol"),
+        ({"side": "up"}, "unknown side: up"),
+        ({"ts_event": "yesterday"}, "unreadable field: ts_event"),
+        ({"note": 1}, "unknown fields: note"),
+    ],
+)
+def test_decoding_tells_why_a_text_is_no_event(spark, change, reason):
+    import json
+
+    from tapewell.functions.events import decode_events
+
+    good = json.loads(spark.createDataFrame([event(price=3.0)], EVENT_SCHEMA).select(encode_event()).first()[0])
+    df = spark.createDataFrame([(1, json.dumps(good | change))], "n int, value string")
+    events, rejects = decode_events(df)
+    assert [r["reason"] for r in rejects.collect()] == ([] if reason is None else [reason])
+    assert events.count() == (reason is None)
+
+
+def test_null_and_broken_texts_are_rejects(spark):
+    from tapewell.functions.events import decode_events
+
+    events, rejects = decode_events(spark.createDataFrame([(None,), ("{bro",), ("[]",), ("",)], "value string"))
+    assert events.count() == 0 and {r["reason"] for r in rejects.collect()} == {"not a JSON object"}

@@ -41,7 +41,7 @@ class Feed:
         self.frame(numbered).coalesce(1).write.mode("append").parquet(f"{self.folder}/in")
 
     def stream(self):
-        session = streaming_session(self.spark)
+        session = streaming_session(self.spark, 8)
         return session.readStream.schema(BRONZE_SCHEMA).parquet(f"{self.folder}/in")
 
     def drain(self, build=stream_windows, *args):
@@ -186,3 +186,14 @@ def test_live_normalization_isolates_bad_records(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "bad")).count() == 2
     with pytest.raises(ValueError, match="folder or Kafka"):
         stream_raw_messages(spark)
+
+    # A new checkpoint numbers its batches from 0 again and must not touch what is there.
+    before = spark.read.parquet(str(tmp_path / "events")).count()
+    stream_normalize(
+        stream_raw_messages(spark, str(source)),
+        dim,
+        str(tmp_path / "events"),
+        str(tmp_path / "bad"),
+        str(tmp_path / "other"),
+    ).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "events")).count() == 2 * before

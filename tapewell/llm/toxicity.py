@@ -23,7 +23,7 @@ SLOTS = 1 << 20
 BEGINNINGS = (4, 5, 6, 7, 8)
 PARTS = 1 + len(BEGINNINGS)
 # Fitting: labelled texts per label, fewest texts a slot is seen in, passes, step, decay.
-SAMPLE_PER_LABEL = 6000
+SAMPLE_PER_LABEL = 4000
 LEAST_TEXTS = 5
 PASSES = 8
 BATCH = 128
@@ -98,7 +98,7 @@ def noisy_or(owner: np.ndarray, scores: np.ndarray, n: int) -> np.ndarray:
 
 
 def fit_model(texts: list[tuple[np.ndarray, np.ndarray]], labels, weights, passes: int = PASSES) -> Model:
-    """``texts``: (slots, sentence of each slot) per text; Adagrad on the text's log loss."""
+    """``texts``: (slots, slots per sentence) per text; Adagrad on the text's log loss."""
     table = np.zeros(SLOTS, np.float32)
     if not len(texts) or len(set(labels.tolist())) < 2:
         return Model(START_BIAS, table)
@@ -108,8 +108,8 @@ def fit_model(texts: list[tuple[np.ndarray, np.ndarray]], labels, weights, passe
     known = seen >= LEAST_TEXTS
     known[0] = False
     texts = [
-        (slots[known[slots]], place[known[slots]], int(place.max()) + 1 if len(place) else 0)
-        for slots, place in texts
+        (slots[known[slots]], np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[known[slots]], len(sizes))
+        for slots, sizes in texts
     ]
     power = np.full(SLOTS, 1e-4, np.float32)
     bias, power_bias = START_BIAS, 1e-4
@@ -147,19 +147,20 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for low, high in chunks(column):
             found = sentences(column[low:high])
             n = high - low
-            per_sentence = np.diff(np.append(found.first, len(found.slots)))
-            word_owner = np.repeat(found.owner, per_sentence)
-            ahead = np.searchsorted(found.owner, np.arange(n))
-            place = np.repeat(np.arange(len(found.first)) - ahead[found.owner], per_sentence)
-            parts = pa.array(np.searchsorted(word_owner, np.arange(n + 1)), pa.int32())
+            used = found.slots != 0
+            ends = np.append(found.first, len(found.slots))
+            before = np.concatenate([[0], np.cumsum(used)])[ends]
+            by_text = np.searchsorted(found.owner, np.arange(n + 1))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("label")[low:high],
                     batch.column("weight")[low:high],
-                    pa.ListArray.from_arrays(parts, pa.array(found.slots, pa.int32())),
-                    pa.ListArray.from_arrays(parts, pa.array(place, pa.int32())),
+                    pa.ListArray.from_arrays(pa.array(before[by_text], pa.int32()), pa.array(found.slots[used])),
+                    pa.ListArray.from_arrays(
+                        pa.array(by_text, pa.int32()), pa.array(np.diff(before).astype(np.int32))
+                    ),
                 ],
-                ["label", "weight", "slots", "place"],
+                ["label", "weight", "slots", "sizes"],
             )
 
 
@@ -171,17 +172,17 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_P
         docs.select("doc_id", "text")
         .join(chosen, "doc_id")
         .select("text", "label", "weight")
-        .mapInArrow(_bags, "label int, weight double, slots array<int>, place array<int>")
+        .mapInArrow(_bags, "label int, weight double, slots array<int>, sizes array<int>")
         .toArrow()
     )
     texts: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in rows.to_batches():
-        cuts = np.cumsum(batch.column("slots").value_lengths().to_numpy(zero_copy_only=False))[:-1]
-        texts += zip(
-            np.split(batch.column("slots").flatten().to_numpy(), cuts),
-            np.split(batch.column("place").flatten().to_numpy(), cuts),
-            strict=True,
-        )
+        columns = []
+        for name in ("slots", "sizes"):
+            lists = batch.column(name)
+            cuts = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))[:-1]
+            columns.append(np.split(lists.flatten().to_numpy(), cuts))
+        texts += zip(*columns, strict=True)
     return fit_model(
         texts, rows.column("label").to_numpy().astype(np.float64), rows.column("weight").to_numpy().astype(np.float64)
     )

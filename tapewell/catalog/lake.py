@@ -31,8 +31,8 @@ from tapewell.schemas import EVENT_COLUMNS
 from tapewell.session import stage, streaming_session, work_dir
 from tapewell.sinks.lake import (
     land_windows,
+    record_emitter,
     start_bronze_sink,
-    start_record_sink,
     write_bronze,
     write_gold_csv,
     write_raw_messages,
@@ -47,7 +47,6 @@ from tapewell.sources.lake import (
     stream_bronze,
 )
 from tapewell.streaming.windows import (
-    only_windows,
     read_stream_output,
     run_stream,
     stream_ticker_windows,
@@ -140,13 +139,36 @@ def _windows_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return result(read_windows(spark, root))
 
 
+# The registered streams take their input in as many micro-batches as there are slices.
+SLICES = 3
+
+
+def _streamed(
+    spark: SparkSession, sf: str, build=stream_windows, **options
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Events landed slice by slice in order of arrival, each taken in by the same stream."""
+    out = work_dir(spark, "stream")
+    events = arrived_events(spark, sf)
+    shares = [i / SLICES for i in range(1, SLICES)]
+    cuts = events.approxQuantile("arrival_seq", shares, 0.01)
+    number = F.when(F.lit(False), 0)
+    for i, cut in enumerate(cuts):
+        number = number.when(F.col("arrival_seq") < cut, i)
+    sliced = events.withColumn("_slice", number.otherwise(len(cuts)))
+    for i in range(SLICES):
+        write_bronze(sliced.where(F.col("_slice") == i), f"{out}/in", clear=False)
+        stream = stream_bronze(spark.newSession(), f"{out}/in")
+        build(
+            stream, f"{out}/rows", f"{out}/checkpoint", SIZES, GRACE, **options
+        ).awaitTermination()
+    return *read_stream_output(spark, f"{out}/rows"), read_bronze(spark, f"{out}/in")
+
+
 def _emit_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Closed windows streamed out as JSON records, then parsed back."""
     out = work_dir(spark, "records")
-    closed = only_windows(stream_windows(_bronze_stream(spark, sf), SIZES, GRACE))
-    start_record_sink(
-        window_records(closed), f"{out}/checkpoint", path=f"{out}/text"
-    ).awaitTermination()
+    write = record_emitter(path=f"{out}/text")
+    _streamed(spark, sf, emit=lambda closed, batch: write(window_records(closed), batch))
     lines = spark.read.schema("value string").text(f"{out}/text")
     bounds = [
         F.get_json_object("value", f"$.{name}").alias(f"{name}_text")
@@ -155,13 +177,6 @@ def _emit_windows(spark: SparkSession, sf: str) -> DataFrame:
     return result(parse_window_records(lines, *bounds))
 
 
-def _streamed(spark: SparkSession, sf: str, build) -> tuple[DataFrame, DataFrame]:
-    out = work_dir(spark, "stream")
-    stream = build(_bronze_stream(spark, sf), SIZES, GRACE)
-    run_stream(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    return read_stream_output(spark, f"{out}/rows")
-
-
 def _stream_windows(spark: SparkSession, sf: str) -> DataFrame:
     return result(_streamed(spark, sf, stream_windows)[0])
 
@@ -191,14 +206,8 @@ def _stream_global(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stream_parity(spark: SparkSession, sf: str) -> DataFrame:
     """Streamed windows against their batch definition: agreeing and disagreeing, per size."""
-    root = _bronze(spark, sf)
-    out = work_dir(spark, "parity")
-    arriving = stream_bronze(streaming_session(spark, STATE_PARTITIONS), root, ALL_FILES)
-    stream = stream_windows(arriving, SIZES, GRACE)
-    run_stream(stream, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    streamed, _ = read_stream_output(spark, f"{out}/rows")
-    batch = closed_windows_by_clock(read_bronze(spark, root), SIZES, GRACE)
-    return parity_by_size(streamed, batch)
+    streamed, _, bronze = _streamed(spark, sf)
+    return parity_by_size(streamed, closed_windows_by_clock(bronze, SIZES, GRACE))
 
 
 def _marts(spark: SparkSession, sf: str) -> DataFrame:

@@ -23,7 +23,7 @@ from tapewell.functions.parsing import (
     strict_double,
     ts_from_millis,
 )
-from tapewell.schemas import ARRIVAL, EVENT_COLUMNS
+from tapewell.schemas import ARRIVAL, EVENT_COLUMNS, POSITION
 from tapewell.schemas import FLOAT_COLUMNS as NUMBERS
 
 # Kinds of sub-record.
@@ -65,16 +65,14 @@ _FIELDS = {
     "A": "bn_ask_quantity",
 }
 
-# Sub-records of one message are numbered in these low bits of the arrival number; a message
-# of several megabytes holds fewer. What is left is for the message number.
-ORDINAL_BITS = 16
-MESSAGE_LIMIT = 1 << (63 - ORDINAL_BITS)
+# Exchanges with a normalizer.
+EXCHANGES = ("coinbase", "binance_us")
 
 _RECORD = "record"
 
 
 def _gate_exchanges(raw: DataFrame) -> DataFrame:
-    known = F.col("exchange").isin("coinbase", "binance_us")
+    known = F.col("exchange").isin(*EXCHANGES)
     complaint = F.concat(F.lit("no normalizer for exchange "), F.col("exchange"))
     return raw.where(F.when(known, True).otherwise(F.raise_error(complaint).cast("boolean")))
 
@@ -297,16 +295,6 @@ def _by_kind(fields: DataFrame) -> DataFrame:
     )
 
 
-def _arrival_number() -> Column:
-    """Message number, then position in the message, as one increasing number."""
-    seq = F.col("seq")
-    number = F.shiftleft(seq, ORDINAL_BITS) + F.col("ordinal")
-    complaint = F.concat(F.lit("message number out of range: "), seq.cast("string"))
-    return F.when(
-        (seq < MESSAGE_LIMIT) & (F.col("ordinal") < (1 << ORDINAL_BITS)) | seq.isNull(), number
-    ).otherwise(F.raise_error(complaint).cast("bigint"))
-
-
 def tag_records(fields: DataFrame) -> DataFrame:
     """Type every field and work out the reason, if any, to reject the sub-record.
 
@@ -346,7 +334,8 @@ def tag_records(fields: DataFrame) -> DataFrame:
     }
     return checked.select(
         "seq",
-        _arrival_number().alias(ARRIVAL),
+        F.col("seq").alias(ARRIVAL),
+        F.col("ordinal").cast("bigint").alias(POSITION),
         *[event.get(name, F.col(name)).alias(name) for name in EVENT_COLUMNS],
         "reason",
         "record",
@@ -383,7 +372,7 @@ def normalize_tagged(
 
 
 def events_of(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.col("reason").isNull()).select(*EVENT_COLUMNS, ARRIVAL)
+    return tagged.where(F.col("reason").isNull()).select(*EVENT_COLUMNS, ARRIVAL, POSITION)
 
 
 def rejects_of(tagged: DataFrame) -> DataFrame:

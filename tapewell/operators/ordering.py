@@ -7,11 +7,9 @@ consecutive arrivals by ranges of the arrival number: the maximum of each block
 a small table, its running maximum is what a block starts from, and the rest is
 worked out inside the block. Rows are shuffled once, by (key, block).
 
-A block spans ``block_span`` arrival numbers. The default fits both numberings
-made here: it is 16,384 messages for events numbered by message and position, and
-one task's share of the sort for :func:`with_arrival_seq`. Numbers without gaps
-(the offsets of one Kafka partition, say) want a span of as many rows as a task
-should sort.
+A block spans ``block_span`` arrival numbers: with the default, 65,536 messages of a
+feed, or as many rows where each row has a number of its own (:func:`with_arrival_seq`,
+the offsets of a Kafka partition). Rows of one message are told apart by their position.
 """
 
 from __future__ import annotations
@@ -19,17 +17,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapewell.functions.windows import WINDOW_SIZES, add_seconds, with_window_sizes
+from tapewell.functions.windows import (
+    WINDOW_SIZES,
+    add_seconds,
+    base_width,
+    size_seconds,
+    window_bounds,
+    window_start,
+    with_window_sizes,
+)
 from tapewell.operators.windows import (
     EVENT_SUMS,
     event_terms,
     metrics_of_sums,
     source_of,
 )
-from tapewell.schemas import ARRIVAL
+from tapewell.schemas import ARRIVAL, POSITION
 from tapewell.session import stage
 
-BLOCK_SPAN = 1 << 30
+BLOCK_SPAN = 1 << 16
+# Blocks whose maxima are carried on together, by one task per key.
+BLOCKS_TOGETHER = 1 << 12
 DEFAULT_GRACE_SECONDS = 5
 
 
@@ -45,25 +53,48 @@ def with_arrival_seq(df: DataFrame, order_by: list[str]) -> DataFrame:
     return stage(ordered.withColumn(ARRIVAL, F.monotonically_increasing_id()), "arrival")
 
 
+def arrival_order(df: DataFrame) -> list[str]:
+    """The columns a table is ordered by arrival with."""
+    return [name for name in (ARRIVAL, POSITION) if name in df.columns]
+
+
+def _earlier(keys: list[str], *order: str) -> Window:
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _carried_on(tops: DataFrame, keys: list[str]) -> DataFrame:
+    """What each block starts from: the largest maximum of the blocks before it.
+
+    Blocks are taken together once more, so that a task sees the blocks of one such run,
+    or one row per run.
+    """
+    runs = tops.withColumn("_run", F.expr(f"_block div {BLOCKS_TOGETHER}"))
+    heads = runs.groupBy(*keys, "_run").agg(F.max("_top").alias("_head"))
+    starts = heads.select(
+        *keys, "_run", F.max("_head").over(_earlier(keys, "_run")).alias("_start")
+    )
+    within = F.max("_top").over(_earlier([*keys, "_run"], "_block"))
+    return (
+        runs.withColumn("_within", within)
+        .join(starts, [*keys, "_run"])
+        .select(*keys, "_block", F.greatest("_start", "_within").alias("_carried"))
+    )
+
+
 def with_prior_max(
     df: DataFrame, keys: list[str], value: str = "ts_event", block_span: int = BLOCK_SPAN
 ) -> DataFrame:
     """Add ``prior_max``: the largest ``value`` among earlier arrivals with the same keys.
 
-    Needs :data:`ARRIVAL`, a number that is unique and increasing by arrival. Rows
-    with a null key are left out. ``df`` is read twice (once for the few columns of
-    the maxima), so it should be a stored table or cheap to compute.
+    Needs :data:`ARRIVAL`, a number increasing by arrival and unique, if need be
+    together with :data:`POSITION`. Rows with a null key are left out. ``df`` is read
+    twice (once for the few columns of the maxima), so it should be a stored table or
+    cheap to compute.
     """
     blocks = df.withColumn("_block", F.expr(f"{ARRIVAL} div {int(block_span)}"))
     tops = blocks.groupBy(*keys, "_block").agg(F.max(value).alias("_top"))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = tops.select(*keys, "_block", F.max("_top").over(before).alias("_carried"))
-    inside = (
-        Window.partitionBy(*keys, "_block")
-        .orderBy(ARRIVAL)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    joined = blocks.join(carried, [*keys, "_block"])
+    inside = _earlier([*keys, "_block"], *arrival_order(df))
+    joined = blocks.join(_carried_on(tops, keys), [*keys, "_block"])
     return joined.withColumn(
         "prior_max", F.greatest(F.col("_carried"), F.max(value).over(inside))
     ).select(*df.columns, "prior_max")
@@ -85,7 +116,7 @@ def flag_out_of_order(
 
 def count_out_of_order(events: DataFrame, block_span: int = BLOCK_SPAN) -> DataFrame:
     """One row with the number of out-of-order events over all symbols."""
-    narrow = events.select("symbol", "ts_event", ARRIVAL)
+    narrow = events.select("symbol", "ts_event", *arrival_order(events))
     flagged = flag_out_of_order(narrow, "symbol", block_span)
     return flagged.agg(F.count_if("out_of_order").alias("out_of_order"))
 
@@ -124,6 +155,58 @@ def late_flags(
     return sized.withColumn("late", _is_late(F.col("window_end"), grace_seconds)).drop("prior_max")
 
 
+def with_missed_sizes(
+    clocked: DataFrame, sizes: dict[str, int], grace_seconds: int
+) -> DataFrame:
+    """Add ``missed``: the sizes whose window of the event had closed before it came."""
+    labels = [
+        F.when(_is_late(window_bounds(F.col("ts_event"), secs)[1], grace_seconds), F.lit(name))
+        for name, secs in sizes.items()
+    ]
+    return clocked.withColumn("missed", F.array_compact(F.array(*labels)))
+
+
+def missed_windows(judged: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """A row for each event and window it missed; other events are not multiplied."""
+    seconds = size_seconds(F.col("window_size"), sizes)
+    return (
+        judged.where(F.size("missed") > 0)
+        .select(
+            "symbol",
+            "source",
+            F.col("ts_event").alias("event_ts"),
+            F.explode("missed").alias("window_size"),
+        )
+        .withColumn("window_start", window_start(F.col("event_ts"), seconds))
+        .withColumn("window_end", add_seconds(F.col("window_start"), seconds))
+    )
+
+
+WINDOW_KEYS = ("symbol", "source", "window_size", "window_start", "window_end")
+
+
+def sums_in_time(judged: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """Sums and the newest event of each window, over the events that did not miss it.
+
+    Events of a base window that missed the same sizes are summed first; only these few
+    rows are spread over the sizes.
+    """
+    by = ("symbol", "source", "missed")
+    totals = [F.sum(name).alias(name) for name in EVENT_SUMS]
+    base = window_start(F.col("ts_event"), base_width(sizes)).alias("_base")
+    per_base = (
+        event_terms(judged, by[1:])
+        .groupBy(*by, base)
+        .agg(*totals, F.max("ts_event").alias("newest"))
+    )
+    return (
+        with_window_sizes(per_base, sizes, "_base")
+        .where(~F.array_contains("missed", F.col("window_size")))
+        .groupBy(*WINDOW_KEYS)
+        .agg(*totals, F.max("newest").alias("newest"))
+    )
+
+
 def late_records(
     events: DataFrame,
     sizes: dict[str, int] = WINDOW_SIZES,
@@ -131,15 +214,8 @@ def late_records(
     block_span: int = BLOCK_SPAN,
 ) -> DataFrame:
     """Late events only, with the bounds of the window they missed."""
-    flagged = late_flags(events, sizes, grace_seconds, block_span)
-    return flagged.where("late").select(
-        "symbol",
-        "source",
-        F.col("ts_event").alias("event_ts"),
-        "window_size",
-        "window_start",
-        "window_end",
-    )
+    clocked = with_closing_clock(events, block_span)
+    return missed_windows(with_missed_sizes(clocked, sizes, grace_seconds), sizes)
 
 
 def closed_windows_by_clock(
@@ -153,16 +229,8 @@ def closed_windows_by_clock(
     The newest event of a key is never late, so the clocks come from the same small
     table of window sums that they are then compared with.
     """
-    kept = late_flags(events, sizes, grace_seconds, block_span).where(~F.col("late"))
-    keys = ("symbol", "source", "window_size", "window_start", "window_end")
-    sums = (
-        event_terms(kept, keys[1:])
-        .groupBy(*keys)
-        .agg(
-            *[F.sum(name).alias(name) for name in EVENT_SUMS],
-            F.max("ts_event").alias("newest"),
-        )
-    )
+    clocked = with_closing_clock(events, block_span)
+    sums = sums_in_time(with_missed_sizes(clocked, sizes, grace_seconds), sizes)
     # A clock is the newest event over a key's window sums, a row per window: the sums are
     # not computed a second time to be joined with themselves.
     clock = F.max("newest").over(Window.partitionBy("symbol", "source"))

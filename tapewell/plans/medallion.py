@@ -15,13 +15,13 @@ from tapewell.operators.normalize import events_of, normalize_tagged, rejects_of
 from tapewell.operators.ordering import DEFAULT_GRACE_SECONDS, closed_windows_by_clock
 from tapewell.operators.quality import reconcile, sla_report
 from tapewell.plans.marts import build_marts
-from tapewell.session import ensure_session, stage, streaming_session
+from tapewell.session import ensure_session, stage
 from tapewell.sinks.lake import land_quarantine, land_windows, write_bronze, write_run_summary
 from tapewell.sinks.versioned import read_gold
 from tapewell.sources.dimension import symbol_dimension
 from tapewell.sources.lake import ALL_FILES, read_bronze, stream_bronze
 from tapewell.sources.raw import read_raw_messages
-from tapewell.streaming.windows import read_stream_output, run_stream, stream_windows
+from tapewell.streaming.windows import read_stream_output, stream_windows
 
 
 def _now() -> datetime:
@@ -39,7 +39,6 @@ def run_medallion(
     limit: int | None = None,
     run_checks: bool = True,
     streaming: bool = False,
-    state_partitions: int | None = None,
 ) -> DataFrame:
     """Run everything over recorded messages and return the one-row run summary.
 
@@ -77,11 +76,9 @@ def run_medallion(
         tagged.unpersist()
 
     if streaming:
-        arriving = stream_bronze(streaming_session(spark, state_partitions), paths["bronze"], ALL_FILES)
+        arriving = stream_bronze(spark.newSession(), paths["bronze"], ALL_FILES)
         out, checkpoint = f"{root}/runs/{run}/stream", f"{root}/runs/{run}/checkpoint"
-        run_stream(
-            stream_windows(arriving, sizes, grace_seconds), out, checkpoint
-        ).awaitTermination()
+        stream_windows(arriving, out, checkpoint, sizes, grace_seconds).awaitTermination()
         closed, _late = read_stream_output(spark, out)
     else:
         bronze = read_bronze(spark, paths["bronze"])

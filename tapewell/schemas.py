@@ -32,9 +32,17 @@ EVENT_SCHEMA = _struct(
 EVENT_COLUMNS = EVENT_SCHEMA.fieldNames()
 FLOAT_COLUMNS = [f.name for f in EVENT_SCHEMA if isinstance(f.dataType, T.DoubleType)]
 
-# Bronze also keeps the order of arrival, which a partitioned table cannot carry otherwise.
+# Bronze also keeps the order of arrival, which a partitioned table cannot carry otherwise:
+# the number of the message, then the position in it.
 ARRIVAL = "arrival_seq"
-BRONZE_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField(ARRIVAL, T.LongType())])
+POSITION = "arrival_pos"
+BRONZE_SCHEMA = T.StructType(
+    [
+        *EVENT_SCHEMA.fields,
+        T.StructField(ARRIVAL, T.LongType()),
+        T.StructField(POSITION, T.LongType()),
+    ]
+)
 
 WINDOW_SCHEMA = _struct(
     "symbol string, window_size string, window_start timestamp, window_end timestamp, "

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from tapewell.schemas import (
     ARRIVAL,
     BRONZE_SCHEMA,
     GOLD_SCHEMA,
+    POSITION,
     QUARANTINE_SCHEMA,
     RAW_SCHEMA,
     WINDOW_SCHEMA,
@@ -58,24 +61,28 @@ def _write(df: DataFrame, root: str, partitions: tuple[str, ...], mode: str) ->
     rebalanced.write.partitionBy(*partitions).mode(mode).parquet(root)
 
 
+def _with_order(events: DataFrame) -> DataFrame:
+    """Columns of the order of arrival that the events do not have, as nulls."""
+    for name in (ARRIVAL, POSITION):
+        if name not in events.columns:
+            events = events.withColumn(name, F.lit(None).cast("bigint"))
+    return events
+
+
 def write_bronze(events: DataFrame, root: str, clear: bool = True) -> int:
     """Land events by (event_type, symbol) and return the rows landed.
 
     With ``clear`` the table is replaced, but only if there are events to land.
     """
-    if ARRIVAL not in events.columns:
-        events = events.withColumn(ARRIVAL, F.lit(None).cast("long"))
-    return _land(events.select(*BRONZE_SCHEMA.fieldNames()), root, BRONZE_PARTITIONS, clear)
+    return _land(_with_order(events).select(*BRONZE_SCHEMA.fieldNames()), root, BRONZE_PARTITIONS, clear)
 
 
 def start_bronze_sink(
     events: DataFrame, root: str, checkpoint: str, bounded: bool = True
 ) -> StreamingQuery:
     """Streaming twin of :func:`write_bronze`: exactly-once files by (event_type, symbol)."""
-    if ARRIVAL not in events.columns:
-        events = events.withColumn(ARRIVAL, F.lit(None).cast("long"))
     writer = (
-        events.select(*BRONZE_SCHEMA.fieldNames())
+        _with_order(events).select(*BRONZE_SCHEMA.fieldNames())
         .writeStream.format("parquet")
         .partitionBy(*BRONZE_PARTITIONS)
         .option("path", root)
@@ -160,6 +167,27 @@ def write_run_summary(summary: DataFrame, path: str) -> None:
     summary.write.mode("overwrite").json(path)
 
 
+def record_emitter(
+    path: str | None = None, kafka: dict[str, str] | None = None
+) -> Callable[[DataFrame, str], None]:
+    """A writer for the records of one micro-batch, given with the batch's folder name.
+
+    Text files go to that folder, which a repeated batch overwrites; Kafka gets the records
+    by topic and key, at least once.
+    """
+    if (path is None) == (kafka is None):
+        raise ValueError("give either a folder or Kafka options")
+
+    def emit(records: DataFrame, batch: str) -> None:
+        if kafka is not None:
+            keyed = records.select("topic", "key", "value")
+            keyed.write.format("kafka").options(**kafka).save()
+        else:
+            records.select("value").write.mode("overwrite").text(f"{path}/{batch}")
+
+    return emit
+
+
 def start_record_sink(
     records: DataFrame,
     checkpoint: str,

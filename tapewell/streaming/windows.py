@@ -1,30 +1,71 @@
 """Streamed tumbling windows per symbol.
 
 The exact variant closes each window by its own symbol's clock, which no built-in
-window does: Spark's watermark is one for the whole query. It works in two steps
-so that one busy symbol does not put all rows through one task: rows are summed
-up per block of consecutive arrivals in parallel, then a small stateful step per
-(symbol, source) merges the block sums in order. ``stream_windows_global`` is the
-cheaper built-in variant with the global watermark, which closes windows of quiet
-symbols too and judges lateness only between micro-batches.
+window does: Spark's watermark is one for the whole query. Each micro-batch is judged
+by the same columns as the batch definition, from the clocks and open windows that the
+batch before left as small tables: rows are spread by blocks of consecutive arrivals,
+summed per window in parallel, and no task sees all rows of a symbol.
+``stream_windows_global`` is the cheaper built-in variant with the global watermark,
+which closes windows of quiet symbols too and judges lateness only between micro-batches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tapewell.functions.windows import WINDOW_SIZES
-from tapewell.operators.ordering import BLOCK_SPAN, DEFAULT_GRACE_SECONDS, event_time_ms
+from tapewell.functions.windows import WINDOW_SIZES, add_seconds
+from tapewell.operators.ordering import (
+    BLOCK_SPAN,
+    DEFAULT_GRACE_SECONDS,
+    WINDOW_KEYS,
+    event_time_ms,
+    missed_windows,
+    sums_in_time,
+    with_closing_clock,
+    with_missed_sizes,
+)
 from tapewell.operators.windows import EVENT_SUMS, event_terms, metrics_of_sums, source_of
-from tapewell.schemas import ARRIVAL, LATE_SCHEMA, WINDOW_SCHEMA
+from tapewell.schemas import ARRIVAL, LATE_SCHEMA, POSITION, WINDOW_SCHEMA
 from tapewell.session import ensure_session
-from tapewell.streaming.closing import CLOSED_SCHEMA, LATE, WINDOW, PerKeyTumbling
-from tapewell.streaming.partials import PARTIAL_SCHEMA, block_partials
+from tapewell.streaming.normalizing import run_of
+
+# Folders of the output.
+WINDOW = "windows"
+LATE = "late"
+
+KEY = ["symbol", "source"]
+CLOCK_SCHEMA = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("clock", T.TimestampType()),
+    ]
+)
+SUMS_SCHEMA = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("window_size", T.StringType()),
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("window_end", T.TimestampType()),
+        *[
+            T.StructField(name, T.LongType() if name.endswith("_count") else T.DoubleType())
+            for name in EVENT_SUMS
+        ],
+        T.StructField("closed", T.BooleanType()),
+    ]
+)
+_NEEDED = (
+    "symbol", "event_type", "ts_event", "price", "size", "best_bid", "best_ask", ARRIVAL, POSITION
+)
 
 
 def with_event_time(events: DataFrame) -> DataFrame:
@@ -32,81 +73,118 @@ def with_event_time(events: DataFrame) -> DataFrame:
     return events.withColumn("ts_event", event_time_ms(F.col("ts_event")))
 
 
-def _narrow(events: DataFrame, block_span: int) -> DataFrame:
-    """The few columns the windows are made from; ``a`` and ``b`` mean different things
-    by source: price times size and size for trades, spread and mid for quotes."""
-    terms = event_terms(
-        with_event_time(events).withColumn("source", source_of(F.col("event_type"))),
-        ("source", ARRIVAL),
-    )
-    return terms.select(
-        "symbol",
-        "source",
-        ARRIVAL,
-        F.expr(f"{ARRIVAL} div {int(block_span)}").alias("block"),
-        F.unix_millis("ts_event").alias("event_ms"),
-        F.coalesce("_pv", "_spread", F.lit(0.0)).alias("a"),
-        F.coalesce("trade_volume", "_mid", F.lit(0.0)).alias("b"),
-        F.coalesce("trade_count", "ticker_count", F.lit(0)).cast("bigint").alias("n"),
-    )
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.createDataFrame([], schema)
+
+
+class _Closing:
+    """What one micro-batch does to the clocks and open windows that the one before left.
+
+    Each batch writes its own state and output folders and reads only the state of its
+    predecessor, so a repeated batch writes the same rows over its own.
+    """
+
+    def __init__(
+        self, state: str, root: str, run: str, sizes: dict[str, int], grace_seconds: int, span: int
+    ) -> None:
+        self.state, self.root, self.run = state, root, run
+        self.sizes, self.grace_seconds, self.span = sizes, grace_seconds, span
+
+    def folder(self, batch_id: int) -> str:
+        return f"run={self.run}/batch_id={batch_id}"
+
+    def _left(self, spark: SparkSession, batch_id: int, name: str, schema: T.StructType):
+        if batch_id < 0:
+            return _empty(spark, schema)
+        return spark.read.schema(schema).parquet(f"{self.state}/{self.folder(batch_id)}/{name}")
+
+    def _keep(self, df: DataFrame, batch_id: int, name: str) -> DataFrame:
+        path = f"{self.state}/{self.folder(batch_id)}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def _put(self, df: DataFrame, batch_id: int, name: str) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}/{self.folder(batch_id)}")
+
+    def take(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Land the batch's late records and closed windows, and return the latter."""
+        spark = batch.sparkSession
+        before = self._left(spark, batch_id - 1, "clocks", CLOCK_SCHEMA)
+        still_open = self._left(spark, batch_id - 1, "sums", SUMS_SCHEMA).where(~F.col("closed"))
+        clocked = (
+            with_closing_clock(batch.select(*_NEEDED), self.span)
+            .join(before, KEY, "left")
+            .withColumn("prior_max", F.greatest("prior_max", "clock"))
+        )
+        judged = with_missed_sizes(clocked, self.sizes, self.grace_seconds)
+        judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._put(missed_windows(judged, self.sizes), batch_id, LATE)
+            newest = judged.groupBy(*KEY).agg(F.max("ts_event").alias("clock"))
+            clocks = before.unionByName(newest).groupBy(*KEY).agg(F.max("clock").alias("clock"))
+            clocks = self._keep(clocks, batch_id, "clocks")
+            sums = (
+                still_open.drop("closed")
+                .unionByName(sums_in_time(judged, self.sizes).drop("newest"))
+                .groupBy(*WINDOW_KEYS)
+                .agg(*[F.sum(name).alias(name) for name in EVENT_SUMS])
+            )
+            closes_at = add_seconds(F.col("window_end"), self.grace_seconds)
+            flagged = sums.join(clocks, KEY).withColumn("closed", F.col("clock") >= closes_at)
+            kept = self._keep(flagged.select(*SUMS_SCHEMA.fieldNames()), batch_id, "sums")
+        finally:
+            judged.unpersist()
+        closed = metrics_of_sums(kept.where("closed"), ("source",))
+        closed = closed.select(*WINDOW_SCHEMA.fieldNames())
+        self._put(closed, batch_id, WINDOW)
+        return closed
 
 
 def stream_windows(
     events: DataFrame,
+    root: str,
+    checkpoint: str,
     sizes: dict[str, int] = WINDOW_SIZES,
     grace_seconds: int = DEFAULT_GRACE_SECONDS,
     block_span: int = BLOCK_SPAN,
-) -> DataFrame:
-    """Closed windows (``kind`` window) and late records (``kind`` late) of a stream.
-
-    Each window comes out once, when final. The input needs the arrival number;
-    within a micro-batch it decides what came first. The rows of one block are
-    handled as one pandas frame. Bound micro-batches with the source's own limit
-    (files or offsets per trigger).
+    bounded: bool = True,
+    interval: str = "10 seconds",
+    emit: Callable[[DataFrame, str], None] | None = None,
+) -> StreamingQuery:
+    """Land the closed windows and late records of a stream; read them back with
+    :func:`read_stream_output`.
+
+    Each window comes out once, when final. The input needs the order of arrival; within
+    a micro-batch it decides what came first, and micro-batches must follow it. ``emit``
+    also gets the closed windows of each micro-batch with the batch's folder name.
+    ``bounded`` takes in what is there and stops; otherwise the query runs on. State is
+    kept beside the checkpoint's own files, a small folder per micro-batch.
     """
-    ensure_session(events.sparkSession)
-    grace_ms = int(grace_seconds * 1000)
-    partials = (
-        _narrow(events, block_span)
-        .groupBy("block")
-        .applyInPandas(block_partials(sizes, grace_ms), PARTIAL_SCHEMA)
-    )
-    closed = partials.groupBy("symbol", "source").transformWithStateInPandas(
-        PerKeyTumbling(sizes, grace_ms),
-        outputStructType=CLOSED_SCHEMA,
-        outputMode="Append",
-        timeMode="None",
-    )
-    of_trades = F.col("source") == "trades"
-    sums = closed.select(
-        "*",
-        F.timestamp_millis("start_ms").alias("window_start"),
-        F.timestamp_millis("end_ms").alias("window_end"),
-        F.timestamp_millis("event_ms").alias("event_ts"),
-        F.when(of_trades, F.col("a")).alias("_pv"),
-        F.when(of_trades, F.col("b")).alias("trade_volume"),
-        F.when(of_trades, F.col("n")).alias("trade_count"),
-        F.when(~of_trades, F.col("a")).alias("_spread"),
-        F.when(~of_trades, F.col("b")).alias("_mid"),
-        F.when(~of_trades, F.col("n")).alias("ticker_count"),
-    )
-    return metrics_of_sums(sums, ("kind", "source", "event_ts"))
+    spark = ensure_session(events.sparkSession)
+    run = run_of(spark, checkpoint)
+    state = f"{checkpoint.rstrip('/')}/tapewell-state"
+    closing = _Closing(state, root.rstrip("/"), run, sizes, grace_seconds, block_span)
 
+    def take(batch: DataFrame, batch_id: int) -> None:
+        closed = closing.take(batch, batch_id)
+        if emit is not None:
+            emit(closed, closing.folder(batch_id))
 
-def only_windows(stream: DataFrame) -> DataFrame:
-    return stream.where(F.col("kind") == WINDOW).select(*WINDOW_SCHEMA.fieldNames())
-
-
-def only_late(stream: DataFrame) -> DataFrame:
-    return stream.where(F.col("kind") == LATE).select(*LATE_SCHEMA.fieldNames())
+    trigger = {"availableNow": True} if bounded else {"processingTime": interval}
+    return (
+        events.writeStream.foreachBatch(take)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
 
 
-def stream_trade_windows(events: DataFrame, *args, **kwargs) -> DataFrame:
+def stream_trade_windows(events: DataFrame, *args, **kwargs) -> StreamingQuery:
     """Windows of the trades alone: VWAP, volume, count."""
     return stream_windows(events.where(F.col("event_type") != "ticker"), *args, **kwargs)
 
 
-def stream_ticker_windows(events: DataFrame, *args, **kwargs) -> DataFrame:
+def stream_ticker_windows(events: DataFrame, *args, **kwargs) -> StreamingQuery:
     """Windows of the quotes alone: mean spread, mean mid, count."""
     return stream_windows(events.where(F.col("event_type") == "ticker"), *args, **kwargs)
 
@@ -143,7 +221,7 @@ def run_stream(
     stream: DataFrame,
     root: str,
     checkpoint: str,
-    partitions: tuple[str, ...] = ("kind",),
+    partitions: tuple[str, ...] = ("source",),
     bounded: bool = True,
     interval: str = "10 seconds",
 ) -> StreamingQuery:
@@ -163,13 +241,14 @@ def run_stream(
 
 
 def read_stream_output(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """``(windows, late records)`` written by :func:`run_stream`."""
-    both = T.StructType(
-        [
-            *WINDOW_SCHEMA.fields,
-            T.StructField("event_ts", T.TimestampType()),
-            T.StructField("kind", T.StringType()),
-        ]
-    )
-    table = spark.read.schema(both).parquet(root)
-    return only_windows(table), only_late(table)
+    """``(windows, late records)`` written by :func:`stream_windows`; empty before any batch."""
+    both = []
+    for name, schema in ((WINDOW, WINDOW_SCHEMA), (LATE, LATE_SCHEMA)):
+        try:
+            table = spark.read.schema(schema).parquet(f"{root}/{name}")
+            both.append(table.select(*schema.fieldNames()))
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            both.append(_empty(spark, schema))
+    return both[0], both[1]

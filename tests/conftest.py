@@ -8,7 +8,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tapewell.schemas import ARRIVAL, BRONZE_SCHEMA  # noqa: E402
+from tapewell.schemas import ARRIVAL, BRONZE_SCHEMA, POSITION  # noqa: E402
 from tapewell.session import build_session  # noqa: E402
 
 # Aligned to minutes, five minutes and hours.
@@ -75,7 +75,7 @@ def frame(spark):
 
     def build(rows: list[dict]):
         numbered = [
-            {**row, ARRIVAL: i if row.get(ARRIVAL) is None else row[ARRIVAL]}
+            {POSITION: 0, **row, ARRIVAL: i if row.get(ARRIVAL) is None else row[ARRIVAL]}
             for i, row in enumerate(rows)
         ]
         names = BRONZE_SCHEMA.fieldNames()

@@ -40,7 +40,7 @@ def raw(spark, *payloads, exchange="coinbase"):
 
 def run(df, dim=None):
     events, rejects = normalize(df, dim, F.lit(INGEST))
-    return events.orderBy("arrival_seq").collect(), rejects.collect()
+    return events.orderBy("arrival_seq", "arrival_pos").collect(), rejects.collect()
 
 
 def a_trade(product="BTC-USD", trade_id="1", price="100.0", size="1.0", time=T0, side="BUY"):
@@ -274,7 +274,7 @@ def test_quarantine_and_summary(spark, dim):
     (bad,) = to_quarantine(rejects_of(tagged)).collect()
     assert (bad.exchange, bad.seq) == ("coinbase", 0)
     assert json.loads(bad.payload)["price"] == "-1"
-    numbers = [r.arrival_seq for r in events_of(tagged).collect()]
+    numbers = [(r.arrival_seq, r.arrival_pos, r.event_type) for r in events_of(tagged).collect()]
     assert len(set(numbers)) == 3
 
 

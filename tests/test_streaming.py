@@ -10,14 +10,13 @@ from tapewell.operators.ordering import closed_windows_by_clock, late_records
 from tapewell.operators.quality import windows_parity
 from tapewell.schemas import BRONZE_SCHEMA
 from tapewell.session import streaming_session
-from tapewell.sinks.lake import start_bronze_sink, start_record_sink
+from tapewell.sinks.lake import record_emitter, start_bronze_sink
 from tapewell.sinks.topics import parse_window_records, window_records
 from tapewell.sources.dimension import symbol_dimension
 from tapewell.sources.lake import read_bronze
 from tapewell.sources.raw import stream_raw_messages
 from tapewell.streaming.normalizing import stream_normalize
 from tapewell.streaming.windows import (
-    only_windows,
     read_stream_output,
     run_stream,
     stream_ticker_windows,
@@ -45,8 +44,8 @@ class Feed:
         return session.readStream.schema(BRONZE_SCHEMA).parquet(f"{self.folder}/in")
 
     def drain(self, build=stream_windows, *args):
-        out = build(self.stream(), *args)
-        run_stream(out, f"{self.folder}/out", f"{self.folder}/checkpoint").awaitTermination()
+        out, checkpoint = f"{self.folder}/out", f"{self.folder}/checkpoint"
+        build(self.stream(), out, checkpoint, *args).awaitTermination()
         return read_stream_output(self.spark, f"{self.folder}/out")
 
 
@@ -137,9 +136,14 @@ def test_global_watermark_closes_quiet_symbols(feed):
 
 def test_windows_travel_as_json(feed):
     feed.send([trade("BTC-USD", 2.0, 1.0, s) for s in (1, 70)])
-    closed = only_windows(stream_windows(feed.stream(), {"1m": 60}, 5))
-    start_record_sink(
-        window_records(closed), f"{feed.folder}/rc", path=f"{feed.folder}/records"
+    write = record_emitter(path=f"{feed.folder}/records")
+    stream_windows(
+        feed.stream(),
+        f"{feed.folder}/out",
+        f"{feed.folder}/rc",
+        {"1m": 60},
+        5,
+        emit=lambda closed, batch: write(window_records(closed), batch),
     ).awaitTermination()
     lines = feed.spark.read.schema("value string").text(f"{feed.folder}/records")
     record = json.loads(lines.first().value)

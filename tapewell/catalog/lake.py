@@ -25,7 +25,8 @@ from tapewell.operators.contract import apply_contract
 from tapewell.operators.ordering import closed_windows_by_clock
 from tapewell.operators.quality import parity_by_size, reconcile
 from tapewell.operators.silver import silver_ticker, silver_trades
-from tapewell.plans.marts import mart_checks
+from tapewell.operators.windows import gold_window_metrics
+from tapewell.plans.marts import check_counts
 from tapewell.plans.medallion import run_medallion
 from tapewell.schemas import EVENT_COLUMNS
 from tapewell.session import stage, streaming_session, work_dir
@@ -211,17 +212,12 @@ def _stream_parity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _marts(spark: SparkSession, sf: str) -> DataFrame:
-    """All mart checks over the marts of the driver events, with their offending rows."""
+    """All mart checks over the marts of the driver events, with their numbers of offending rows."""
     events = market_events(spark, sf)
     trades = stage(silver_trades(events), "silver-trades")
-    checks = mart_checks(trades, silver_ticker(events), stage(gold(spark, sf), "gold"), SIZES)
-    out = None
-    for name, rows in checks.items():
-        one = rows.agg(F.count("*").alias("violations")).select(
-            F.lit(name).alias("check_name"), "violations"
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    ticker = silver_ticker(events)
+    built = stage(gold_window_metrics(trades, ticker, SIZES), "gold")
+    return check_counts(trades, ticker, built, SIZES)
 
 
 def _medallion(spark: SparkSession, sf: str) -> DataFrame:

@@ -20,9 +20,14 @@ def _not_blank(line: Column) -> Column:
     return line.rlike(r"\S")
 
 
-def parse_envelope(lines: DataFrame) -> DataFrame:
+# A line of a live feed that is no message; null for messages.
+MALFORMED = "malformed"
+
+
+def parse_envelope(lines: DataFrame, strict: bool = True) -> DataFrame:
     """Open the envelope of each line; a line that is not one stops the job.
 
+    If not ``strict``, such a line goes on as a row with its text in :data:`MALFORMED`.
     ``json_tuple`` opens a line once for all fields. The gate is a filter, so it
     also runs when later steps need no column at all. The payload stays JSON text,
     to be opened by the normalizer of its exchange.
@@ -39,17 +44,19 @@ def parse_envelope(lines: DataFrame) -> DataFrame:
         & F.col("payload").startswith("{")
         & F.col("value").rlike(_OBJECT_PAYLOAD)
     )
-    complaint = F.concat(F.lit("malformed raw message: "), F.col("value"))
-    gate = F.when(F.coalesce(readable, F.lit(False)), True).otherwise(
-        F.raise_error(complaint).cast("boolean")
-    )
-    return opened.where(gate).select(
+    readable = F.coalesce(readable, F.lit(False))
+    message = [
         seq.alias("seq"),
         recorded.alias("ts_recorded"),
-        "exchange",
-        "channel",
-        "payload",
-    )
+        F.col("exchange"),
+        F.col("channel"),
+        F.col("payload"),
+    ]
+    if not strict:
+        return opened.select(*message, F.when(~readable, F.col("value")).alias(MALFORMED))
+    complaint = F.concat(F.lit("malformed raw message: "), F.col("value"))
+    gate = F.when(readable, True).otherwise(F.raise_error(complaint).cast("boolean"))
+    return opened.where(gate).select(*message)
 
 
 def read_raw_messages(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
@@ -71,6 +78,8 @@ def stream_raw_messages(
 ) -> DataFrame:
     """Unbounded raw messages from a folder of JSON-lines files, or from Kafka.
 
+    A replayed source meets a malformed line at every restart, so here such lines go on
+    as rows of their own, see :func:`parse_envelope`.
     Kafka needs the connector on the class path and is read from the earliest
     offset; ``kafka`` holds its options (``kafka.bootstrap.servers``, ``subscribe``).
     """
@@ -80,11 +89,12 @@ def stream_raw_messages(
         reader = spark.readStream.format("kafka").option("startingOffsets", "earliest")
         for key, value in kafka.items():
             reader = reader.option(key, value)
-        return parse_envelope(reader.load().select(F.col("value").cast("string").alias("value")))
+        texts = reader.load().select(F.col("value").cast("string").alias("value"))
+        return parse_envelope(texts, strict=False)
     reader = spark.readStream.schema(_TEXT)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return parse_envelope(reader.text(path))
+    return parse_envelope(reader.text(path), strict=False)
 
 
 def empty_raw_messages(spark: SparkSession) -> DataFrame:

@@ -7,10 +7,18 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tapewell.operators.normalize import events_of, normalize_tagged, rejects_of, to_quarantine
+from tapewell.operators.normalize import (
+    EXCHANGES,
+    events_of,
+    normalize_tagged,
+    rejects_of,
+    to_quarantine,
+)
 from tapewell.sinks.lake import BRONZE_PARTITIONS
+from tapewell.sources.raw import MALFORMED
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> str:
@@ -28,6 +36,29 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.text(path).first()[0]
 
 
+def split_unreadable(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(messages, rejects)``: lines that are no message and messages of an exchange
+    without a normalizer are rejects."""
+    if MALFORMED not in batch.columns:
+        batch = batch.withColumn(MALFORMED, F.lit(None).cast("string"))
+    exchange = F.col("exchange")
+    followed = F.coalesce(exchange.isin(*EXCHANGES), F.lit(False))
+    judged = batch.withColumn(
+        "reason",
+        F.when(F.col(MALFORMED).isNotNull(), "malformed raw message").when(
+            ~followed,
+            F.concat(F.lit("no normalizer for exchange "), F.coalesce(exchange, F.lit("null"))),
+        ),
+    )
+    rejects = judged.where(F.col("reason").isNotNull()).select(
+        F.coalesce(exchange, F.lit("unknown")).alias("exchange"),
+        "seq",
+        "reason",
+        F.coalesce(MALFORMED, "payload").alias("record"),
+    )
+    return judged.where(F.col("reason").isNull()).drop("reason", MALFORMED), rejects
+
+
 def stream_normalize(
     raw: DataFrame,
     dim: DataFrame | None,
@@ -39,7 +70,8 @@ def stream_normalize(
 ) -> StreamingQuery:
     """Normalize raw messages into an event table and a quarantine table.
 
-    A bad sub-record goes to the quarantine and never stops the stream. Every
+    A bad sub-record, a line that is no message and a message of an unknown exchange go
+    to the quarantine and never stop the stream. Every
     micro-batch is parsed once and written under a folder of its run and ``batch_id``,
     which a repeated batch overwrites, so each record lands exactly once. A run is what
     shares a checkpoint: a new checkpoint on the same roots adds to them.
@@ -47,7 +79,9 @@ def stream_normalize(
     run = run_of(raw.sparkSession, checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        tagged = normalize_tagged(batch, dim, ts_ingest)
+        messages, unreadable = split_unreadable(batch)
+        tagged = normalize_tagged(messages, dim, ts_ingest)
+        tagged = tagged.unionByName(unreadable, allowMissingColumns=True)
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             (

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapewell.config import default_feed
+from tapewell.operators.normalize import normalize
 from tapewell.operators.ordering import closed_windows_by_clock, late_records
 from tapewell.operators.quality import windows_parity
-from tapewell.schemas import BRONZE_SCHEMA
+from tapewell.schemas import BRONZE_SCHEMA, RAW_SCHEMA
 from tapewell.session import streaming_session
 from tapewell.sinks.lake import record_emitter, start_bronze_sink
 from tapewell.sinks.topics import parse_window_records, window_records
@@ -201,3 +202,51 @@ def test_live_normalization_isolates_bad_records(spark, tmp_path):
         str(tmp_path / "other"),
     ).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "events")).count() == 2 * before
+
+
+def test_live_feed_goes_on_after_unreadable_lines(spark, tmp_path):
+    source = tmp_path / "feed"
+    source.mkdir()
+    head = '"seq": 7, "ts_recorded": "2026-01-01T00:00:00Z"'
+    good = {"channel": "market_trades", "events": [{"type": "update", "trades": [
+        {"product_id": "BTC-USD", "trade_id": "1", "price": "4", "size": "2",
+         "time": "2026-01-01T00:00:00Z", "side": "SELL"}]}]}
+    lines = [
+        "{broken",
+        f'{{{head}, "exchange": "nowhere", "payload": {{"a": 1}}}}',
+        f'{{{head}, "exchange": "coinbase", "payload": {json.dumps(good)}}}',
+        f'{{{head}, "exchange": "coinbase", "payload": "text"}}',
+        "",
+    ]
+    (source / "a.jsonl").write_text("\n".join(lines))
+    stream_normalize(
+        stream_raw_messages(spark, str(source)),
+        symbol_dimension(spark, default_feed()),
+        str(tmp_path / "events"),
+        str(tmp_path / "bad"),
+        str(tmp_path / "checkpoint"),
+    ).awaitTermination()
+    assert [r.price for r in read_bronze(spark, str(tmp_path / "events")).collect()] == [4.0]
+    bad = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert sorted((r.exchange, r.seq, r.reason) for r in bad) == [
+        ("coinbase", 7, "malformed raw message"),
+        ("nowhere", 7, "no normalizer for exchange nowhere"),
+        ("unknown", 0, "malformed raw message"),
+    ]
+    assert lines[0] in {r.payload for r in bad}
+
+
+def test_message_numbers_and_positions_are_kept_apart(spark):
+    trades = [
+        {"product_id": "BTC-USD", "trade_id": f"{i}", "price": f"{i + 1}", "size": "1",
+         "time": "2026-01-01T00:00:00Z", "side": "BUY"}
+        for i in range(500)
+    ]
+    payload = {"channel": "market_trades", "events": [{"type": "update", "trades": trades}]}
+    raw = spark.createDataFrame(
+        [(1 << 50, at(0), "coinbase", "market_trades", json.dumps(payload))], RAW_SCHEMA
+    )
+    events, rejects = normalize(raw, symbol_dimension(spark, default_feed()))
+    assert rejects.isEmpty()
+    in_order = events.where(F.col("price") == F.col("arrival_pos") + 1)
+    assert in_order.where(F.col("arrival_seq") == 1 << 50).count() == 500

@@ -289,7 +289,7 @@ def check_trade_metrics_recompute(
 def reconcile(landed: int, produced: int, what: str) -> int:
     """Fail the run when a table did not receive exactly what was produced for it."""
     if landed != produced:
-        raise RuntimeError(f"{what}: {produced} rows were produced but {landed} landed")
+        raise RuntimeError(f"{what} did not land whole: landed {landed} != produced {produced}")
     return landed
 
 

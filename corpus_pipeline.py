@@ -24,18 +24,18 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8."""
-    return neardup.drop_near_duplicates(docs).select(*COLUMNS)
+    return neardup.drop_near_duplicate_rows(docs).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.decontaminate(docs, benchmark).select(*COLUMNS)
+    return decontamination.decontaminate_rows(docs, benchmark).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture: documents whole for every full pass over their source, else the parts taken."""
-    return mixing.mix_documents(docs).select(*COLUMNS)
+    return mixing.mix_rows(docs).select(*COLUMNS)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

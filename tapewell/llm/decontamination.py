@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .native import let, sent_if_small
+from .rows import ROW, number_rows
 
 # Each mask reads five words.
 MASKS = ("11111", "111101", "1101011")
@@ -139,3 +140,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no passage of ``benchmark``; rows without an id stay."""
     ids = stage(contaminated_pairs(docs, benchmark).select("doc_id").distinct(), "contaminated")
     return docs.join(sent_if_small(ids, BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminate_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no passage of ``benchmark``, each judged by its own text, with or without an id."""
+    numbered = number_rows(docs)
+    found = contaminated_pairs(numbered.select(F.col(ROW).alias("doc_id"), "text"), benchmark)
+    rows = stage(found.select(F.col("doc_id").alias(ROW)).distinct(), "contaminated")
+    return numbered.join(sent_if_small(rows, BROADCAST_IDS), ROW, "left_anti").select(*docs.columns)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .rows import ROW, number_rows
 from .text import chunks, mix, raw, strings, word_spans
 
 BLOCK_WORDS = 64
@@ -112,22 +113,23 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for low, high in chunks(column):
             body, bounds = raw(column[low:high])
             sizes.append(np.diff(np.searchsorted(word_spans(body, bounds)[0], bounds)))
+        kept = [c for c in batch.schema.names if c != "text"]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("source"), pa.array(np.concatenate(sizes).astype(np.int64))],
-            ["doc_id", "source", "size"],
+            [*(batch.column(c) for c in kept), pa.array(np.concatenate(sizes).astype(np.int64))], [*kept, "size"]
         )
 
 
 def lay_out(docs: DataFrame) -> tuple[DataFrame, list[tuple[str | None, Source]]]:
-    """(doc_id, source, number, size, begin) per row, and the sources.
+    """(doc_id, source, number, size, begin) per row, and ``row`` if ``docs`` has it, and the sources.
 
     ``begin`` counts the words of the source before the row. Rows of a source are numbered
-    in parts by a hash of the id; the sums of the parts put the parts one after the other.
+    in parts by a hash of the id, or of the size without one; the sums of the parts put the
+    parts one after the other.
     """
     spark = docs.sparkSession
-    sized = stage(
-        docs.select("doc_id", "source", "text").mapInArrow(_measure, "doc_id long, source string, size long"), "sized"
-    )
+    keys = [ROW] if ROW in docs.columns else []
+    read = docs.select("doc_id", "source", *keys, "text")
+    sized = stage(read.mapInArrow(_measure, read.drop("text").schema.add("size", "long")), "sized")
     totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
     # Bounded by the number of sources; code point order is the order of UTF-8 bytes.
     rows = sorted(totals.collect(), key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
@@ -143,7 +145,12 @@ def lay_out(docs: DataFrame) -> tuple[DataFrame, list[tuple[str | None, Source]]
         "source string, number int, parts long",
     )
     named = sized.join(F.broadcast(numbers), sized["source"].eqNullSafe(numbers["source"])).select(
-        "doc_id", sized["source"], "number", "size", F.pmod(F.xxhash64("doc_id"), F.col("parts")).alias("part")
+        "doc_id",
+        sized["source"],
+        *keys,
+        "number",
+        "size",
+        F.pmod(F.xxhash64(F.coalesce("doc_id", "size")), F.col("parts")).alias("part"),
     )
     before = Window.partitionBy("number").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
@@ -152,12 +159,12 @@ def lay_out(docs: DataFrame) -> tuple[DataFrame, list[tuple[str | None, Source]]
         .select("number", "part", F.coalesce(F.sum("part_size").over(before), F.lit(0)).alias("part_begin"))
     )
     inside = (
-        Window.partitionBy("number", "part").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("number", "part").orderBy("doc_id", "size", *keys).rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = (
         named.withColumn("begin", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(parts, ["number", "part"])
-        .select("doc_id", "source", "number", "size", (F.col("begin") + F.col("part_begin")).alias("begin"))
+        .select("doc_id", "source", *keys, "number", "size", (F.col("begin") + F.col("part_begin")).alias("begin"))
     )
     return stage(placed, "laid"), sources
 
@@ -278,27 +285,20 @@ def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
 
-def _repeats(docs: DataFrame) -> bool:
-    same = docs.filter("doc_id is not null").groupBy("doc_id", "source").agg(F.count("*").alias("n"))
-    return not same.filter("n > 1").isEmpty()
+def mix_documents(docs: DataFrame) -> DataFrame:
+    """The rows of :func:`mix_rows` that have an id."""
+    return mix_rows(docs).filter("doc_id is not null")
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
+def mix_rows(docs: DataFrame) -> DataFrame:
     """The mixture as rows of (doc_id, text, lang, source, n_chars).
 
     Blocks of a source are taken q or q + 1 times. A row comes out q times whole, and once
     more for every run of its words in blocks taken q + 1 times; its words add up to its
-    ``taken`` of :func:`mixture_counts`. Of rows that repeat an id within a source, the text
-    largest in byte order counts; a row without an id or words is not taken.
+    ``taken`` of :func:`mixture_counts`. As there, rows that repeat an id are rows of their
+    own, as are rows without one; a row without words is not taken.
     """
-    docs = stage(
-        docs.filter("doc_id is not null")
-        .select("doc_id", "text", "lang", "source", "n_chars")
-        .groupBy("doc_id", "source")
-        .agg(F.max(F.struct("text", "lang", "n_chars")).alias("row"))
-        .select("doc_id", "row.text", "row.lang", "source", "row.n_chars"),
-        "mixed",
-    ) if _repeats(docs) else docs.filter("doc_id is not null")
+    docs = number_rows(docs.select("doc_id", "text", "lang", "source", "n_chars"))
     laid, sources = lay_out(docs)
     whole = docs.sparkSession.createDataFrame(
         [(x.number, x.quota // x.blocks if x.blocks else 0) for _, x in sources], "number int, copies int"
@@ -308,14 +308,13 @@ def mix_documents(docs: DataFrame) -> DataFrame:
         .join(F.broadcast(whole), "number")
         .filter("times > copies")
         .select(
-            "doc_id",
             "number",
             "begin",
             (F.greatest(F.col("begin"), F.col("block") * BLOCK_WORDS) - F.col("begin")).alias("low"),
             "words",
         )
     )
-    gathered = extra.groupBy("doc_id", "number", "begin").agg(
+    gathered = extra.groupBy("number", "begin").agg(
         F.sort_array(F.collect_list(F.struct("low", (F.col("low") + F.col("words")).alias("high")))).alias("pieces")
     )
     # Neighbouring pieces become one run: a run starts where a piece does not continue the last.
@@ -324,7 +323,6 @@ def mix_documents(docs: DataFrame) -> DataFrame:
         lambda k: (k == 0) | (F.get(F.col("pieces"), k)["low"] != F.get(F.col("pieces"), k - 1)["high"]),
     )
     runs = gathered.withColumn("starts", starts).select(
-        "doc_id",
         "number",
         "begin",
         F.transform(
@@ -340,17 +338,8 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     keyed = (
         laid.filter("size > 0")
         .join(F.broadcast(whole), "number")
-        .join(runs, ["doc_id", "number", "begin"], "left")
+        .join(runs, ["number", "begin"], "left")
         .filter("copies > 0 or runs is not null")
-        .select("doc_id", "source", "copies", "runs")
-    )
-    left = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    return (
-        left.alias("d")
-        .join(
-            keyed.alias("k"),
-            (F.col("d.doc_id") == F.col("k.doc_id")) & F.col("d.source").eqNullSafe(F.col("k.source")),
-        )
-        .select("d.*", "k.copies", "k.runs")
-        .mapInArrow(_cut_runs, left.schema)
+        .select(ROW, "copies", "runs")
     )
+    return docs.join(keyed, ROW).drop(ROW).mapInArrow(_cut_runs, docs.drop(ROW).schema)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .rows import ROW, number_rows
 from .text import chunks, distinct, mix, span_hashes, strings, words
 
 SHINGLE = 4
@@ -400,3 +401,22 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = SIMILAR_
     kept = near_duplicates(docs, size, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
     named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
     return named.unionByName(docs.filter("doc_id is null"))
+
+
+def drop_near_duplicate_rows(docs: DataFrame, size: int = 5, percent: int = SIMILAR_PERCENT) -> DataFrame:
+    """One row of every component of ``docs``: rows without an id or with a repeated one are compared each.
+
+    The smallest id stays, a missing one only where no other is there; of rows with the same
+    id the one whose text has the smallest hash.
+    """
+    numbered = number_rows(docs)
+    found = near_duplicates(numbered.select(F.col(ROW).alias("doc_id"), "text"), size, percent)
+    named = numbered.select(ROW, "doc_id", F.xxhash64("text").alias("hash"))
+    kept = (
+        found.select(F.col("doc_id").alias(ROW), "component_id")
+        .join(named, ROW)
+        .groupBy("component_id")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("lone"), "doc_id", "hash", ROW)).alias("first"))
+        .select(F.col("first")[ROW].alias(ROW))
+    )
+    return numbered.join(kept, ROW, "left_semi").select(*docs.columns)

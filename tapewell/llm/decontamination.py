@@ -10,6 +10,8 @@ Spark expressions only: no Python runs on the executors.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +19,11 @@ from ..session import stage
 from .native import let, sent_if_small
 from .rows import ROW, number_rows
 
-# Each mask reads five words.
+# Each mask reads five words. From 12 words on every passage that agrees in 80 % holds one of them.
 MASKS = ("11111", "111101", "1101011")
+# Masks of four words, for passages of up to 11 words; with them every change the rule allows leaves a seed.
+SHORT_MASKS = ("1111", "10111", "11011", "11101")
+SHORT_WORDS = 11
 LEAST_WORDS = 5
 WINDOW = 13
 SIMILAR_PERCENT = 80
@@ -33,8 +38,11 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(hashes: Column) -> Column:
-    """All (place, seed) of an array of word hashes; a mask that would pass the end gives none."""
+def _seeds_of(hashes: Column, masks: tuple[str, ...], first: int) -> Column:
+    """All (place, seed) of an array of word hashes; a mask that would pass the end gives none.
+
+    ``first`` numbers the masks, so that seeds of different masks never meet.
+    """
 
     def of_mask(number: int, mask: str) -> Column:
         reads = [k for k, c in enumerate(mask) if c == "1"]
@@ -49,19 +57,37 @@ def _seeds(hashes: Column) -> Column:
             ),
         ).otherwise(F.array().cast("array<struct<place:int,seed:bigint>>"))
 
-    return F.concat(*[of_mask(number, mask) for number, mask in enumerate(MASKS)])
+    return F.concat(*[of_mask(number, mask) for number, mask in enumerate(masks, first)])
+
+
+def _seeds(hashes: Column) -> Column:
+    return _seeds_of(hashes, MASKS, 0)
 
 
-def _seed_rows(table: DataFrame, key: str, place: str) -> DataFrame:
-    rows = table.select(key, F.explode(let(word_hashes(F.col("text")), _seeds)).alias("s"))
+def _all_seeds(hashes: Column) -> Column:
+    return F.concat(_seeds(hashes), _seeds_of(hashes, SHORT_MASKS, len(MASKS)))
+
+
+def _item_seeds(hashes: Column) -> Column:
+    short = F.size(hashes) <= SHORT_WORDS
+    return F.when(short, _all_seeds(hashes)).otherwise(_seeds(hashes))
+
+
+def _seed_rows(table: DataFrame, key: str, place: str, seeds: Callable[[Column], Column]) -> DataFrame:
+    rows = table.select(key, F.explode(let(word_hashes(F.col("text")), seeds)).alias("s"))
     return rows.select(key, F.col("s.place").alias(place), F.col("s.seed").alias("seed"))
 
 
 def seed_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, shift): where a seed of a passage meets one of a document."""
-    seeds = stage(_seed_rows(benchmark, "item_id", "item_place").distinct(), "seeds")
+    """(doc_id, item_id, shift): where a seed of a passage meets one of a document.
+
+    Documents give the seeds of the short masks only if a passage is short; no other meets them.
+    """
+    short = benchmark.filter(F.size(word_hashes(F.col("text"))).between(LEAST_WORDS, SHORT_WORDS))
+    doc_seeds = _seeds if short.isEmpty() else _all_seeds
+    seeds = stage(_seed_rows(benchmark, "item_id", "item_place", _item_seeds).distinct(), "seeds")
     return (
-        _seed_rows(docs, "doc_id", "doc_place")
+        _seed_rows(docs, "doc_id", "doc_place", doc_seeds)
         .join(sent_if_small(seeds, BROADCAST_SEEDS), "seed")
         .select("doc_id", "item_id", (F.col("doc_place") - F.col("item_place")).alias("shift"))
         .distinct()

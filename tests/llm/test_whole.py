@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from itertools import combinations
 
 import corpus_pipeline
 from tapewell.llm import decontamination, mixing
@@ -50,3 +51,21 @@ def test_leaks_go_by_row(docs_of, spark):
     rows = [(None, f"x {PASSAGE} y"), (None, "clean"), (8, PASSAGE), (8, "clean too"), (9, None)]
     left = decontamination.decontaminate_rows(docs_of(rows), benchmark).collect()
     assert sorted(str(r["text"]) for r in left) == ["None", "clean", "clean too"]
+
+
+def test_every_allowed_change_of_a_short_passage_is_found(docs_of, spark):
+    """All patterns of changed words that leave 80 %, by the rule alone, without regard to seeds."""
+    words = PASSAGE.split()
+    items, rows, within = [], [], set()
+    for n in range(decontamination.LEAST_WORDS, 13):
+        own = [f"{w}{n}" for w in words[:n]]
+        items.append((n, " ".join(own)))
+        for changed in range(n // 5 + 2):
+            for places in combinations(range(n), changed):
+                text = ["other" if k in places else w for k, w in enumerate(own)]
+                rows.append((len(rows), f"before {' '.join(text)} after"))
+                if 100 * (n - changed) >= decontamination.SIMILAR_PERCENT * n:
+                    within.add((len(rows) - 1, n))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.contaminated_pairs(docs_of(rows), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == within

@@ -7,7 +7,7 @@ from collections import Counter
 from itertools import combinations
 
 import corpus_pipeline
-from tapewell.llm import decontamination, mixing
+from tapewell.llm import decontamination, mixing, toxicity
 
 PASSAGE = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda mu nu xi omikron pi"
 
@@ -69,3 +69,8 @@ def test_every_allowed_change_of_a_short_passage_is_found(docs_of, spark):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     found = decontamination.contaminated_pairs(docs_of(rows), benchmark).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == within
+
+
+def test_toxicity_learns_from_the_whole_sample():
+    assert toxicity.SAMPLE_PER_LABEL == 6000
+    assert toxicity.learn_toxicity.__defaults__ == (6000,)

@@ -213,14 +213,14 @@ def slots_of(spark: SparkSession, sources: list[tuple[str | None, Source]]) -> D
 
 
 def _pieces(laid: DataFrame) -> DataFrame:
-    """(doc_id, number, size, begin, block, words): one row per block that a row's words lie in."""
+    """(number, size, begin, block, words) and ``row`` if ``laid`` has it: one row per block that a row's words lie in."""
     first = F.floor(F.col("begin") / BLOCK_WORDS)
     last = F.floor((F.col("begin") + F.col("size") - 1) / BLOCK_WORDS)
     end = F.col("begin") + F.col("size")
     low = F.greatest(F.col("begin"), F.col("block") * BLOCK_WORDS)
     return (
         laid.filter("size > 0")
-        .select("doc_id", "number", "size", "begin", F.explode(F.sequence(first, last)).alias("block"))
+        .select(*[c for c in laid.columns if c not in ("doc_id", "source")], F.explode(F.sequence(first, last)).alias("block"))
         .withColumn("words", F.least(end, (F.col("block") + 1) * BLOCK_WORDS) - low)
     )
 
@@ -234,6 +234,62 @@ def _taken_pieces(laid: DataFrame, sources: list[tuple[str | None, Source]]) ->
     return _pieces(laid).join(times.hint("merge"), ["number", "block"])
 
 
+def _slot_pieces(laid: DataFrame, sources: list[tuple[str | None, Source]]) -> DataFrame:
+    """Pieces with the (shard, slot) they fill: the packed blocks without their texts."""
+    return slots_of(laid.sparkSession, sources).join(_pieces(laid).hint("merge"), ["number", "block"])
+
+
+def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column("text")
+        cuts = batch.column("cuts").to_pylist()
+        out: list = [[], [], [], [], [], []]
+        for k, pieces in enumerate(cuts):
+            raw_text = texts[k].as_py().encode()
+            begins, ends = word_spans(np.frombuffer(raw_text, np.uint8), np.array([0, len(raw_text)]))
+            for x in pieces:
+                low = x["low"]
+                piece = raw_text[begins[low] : ends[low + x["words"] - 1]].decode()
+                for column, value in zip(
+                    out, (x["shard"], x["slot"], x["number"], x["begin"], x["words"], piece), strict=True
+                ):
+                    column.append(value)
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x, t) for x, t in zip(out, types, strict=True)],
+            ["shard", "slot", "number", "begin", "words", "piece"],
+        )
+
+
+def mixed_blocks(docs: DataFrame) -> DataFrame:
+    """The mixture packed: (shard, slot, number, n_words, text), one row per slot of every output shard.
+
+    ``text`` holds the ``BLOCK_WORDS`` words of the slot's block, the last block of a source
+    what is left; pieces of neighbouring documents are parted by a line feed. ``number`` is
+    the source's place in code point order. Sort a shard by ``slot`` for its order.
+    """
+    docs = number_rows(docs.select("doc_id", "text", "source"))
+    laid, sources = lay_out(docs)
+    low = F.greatest(F.col("begin"), F.col("block") * BLOCK_WORDS)
+    # A row's pieces grow with its words and with the times a block is taken, at most MOST_COPIES and one.
+    cuts = (
+        _slot_pieces(laid, sources)
+        .select(ROW, F.struct("shard", "slot", "number", low.alias("begin"), (low - F.col("begin")).alias("low"), "words").alias("cut"))
+        .groupBy(ROW)
+        .agg(F.collect_list("cut").alias("cuts"))
+    )
+    pieces = (
+        docs.join(cuts.hint("merge"), ROW)
+        .select("text", "cuts")
+        .mapInArrow(_cut_pieces, "shard long, slot long, number int, begin long, words long, piece string")
+    )
+    return (
+        pieces.groupBy("shard", "slot", "number")
+        .agg(F.sum("words").alias("n_words"), F.sort_array(F.collect_list(F.struct("begin", "piece"))).alias("pieces"))
+        .select("shard", "slot", "number", "n_words", F.concat_ws("\n", F.col("pieces.piece")).alias("text"))
+    )
+
+
 def mixture_counts(docs: DataFrame) -> DataFrame:
     """(doc_id, size, source_size, target, taken) per row of ``docs`` (doc_id, text, source).
 
@@ -245,11 +301,7 @@ def mixture_counts(docs: DataFrame) -> DataFrame:
     facts = docs.sparkSession.createDataFrame(
         [(x.number, x.size, x.target) for _, x in sources], "number int, source_size long, target double"
     )
-    taken = (
-        _taken_pieces(laid, sources)
-        .groupBy("number", "begin")
-        .agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    )
+    taken = _slot_pieces(laid, sources).groupBy("number", "begin").agg(F.sum("words").alias("taken"))
     with_words = laid.filter("size > 0").join(taken, ["number", "begin"], "left")
     without = laid.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
     return (

@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import combinations
 
 import corpus_pipeline
+import numpy as np
 from tapewell.llm import decontamination, mixing, toxicity
 
 PASSAGE = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda mu nu xi omikron pi"
@@ -74,3 +75,22 @@ def test_every_allowed_change_of_a_short_passage_is_found(docs_of, spark):
 def test_toxicity_learns_from_the_whole_sample():
     assert toxicity.SAMPLE_PER_LABEL == 6000
     assert toxicity.learn_toxicity.__defaults__ == (6000,)
+
+
+def test_packed_blocks_fill_the_drawn_shards(docs_of, monkeypatch):
+    monkeypatch.setattr(mixing, "draw_shards", lambda quotas, draw=mixing.draw_shards: draw(quotas, 20))
+    docs = docs_of(_rows())
+    sources = [x for _, x in mixing.lay_out(docs)[1]]
+    drawn = mixing.draw_shards(np.array([x.quota for x in sources]))
+    out = mixing.mixed_blocks(docs).collect()
+    found = np.zeros_like(drawn)
+    for row in out:
+        found[row["shard"], row["number"]] += 1
+        assert len(row["text"].split()) == row["n_words"] <= mixing.BLOCK_WORDS
+    assert len(drawn) > 2 and (found == drawn).all()
+    for shard, slots in enumerate(drawn.sum(axis=1)):
+        assert sorted(r["slot"] for r in out if r["shard"] == shard) == list(range(slots))
+    own = {w for _, text, *_ in _rows() for w in text.split()}
+    words = Counter(w for r in out for w in r["text"].split())
+    assert set(words) <= own
+    assert sum(words.values()) == sum(r["taken"] for r in mixing.mixture_counts(docs).collect())

@@ -227,6 +227,7 @@ def _to_the_top(hang: DataFrame) -> DataFrame:
 def near_duplicate_links(signed: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR_PERCENT):
     """(components of class representatives, confirmed links between them).
 
+    The links span the components; pairs already in one component are not all confirmed.
     ``signed`` is a written table of :func:`sign_documents`; ids must be distinct.
     """
     classes = stage(
@@ -349,12 +350,13 @@ def _open_pairs(met: DataFrame, found: DataFrame, docs: DataFrame, size: int, pe
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR_PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, links) per row of ``docs`` (doc_id, text).
+    """(doc_id, n_shingles, component_id, kept, spanning_links) per row of ``docs`` (doc_id, text).
 
     A null or wordless text has an empty set, links with nothing and is kept. Rows that
     repeat an id count as one document with the text that is largest in byte order and
     come back once per row; a null id is a document of its own, kept, with a null
-    component. An empty table gives an empty table.
+    component. An empty table gives an empty table. ``spanning_links`` counts the confirmed
+    pairs of a row's class, a subset that spans each component, not all its links.
     """
     one = docs.select("doc_id", "text")
     signed = stage(sign_documents(one, size), "signed")
@@ -371,27 +373,27 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR
         )
     found, links = near_duplicate_links(rows, lookup, size, percent)
     heads = rows.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("head"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("head")).groupBy("head").agg(F.count("*").alias("links"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("head")).groupBy("head").agg(F.count("*").alias("spanning_links"))
     by_class = (
         heads.join(found.withColumnRenamed("doc_id", "head"), "head", "left")
         .join(degree, "head", "left")
-        .select("set_key", F.coalesce("component", "head").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
+        .select("set_key", F.coalesce("component", "head").alias("component"), F.coalesce("spanning_links", F.lit(0)).alias("spanning_links"))
     )
     placed = rows.select("doc_id", "n_shingles", "set_key").join(by_class, "set_key", "left")
     if not repeated.isEmpty():
         placed = placed.join(one.filter("doc_id is not null").select("doc_id"), "doc_id")
     lone = signed.filter("doc_id is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component"), F.lit(0).cast("long").alias("links")
+        "doc_id", "n_shingles", F.col("doc_id").alias("component"), F.lit(0).cast("long").alias("spanning_links")
     )
     return (
-        placed.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"), "links")
+        placed.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"), "spanning_links")
         .unionByName(lone)
         .select(
             "doc_id",
             "n_shingles",
             F.col("component").alias("component_id"),
             F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"),
-            F.coalesce("links", F.lit(0)).alias("links"),
+            F.coalesce("spanning_links", F.lit(0)).alias("spanning_links"),
         )
     )
 

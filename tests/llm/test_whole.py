@@ -8,7 +8,7 @@ from itertools import combinations
 
 import corpus_pipeline
 import numpy as np
-from tapewell.llm import decontamination, mixing, toxicity
+from tapewell.llm import decontamination, mixing, neardup, toxicity
 
 PASSAGE = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda mu nu xi omikron pi"
 
@@ -94,3 +94,8 @@ def test_packed_blocks_fill_the_drawn_shards(docs_of, monkeypatch):
     words = Counter(w for r in out for w in r["text"].split())
     assert set(words) <= own
     assert sum(words.values()) == sum(r["taken"] for r in mixing.mixture_counts(docs).collect())
+
+
+def test_links_are_named_as_a_spanning_subset(docs_of):
+    columns = neardup.near_duplicates(docs_of([(1, "one two three four five")])).columns
+    assert columns[-1] == "spanning_links" and "links" not in columns

@@ -195,8 +195,8 @@ _PLAIN_BYTES[[9, 10, 13, *range(32, 127), 0xC3]] = True
 class _Ragged:
     """Growing lists of ids, by number."""
 
-    def __init__(self):
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+    def __init__(self, kind=np.uint32):
+        self.ids, self.used = np.zeros(1 << 16, kind), 0
         self.ends, self.count = np.zeros(1 << 16, np.int64), 1
 
     def extend(self, ids: np.ndarray, sizes: np.ndarray) -> None:

@@ -13,6 +13,7 @@ sentencepiece model over the text, which puts that blank there itself.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from .tokens import _BYTE_NAMES, PieceEncoder, _Ragged
 
 CHUNK_BYTES = 1 << 20
 # Window alignments a Python worker keeps.
-MEMO_WINDOWS = 100_000
+MEMO_WINDOWS = 200_000
 # Different pairs a task counts before it passes them on.
 COUNTED_PAIRS = 1_000_000
 # Linked id pairs up to which their counts go to all tasks (16 bytes each).
@@ -89,29 +90,7 @@ class Pieces:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.model.encode(texts, num_threads=1)
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((x for own in found for x in own), np.int64, int(sizes.sum())), sizes
-
-
-def align_window(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]):
-    """(groups, links) of one window: ``a1,a2|b1`` per group, and (a, b) id pairs whose bytes overlap."""
-    groups, links = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = a_sizes[0], b_sizes[0]
-    while True:
-        links.append((a[i], b[j]))
-        step_a, step_b = end_a <= end_b, end_b <= end_a
-        if step_a and step_b:
-            left = ",".join(map(str, a[first_a : i + 1]))
-            groups.append(f"{left}|{','.join(map(str, b[first_b : j + 1]))}")
-            first_a, first_b = i + 1, j + 1
-            if first_a == len(a):
-                return groups, links
-        if step_a:
-            i += 1
-            end_a += a_sizes[i]
-        if step_b:
-            j += 1
-            end_b += b_sizes[j]
+        return np.fromiter(itertools.chain.from_iterable(found), np.int64, int(sizes.sum())), sizes
 
 
 class Aligner:
@@ -120,25 +99,46 @@ class Aligner:
     def __init__(self, a: ByteLevel, b: Pieces):
         self.a, self.b = a, b
         self.width = len(b.bytes.sizes)
+        # How an id is written: on side A before "," or "|", on side B before "," or ";".
+        n_a = len(a.bytes.sizes)
+        marks = [(n_a, b","), (n_a, b"|"), (self.width, b","), (self.width, b";")]
+        self.written = ByteTable([b"%d%s" % (k, mark) for n, mark in marks for k in range(n)])
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[tuple[bytes, bytes], int] = {}
-        self.names: list[str] = []
+        self.names: list[bytes] = []
         self.group_counts: list[int] = []
         self.codes = _Ragged(np.uint64)
 
     def _learn(self, keys: list[tuple[bytes, bytes]]) -> None:
-        codes, sizes = [], []
-        for key in keys:
-            a, b = (np.frombuffer(x, np.uint32).tolist() for x in key)
-            groups, links = align_window(a, b, self.a.bytes.sizes[a].tolist(), self.b.bytes.sizes[b].tolist())
-            self.known[key] = len(self.names)
-            self.names.append(";".join(groups))
-            self.group_counts.append(len(groups))
-            codes += [x * self.width + y for x, y in links]
-            sizes.append(len(links))
-        self.codes.extend(np.array(codes, np.uint64), np.array(sizes, np.int64))
+        """Align new windows, many at a time; each ends with a shared end."""
+        a = np.frombuffer(b"".join([x for x, _ in keys]), np.uint32).astype(np.int64)
+        b = np.frombuffer(b"".join([x for _, x in keys]), np.uint32).astype(np.int64)
+        upto_a = np.cumsum([len(x) // 4 for x, _ in keys])
+        upto_b = np.cumsum([len(x) // 4 for _, x in keys])
+        ends_a, ends_b = np.cumsum(self.a.bytes.sizes[a]), np.cumsum(self.b.bytes.sizes[b])
+        windows = ends_a[upto_a - 1]
+        # Between two ends of either side lies one pair of tokens.
+        ends = np.union1d(ends_a, ends_b)
+        begins = np.concatenate([[0], ends[:-1]])
+        first, second = np.searchsorted(ends_a, begins, "right"), np.searchsorted(ends_b, begins, "right")
+        self.codes.extend(
+            (a[first] * self.width + b[second]).astype(np.uint64),
+            np.diff(np.searchsorted(ends, windows) + 1, prepend=0),
+        )
+        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        n_a = len(self.a.bytes.sizes)
+        names = np.concatenate(
+            [a + n_a * (shared[group_a] == ends_a), 2 * n_a + b + self.width * (shared[group_b] == ends_b)]
+        )
+        names = names[np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")]
+        cuts = np.concatenate([[0], np.cumsum(self.written.sizes[names])[upto_a + upto_b - 1]]).tolist()
+        text = self.written.join(names).tobytes()
+        self.known.update(zip(keys, range(len(self.names), len(self.names) + len(keys)), strict=True))
+        self.names += [text[x : y - 1] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+        self.group_counts += np.diff(np.searchsorted(shared, windows) + 1, prepend=0).tolist()
 
     def align(self, texts: list[str]) -> dict[str, list]:
         """Columns n_a, n_b, n_groups, n_links, groups_sha256, codes, times, one entry a text.
@@ -183,7 +183,7 @@ class Aligner:
             pairs, times = np.unique(codes[upto[x] : upto[y]], return_counts=True)
             out["n_a"][k], out["n_b"][k] = int(n_a[place]), int(n_b[place])
             out["n_groups"][k], out["n_links"][k] = int(groups[y] - groups[x]), int(upto[y] - upto[x])
-            out["groups_sha256"][k] = hashlib.sha256(";".join(names[x:y]).encode()).hexdigest()
+            out["groups_sha256"][k] = hashlib.sha256(b";".join(names[x:y])).hexdigest()
             out["codes"][k], out["times"][k] = self.pack(pairs), times.astype("<u4").tobytes()
         return out
 

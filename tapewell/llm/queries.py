@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, chat, decontamination, fingerprint, language, mixing, neardup, quality, tokens, toxicity, warc
+from . import (
+    alignment,
+    chat,
+    decontamination,
+    fingerprint,
+    language,
+    mixing,
+    neardup,
+    negatives,
+    phrases,
+    quality,
+    tokens,
+    toxicity,
+    warc,
+)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -60,6 +74,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_counts(_read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.negatives_of_embeddings(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.repeats_of_documents(_read(spark, sf_dir, "documents"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(_read(spark, sf_dir, "documents"))
 
@@ -81,6 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_chat": op9_chat,
     "op10_mixing": op10_mixing,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_repeated_phrases": op12_repeated_phrases,
     "op13_alignment": op13_alignment,
     "pipeline": pipeline,
 }
@@ -164,4 +188,46 @@ SQL: dict[str, str] = {
                         ELSE length('<|next|>') END) AS BIGINT) AS formatted_chars
         FROM o GROUP BY conv_id
     """,
+    "op11_hard_negatives": """
+        WITH v AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+          SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                 CAST(list_dot_product(a.vector, b.vector) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.vec_id <> b.vec_id
+          WHERE a.vec_id % 100 = 0
+        ), positive AS (
+          SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+        )
+        SELECT p.anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+                 AS INTEGER) AS rank,
+               other_id AS negative_id, positive_score, score AS negative_score
+        FROM positive p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+          AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY rank <= 5
+    """,
+    "op12_repeated_phrases": """
+        WITH w AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+        ), windows AS (
+          SELECT doc_id, s, array_to_string(words[s : s + 19], ' ') AS phrase
+          FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM w)
+        ), again AS (
+          SELECT doc_id, s FROM windows
+          QUALIFY row_number() OVER (PARTITION BY phrase ORDER BY doc_id, s) > 1
+        ), gone AS (
+          SELECT doc_id, list(DISTINCT s + k) AS places FROM again, range(0, 20) AS g(k) GROUP BY doc_id
+        )
+        SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+               CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+               sha256(array_to_string(
+                 list_filter(words, lambda x, i: NOT list_contains(coalesce(places, []), i)), ' ')) AS kept_sha256
+        FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id
+    """,
 }

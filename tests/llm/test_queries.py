@@ -7,7 +7,7 @@ corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 from tapewell.llm.queries import QUERIES, SQL  # noqa: E402
 
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def _plain(rows):

@@ -12,6 +12,7 @@ STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
 # more than not fusing the operators; Spark's own default allows much larger ones.
 METHOD_LIMIT_CONF = "spark.sql.codegen.hugeMethodLimit"
 METHOD_LIMIT = "8000"
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -70,9 +71,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Cuts lineage so that every later branch sees the same rows, also after an
-    executor is lost, and keeps column pruning for what follows.
+    executor is lost, and keeps column pruning for what follows. The write's shuffle files
+    go with it: nothing reads them again.
     """
     spark = df.sparkSession
     path = work_dir(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP_CONF, "false")
+    spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP_CONF, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,9 +1,11 @@
 """Passages that many documents share, taken out of all but their first occurrence.
 
-1. Every window of WINDOW words has a seed: its leftmost least hash among its runs of half
-   that many words. Equal windows have equal seeds at equal places, so only windows with a
+0. Of documents with the same text only the first is searched; the others lose all words
+   if they have a window at all.
+1. Every window of WINDOW words has a seed: its leftmost least hash among its runs of eight
+   (of twenty) words. Equal windows have equal seeds at equal places, so only windows with a
    seed that occurs twice can repeat. Such seeds are counted over all documents.
-2. The windows of one seed side by side (at most half a window of them) form an occurrence.
+2. The windows of one seed side by side (a few words' worth) form an occurrence.
    Occurrences with the same window hashes count once; their windows are then grouped, and
    those seen twice are confirmed, each with its first place (smallest row, then start).
 3. Confirmed windows side by side in one document form a passage. It is cut into blocks of
@@ -37,8 +39,9 @@ WINDOW = 20
 # Confirmed windows a shard's automaton is compiled from, and text it is fed at a time.
 SHARD_WINDOWS = 100_000
 GROUP_BYTES = 8 << 20
-# Rows of ids or seeds up to which they are sent to all tasks (8 bytes each).
+# Rows of ids, and seeds as numbers, up to which they are sent to all tasks (8 bytes each).
 SENT_ROWS = 1_000_000
+SENT_SEEDS = 4_000_000
 
 
 def ordered_rows(docs: DataFrame) -> DataFrame:
@@ -62,9 +65,9 @@ class _Words:
     def __init__(self, column: pa.Array, size: int):
         body, _, begins, ends, self.before = words(column, lower=False)
         hashes = span_hashes(body, begins, ends)
-        half, n = size // 2, max(0, len(hashes) - size + 1)
-        grams = _runs(hashes, half)
-        reach = size - half + 1
+        gram, n = max(1, 2 * size // 5), max(0, len(hashes) - size + 1)
+        grams = _runs(hashes, gram)
+        reach = size - gram + 1
         least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
         for k in range(reach):
             np.minimum(least, grams[k : k + n], out=least)
@@ -114,21 +117,26 @@ def _seeds(size: int):
     return run
 
 
-def _occurrences(size: int):
+def _occurrences(size: int, sent=None):
+    """Runs of windows whose seed is in ``sent``, or in the list that comes with the text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spread = np.uint64(0x9E3779B97F4A7C15)
         for batch in batches:
             column = strings(batch.column("text"))
-            lists = batch.column("seeds")
             for low, high in chunks(column):
                 found = _Words(column[low:high], size)
-                wanted = lists[low:high]
-                flat = wanted.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-                holder = np.repeat(np.arange(high - low), pc.list_value_length(wanted).to_numpy(zero_copy_only=False))
-                # Seeds of a text, told by one number for both; a mistaken match only adds a candidate.
-                with np.errstate(over="ignore"):
-                    spread = np.uint64(0x9E3779B97F4A7C15)
-                    known = np.sort(mix(flat + holder.astype(np.uint64) * spread))
-                    asked = mix(found.seeds + found.owner.astype(np.uint64) * spread)
+                if sent is not None:
+                    known, asked = sent.value, found.seeds
+                else:
+                    wanted = batch.column("seeds")[low:high]
+                    flat = wanted.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                    sizes = pc.list_value_length(wanted).to_numpy(zero_copy_only=False)
+                    # Seeds of a text, told by one number for both; a mistaken match only adds a candidate.
+                    with np.errstate(over="ignore"):
+                        holder = np.repeat(np.arange(high - low), sizes).astype(np.uint64)
+                        known = np.sort(mix(flat + holder * spread))
+                        asked = mix(found.seeds + found.owner.astype(np.uint64) * spread)
                 place = np.minimum(np.searchsorted(known, asked), max(len(known) - 1, 0))
                 keep = known[place] == asked if len(known) else np.zeros(len(asked), bool)
                 starts = np.flatnonzero(found.opens() & keep)
@@ -157,60 +165,59 @@ def _occurrences(size: int):
     return run
 
 
-def recurring_seeds(rows: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(row, seeds) of every row with a window whose seed occurs twice in the corpus."""
-    seeds = stage(rows.select("row", "text").mapInArrow(_seeds(size), "row long, seed long, times long"), "seeds")
+def recurring_windows(rows: DataFrame, size: int = WINDOW) -> DataFrame:
+    """(row, start, seed, kind, windows): runs of windows whose seed occurs twice in the corpus.
+
+    Up to ``SENT_SEEDS`` such seeds they go to all tasks; beyond that each text is joined
+    with the list of its own.
+    """
+    rows = rows.select("row", "text")
+    seeds = rows.mapInArrow(_seeds(size), "row long, seed long, times long")
     twice = stage(
         seeds.groupBy("seed").agg(F.sum("times").alias("n")).filter("n > 1").select("seed"), "recurring-seeds"
     )
-    return (
+    schema = "row long, start long, seed long, kind long, windows array<long>"
+    if small(twice, SENT_SEEDS):
+        known = np.sort(twice.toPandas()["seed"].to_numpy(np.int64).view(np.uint64))
+        sent = rows.sparkSession.sparkContext.broadcast(known)
+        return stage(rows.mapInArrow(_occurrences(size, sent), schema), "occurrences")
+    lists = (
         seeds.select("row", "seed")
-        .join(sent_if_small(twice, SENT_ROWS), "seed")
+        .join(twice.hint("merge"), "seed")
         .groupBy("row")
         .agg(F.collect_list("seed").alias("seeds"))
     )
+    return stage(rows.join(lists.hint("merge"), "row").mapInArrow(_occurrences(size), schema), "occurrences")
 
 
-def confirm_windows(involved: DataFrame, seeds: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+def confirm_windows(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(firsts, again): first place of every window seen twice, and which row holds which other's windows.
 
     ``firsts``: first_row, first_start. ``again``: row, first_row, each pair once; a row that
     repeats a window of its own is in it with itself.
     """
-    found = stage(
-        involved.join(seeds.hint("merge"), "row")
-        .select("row", "text", "seeds")
-        .mapInArrow(_occurrences(size), "row long, start long, seed long, kind long, windows array<long>"),
-        "occurrences",
-    )
-    kinds = found.groupBy("seed", "kind").agg(
-        F.min(F.struct("row", "start")).alias("head"),
-        F.count("*").alias("n"),
-        F.first("windows").alias("windows"),
-    )
-    single = stage(
-        kinds.select(
-            "seed",
-            "kind",
-            "n",
-            F.col("head.row").alias("row"),
-            F.col("head.start").alias("start"),
-            F.posexplode("windows").alias("place", "window"),
+    kinds = stage(
+        found.groupBy("seed", "kind").agg(
+            F.min(F.struct("row", "start")).alias("head"),
+            F.count("*").alias("n"),
+            F.first("windows").alias("windows"),
         ),
-        "windows",
+        "kinds",
     )
+    single = kinds.select("seed", "kind", "n", "head", F.posexplode("windows").alias("place", "window"))
     firsts = stage(
         single.groupBy("seed", "window")
         .agg(
-            F.min(F.struct("row", F.expr("start + place"))).alias("first"),
+            F.min(F.struct("head.row", F.expr("head.start + place").alias("start"))).alias("first"),
             F.sum("n").alias("n"),
         )
         .filter("n > 1")
-        .select("seed", "window", F.col("first.row").alias("first_row"), F.col("first.col2").alias("first_start")),
+        .select("seed", "window", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")),
         "firsts",
     )
     claims = (
-        single.join(firsts, ["seed", "window"])
+        single.select("seed", "kind", "place", "window")
+        .join(firsts, ["seed", "window"])
         .groupBy("seed", "kind")
         .agg(F.collect_list(F.struct("place", "first_row", "first_start")).alias("claims"))
     )
@@ -415,38 +422,45 @@ def locate_passages(involved: DataFrame, firsts: DataFrame, again: DataFrame, si
     )
 
 
-def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        column = strings(batch.column("text"))
-        lists = batch.column("spans").to_pylist()
-        for low, high in chunks(column):
-            body, _, begins, ends, before = words(column[low:high], lower=False)
-            kept = np.ones(len(begins) + 1, bool)
-            for k, own in enumerate(lists[low:high]):
-                for span in own or ():
-                    kept[before[k] + span["begin"] : before[k] + span["end"]] = False
-            alive = np.flatnonzero(kept[:-1])
-            first = np.searchsorted(alive, before)
-            # A kept word and the blank after it, unless it is the last kept one of its text.
-            more = np.ones(len(alive), np.int64)
-            filled = first[1:] > first[:-1]
-            more[first[1:][filled] - 1] = 0
-            sizes = ends[alive] - begins[alive]
-            upto = np.concatenate([[0], np.cumsum(sizes + more)])
-            places = np.repeat(begins[alive] - upto[:-1], sizes + more) + np.arange(upto[-1])
-            out = np.append(body, np.uint8(32))[places]
-            out[(upto[1:] - 1)[more == 1]] = 32
-            text, cuts = out.tobytes(), upto[first].tolist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row")[low:high],
-                    batch.column("doc_id")[low:high],
-                    pa.array(np.diff(before), pa.int64()),
-                    pa.array(np.diff(before) - np.diff(first), pa.int64()),
-                    pa.array([text[x:y].decode() for x, y in zip(cuts[:-1], cuts[1:], strict=True)], pa.string()),
-                ],
-                ["row", "doc_id", "n_words", "n_removed", "kept"],
-            )
+def _keep(size: int):
+    """The words left of each text: those outside its spans, and none of a copy with a window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = strings(batch.column("text"))
+            lists = batch.column("spans").to_pylist()
+            copy = batch.column("copy").to_pylist()
+            for low, high in chunks(column):
+                body, _, begins, ends, before = words(column[low:high], lower=False)
+                kept = np.ones(len(begins) + 1, bool)
+                for k, own in enumerate(lists[low:high]):
+                    if copy[low + k] and before[k + 1] - before[k] >= size:
+                        kept[before[k] : before[k + 1]] = False
+                    for span in own or ():
+                        kept[before[k] + span["begin"] : before[k] + span["end"]] = False
+                alive = np.flatnonzero(kept[:-1])
+                first = np.searchsorted(alive, before)
+                # A kept word and the blank after it, unless it is the last kept one of its text.
+                more = np.ones(len(alive), np.int64)
+                more[first[1:][first[1:] > first[:-1]] - 1] = 0
+                sizes = ends[alive] - begins[alive]
+                upto = np.concatenate([[0], np.cumsum(sizes + more)])
+                places = np.repeat(begins[alive] - upto[:-1], sizes + more) + np.arange(upto[-1])
+                out = np.append(body, np.uint8(32))[places]
+                out[(upto[1:] - 1)[more == 1]] = 32
+                text, cuts = out.tobytes(), upto[first].tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("row")[low:high],
+                        batch.column("doc_id")[low:high],
+                        pa.array(np.diff(before), pa.int64()),
+                        pa.array(np.diff(before) - np.diff(first), pa.int64()),
+                        pa.array([text[x:y].decode() for x, y in zip(cuts[:-1], cuts[1:], strict=True)], pa.string()),
+                    ],
+                    ["row", "doc_id", "n_words", "n_removed", "kept"],
+                )
+
+    return run
 
 
 def drop_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -459,23 +473,30 @@ def drop_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     are not read; an empty table gives no row. Texts are read whole, long ones by themselves.
     """
     rows = ordered_rows(docs)
-    seeds = stage(recurring_seeds(rows, size), "seed-lists")
-    ids = seeds.select("row")
-    few = small(ids, SENT_ROWS)
-    sent = F.broadcast(ids) if few else ids.hint("merge")
-    involved = stage(rows.join(sent, "row", "left_semi"), "involved")
-    firsts, again = confirm_windows(involved.select("row", "text"), seeds, size)
+    digests = rows.filter("text != ''").select("row", F.sha2("text", 256).alias("digest"))
+    heads = digests.groupBy("digest").agg(F.min("row").alias("head"), F.count("*").alias("n")).filter("n > 1")
+    copies = stage(digests.join(heads, "digest").filter("row != head").select("row"), "copies")
+    own = rows.join(sent_if_small(copies, SENT_ROWS), "row", "left_anti")
+    found = recurring_windows(own, size)
+    ids = sent_if_small(stage(found.select("row").distinct(), "involved-ids"), SENT_ROWS)
+    involved = stage(own.join(ids, "row", "left_semi"), "involved")
+    firsts, again = confirm_windows(found)
     spans = (
         locate_passages(involved.select("row", "text"), firsts, again, size)
         .groupBy("row")
         .agg(F.flatten(F.collect_list("spans")).alias("spans"))
     )
-    kind = "array<struct<begin: long, end: long>>"
-    changed = involved.join(stage(spans, "spans").hint("merge"), "row", "left")
-    rest = rows.join(sent, "row", "left_anti").withColumn("spans", F.lit(None).cast(kind))
-    columns = ["row", "doc_id", "text", "spans"]
-    schema = "row long, doc_id long, n_words long, n_removed long, kept string"
-    return changed.select(*columns).unionByName(rest.select(*columns)).mapInArrow(_keep, schema)
+    none, kind = F.lit(None), "array<struct<begin: long, end: long>>"
+    parts = [
+        involved.join(stage(spans, "spans").hint("merge"), "row", "left").withColumn("copy", F.lit(False)),
+        own.join(ids, "row", "left_anti").withColumn("spans", none.cast(kind)).withColumn("copy", F.lit(False)),
+        rows.join(sent_if_small(copies, SENT_ROWS), "row", "left_semi")
+        .withColumn("spans", none.cast(kind))
+        .withColumn("copy", F.lit(True)),
+    ]
+    columns = ["row", "doc_id", "text", "spans", "copy"]
+    every = parts[0].select(*columns).unionByName(parts[1].select(*columns)).unionByName(parts[2].select(*columns))
+    return every.mapInArrow(_keep(size), "row long, doc_id long, n_words long, n_removed long, kept string")
 
 
 def repeats_of_documents(docs: DataFrame) -> DataFrame:

@@ -102,6 +102,7 @@ def test_repeats_in_many_shards_and_groups(spark, monkeypatch):
     monkeypatch.setattr(phrases, "SHARD_WINDOWS", 50)
     monkeypatch.setattr(phrases, "GROUP_BYTES", 2000)
     monkeypatch.setattr(phrases, "SENT_ROWS", 3)
+    monkeypatch.setattr(phrases, "SENT_SEEDS", 3)
     rows = [(k, t) for k, t in enumerate(made_texts(5, 80))]
     got = phrases.repeats_of_documents(docs_of(spark, rows)).collect()
     assert by_text(got) == by_text(plain_repeats(rows))

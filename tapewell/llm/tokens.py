@@ -17,6 +17,7 @@ of a block is coded in lane ``t % LANES``; lanes share one stream.
 from __future__ import annotations
 
 import itertools
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ SCALE_BITS = 20
 LANES = 256
 BLOCK_TOKENS = 1 << 17
 STRETCH = 128  # steps between checkpoints
-CACHE_PIECES = 500_000
+CACHE_PIECES = 250_000
 SHARD_TOKENS = 16_000_000
 
 _LOW = np.uint64(1 << 31)
@@ -65,7 +66,8 @@ class PieceEncoder:
     Pieces are told apart by 64-bit hashes. Those of plain Latin text are cut further into
     the parts that the tokenizer merges within, many at a time; the library's model then
     merges each part that is new. All other pieces (other scripts, odd white space, added
-    tokens) go through the library whole.
+    tokens) go through the library whole; so do whole texts where the tokenizer is of another
+    kind. Full caches keep what was met most since they were last full.
     """
 
     def __init__(self, path: str):
@@ -80,14 +82,24 @@ class PieceEncoder:
         for token, number in vocabulary.items():
             self.token_bytes[number] = len(token)
         self.id_bytes = 2 if len(self.token_bytes) <= 1 << 16 else 4
-        self._clear()
-
-    def _clear(self) -> None:
+        self.cuts_texts = _is_plain_byte_level(json.loads(self.whole.to_str()))
         self.pieces_known = np.zeros(0, np.uint64)
         self.piece_numbers = np.zeros(0, np.int64)
         self.parts_known: dict[str, int] = {}
         self.pieces_held, self.parts_held = _Ragged(), _Ragged()
 
+    def _make_room(self) -> None:
+        if len(self.parts_known) > CACHE_PIECES:
+            parts, numbers = list(self.parts_known), np.fromiter(self.parts_known.values(), np.int64)
+            kept = np.flatnonzero(self.parts_held.most_met(numbers))
+            self.parts_held = self.parts_held.only(numbers[kept])
+            self.parts_known = {parts[k]: number for number, k in enumerate(kept.tolist())}
+        if len(self.pieces_known) > CACHE_PIECES:
+            kept = self.pieces_held.most_met(self.piece_numbers)
+            self.pieces_held = self.pieces_held.only(self.piece_numbers[kept])
+            self.pieces_known = self.pieces_known[kept]
+            self.piece_numbers = np.arange(len(self.pieces_known))
+
     def _learn_parts(self, parts: list[str]) -> None:
         named = "\0".join(parts).encode().decode("latin-1").translate(_BYTE_NAMES | {0: " "}).split(" ")
         groups = [" ".join(named[k : k + 16]) for k in range(0, len(named), 16)]
@@ -95,7 +107,8 @@ class PieceEncoder:
         ids = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
         ends = np.cumsum(np.fromiter(map(len, named), np.int64, len(named)))
         upto = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1
-        self.parts_known.update(zip(parts, range(len(self.parts_known), len(self.parts_known) + len(parts))))
+        first = self.parts_held.count - 1
+        self.parts_known.update(zip(parts, range(first, first + len(parts)), strict=True))
         self.parts_held.extend(ids, np.diff(upto, prepend=0))
 
     def _learn_pieces(self, raw: bytes, begins: np.ndarray, ends: np.ndarray, plain: np.ndarray) -> np.ndarray:
@@ -113,6 +126,7 @@ class PieceEncoder:
                 self._learn_parts(new)
             codes = np.fromiter(map(self.parts_known.__getitem__, parts), np.int64, len(parts))
             heads = np.flatnonzero(np.fromiter((x[0] == " " for x in parts), bool, len(parts)))
+            self.parts_held.met(codes)
             ids, sizes = self.parts_held.take(codes)
             self.pieces_held.extend(ids, np.add.reduceat(sizes, heads))
         if len(other):
@@ -129,14 +143,17 @@ class PieceEncoder:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text) of texts without nulls."""
-        if len(self.pieces_known) > CACHE_PIECES:
-            self._clear()
+        if not self.cuts_texts:
+            found = [x.ids for x in self.whole.encode_batch_fast(column.to_pylist(), add_special_tokens=False)]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+        self._make_room()
         body, bounds = text_bytes(column)
         if not len(body):
             return np.zeros(0, np.uint32), np.zeros(len(column), np.int64)
         begins = _cuts(body, bounds)
         ends = np.append(begins[1:], len(body))
-        unique, at, back = np.unique(span_hashes(body, begins, ends), return_index=True, return_inverse=True)
+        unique, at, back = _grouped(span_hashes(body, begins, ends))
         place = np.minimum(np.searchsorted(self.pieces_known, unique), max(len(self.pieces_known) - 1, 0))
         known = self.pieces_known[place] == unique if len(self.pieces_known) else np.zeros(len(unique), bool)
         numbers = np.empty(len(unique), np.int64)
@@ -149,11 +166,35 @@ class PieceEncoder:
             gaps = np.searchsorted(self.pieces_known, unique[fresh])
             self.pieces_known = np.insert(self.pieces_known, gaps, unique[fresh])
             self.piece_numbers = np.insert(self.piece_numbers, gaps, numbers[fresh])
+        self.pieces_held.met(numbers)
         ids, sizes = self.pieces_held.take(numbers[back])
         upto = np.concatenate([[0], np.cumsum(sizes)])
         return ids, np.diff(upto[np.searchsorted(begins, bounds)])
 
 
+def _is_plain_byte_level(file: dict) -> bool:
+    """Whether a tokenizer file merges bytes within the parts that ``_PARTS`` cuts."""
+    first, model = file.get("pre_tokenizer") or {}, file["model"]
+    return (
+        not file.get("normalizer")
+        and first.get("type") == "ByteLevel"
+        and not first.get("add_prefix_space")
+        and first.get("use_regex", True)
+        and model.get("type") == "BPE"
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    )
+
+
+def _grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(different values in order, a place of each, each value's number among them)."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    back = np.empty(len(values), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], back
+
+
 def _cuts(body: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Starts of pieces: of every non-empty text, and blanks after what cannot be white space.
 
@@ -193,17 +234,33 @@ _PLAIN_BYTES[[9, 10, 13, *range(32, 127), 0xC3]] = True
 
 
 class _Ragged:
-    """Growing lists of ids, by number."""
+    """Growing lists of ids, by number, and how often each was met."""
 
     def __init__(self, kind=np.uint32):
         self.ids, self.used = np.zeros(1 << 16, kind), 0
         self.ends, self.count = np.zeros(1 << 16, np.int64), 1
+        self.times = np.zeros(1 << 16, np.int32)
+
+    def met(self, numbers: np.ndarray) -> None:
+        seen = np.bincount(numbers)
+        self.times[: len(seen)] += seen.astype(np.int32)
+
+    def most_met(self, numbers: np.ndarray) -> np.ndarray:
+        """Which of ``numbers`` were met more often than half of them."""
+        times = self.times[numbers]
+        return times > np.partition(times, len(times) // 2)[len(times) // 2]
+
+    def only(self, numbers: np.ndarray) -> _Ragged:
+        out = _Ragged(self.ids.dtype)
+        out.extend(*self.take(numbers))
+        return out
 
     def extend(self, ids: np.ndarray, sizes: np.ndarray) -> None:
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while self.count + len(sizes) > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+            self.times = np.concatenate([self.times, np.zeros_like(self.times)])
         self.ids[self.used : self.used + len(ids)] = ids
         self.ends[self.count : self.count + len(sizes)] = self.used + np.cumsum(sizes)
         self.used += len(ids)

@@ -2,8 +2,8 @@
 
 A written corpus is a folder of three Parquet tables:
 
-``table``   token, frequency: one table for the whole corpus, scaled to 2**SCALE_BITS, at
-            least 1 for every token that occurs.
+``table``   token, frequency: one table for the whole corpus, scaled to a power of two (SCALE_BITS,
+            or more for very many tokens), at least 1 for every token that occurs.
 ``blocks``  shard, block, first (ids of the shard before it), n_tokens, doc_ids, doc_lengths,
             ``words`` (the coded stream, 32-bit words), ``states`` and ``cuts``: the decoder's
             lane states and place in ``words`` at every checkpoint, and ``crc32`` of the ids.
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,16 +35,14 @@ from .text import raw as text_bytes
 
 END_ID = 2
 SCALE_BITS = 20
-LANES = 256
-BLOCK_TOKENS = 1 << 17
+LANES = 1024
+BLOCK_TOKENS = 1 << 19
 STRETCH = 128  # steps between checkpoints
 CACHE_PIECES = 250_000
 SHARD_TOKENS = 16_000_000
 
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
-_SCALE = np.uint64(SCALE_BITS)
-_MASK = np.uint64((1 << SCALE_BITS) - 1)
 
 
 # How byte-level BPE writes each byte as one printable character, and how it
@@ -327,22 +326,24 @@ def _unpack(raw: bytes, n: int) -> np.ndarray:
 def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(0, np.int64)
     for batch in batches:
-        for n, raw in zip(batch.column("n_tokens").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-            own = np.bincount(_unpack(raw, n))
-            if len(own) > len(counts):
-                counts = np.pad(counts, (0, len(own) - len(counts)))
-            counts[: len(own)] += own
+        body, bounds = text_bytes(batch.column("ids").cast(pa.large_binary()))
+        own = np.bincount(_unpack(body, int(pc.sum(batch.column("n_tokens")).as_py() or 0)))
+        if len(own) > len(counts):
+            counts = np.pad(counts, (0, len(own) - len(counts)))
+        counts[: len(own)] += own
     some = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["token", "seen"])
 
 
 def scale_table(counts: np.ndarray) -> np.ndarray:
-    """Frequencies that sum to 2**SCALE_BITS, at least 1 where ``counts`` is."""
-    total, goal = counts.sum(), 1 << SCALE_BITS
+    """Frequencies that sum to a power of two, at least 1 where ``counts`` is.
+
+    That is 2**SCALE_BITS, or the least power that leaves each token two shares.
+    """
+    total = counts.sum()
     if not total:
         return np.zeros(len(counts), np.int64)
-    if np.count_nonzero(counts) > goal // 2:
-        raise ValueError("more different tokens than the frequency table's scale can hold")
+    goal = 1 << max(SCALE_BITS, int(2 * np.count_nonzero(counts) - 1).bit_length())
     scaled = np.where(counts > 0, np.maximum(1, counts * (goal / total)).astype(np.int64), 0)
     over = int(scaled.sum()) - goal
     for place in np.argsort(-scaled, kind="stable"):
@@ -355,13 +356,19 @@ def scale_table(counts: np.ndarray) -> np.ndarray:
     return scaled
 
 
+def _bits(freq: np.ndarray) -> np.uint64:
+    """The power of two that frequencies sum to."""
+    return np.uint64(int(freq.sum()).bit_length() - 1)
+
+
 def encode_block(ids: np.ndarray, freq: np.ndarray, below: np.ndarray) -> tuple[bytes, bytes, list[int]]:
     """(words, states, cuts) of one block; the last step is filled up with its own last id."""
     steps = -(-len(ids) // LANES)
     grid = np.pad(ids, (0, steps * LANES - len(ids)), mode="edge").reshape(steps, LANES)
     f_all = freq[grid].astype(np.uint64)
     c_all = below[grid].astype(np.uint64)
-    limit_all = f_all << np.uint64(63 - SCALE_BITS)
+    scale = _bits(freq)
+    limit_all = f_all << (np.uint64(63) - scale)
     x = np.full(LANES, _LOW, np.uint64)
     out: list[np.ndarray] = []
     states, emitted, at = [], [], 0
@@ -374,7 +381,7 @@ def encode_block(ids: np.ndarray, freq: np.ndarray, below: np.ndarray) -> tuple[
             at += len(words)
             x[full] >>= _WORD
         q = x // f
-        x = (q << _SCALE) + (x - q * f) + c_all[step]
+        x = (q << scale) + (x - q * f) + c_all[step]
         if step % STRETCH == 0:
             states.append(x.copy())
             emitted.append(at)
@@ -392,14 +399,16 @@ def decode_block(
     x = np.frombuffer(states, "<u8").reshape(len(cuts), LANES).copy()
     at = np.array(cuts, np.int64)
     steps = -(-n_tokens // LANES)
+    scale = _bits(freq)
+    mask = (np.uint64(1) << scale) - np.uint64(1)
     out = np.zeros((len(cuts), STRETCH, LANES), np.uint32)
     for step in range(min(STRETCH, steps)):
         live = len(cuts) if (len(cuts) - 1) * STRETCH + step < steps else len(cuts) - 1
         y = x[:live]
-        slot = y & _MASK
+        slot = y & mask
         found = symbol[slot]
         out[:live, step] = found
-        y = freq[found] * (y >> _SCALE) + slot - below[found]
+        y = freq[found] * (y >> scale) + slot - below[found]
         short = y < _LOW
         order = np.cumsum(short, axis=1)
         if short.any():

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .native import let, sent_if_small
-from .rows import ROW, number_rows
+from .rows import ROW, has_own_ids, number_rows
 
 # Each mask reads five words. From 12 words on every passage that agrees in 80 % holds one of them.
 MASKS = ("11111", "111101", "1101011")
@@ -120,9 +120,25 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     passage if, laid along a hit, some run of 13 places (the whole passage if it has fewer)
     agrees in 80 % of the words or more. ``words`` is the passage's length, ``matched``
     its words that agree along the best line, ``best`` those of its best run. Passages of
-    fewer than five words match nothing; null ids, null and empty texts neither. Rows that
-    repeat an id are searched each, and reported once.
+    fewer than five words or without an id match nothing; null and empty texts neither. Rows
+    without an id or with a repeated one are searched each; what they hold is reported once
+    an id, and once for all rows without one.
     """
+    numbered = number_rows(docs.select("doc_id", "text"))
+    found = contaminated_rows(numbered, benchmark)
+    if has_own_ids(numbered):
+        return found.withColumnRenamed(ROW, "doc_id")
+    found = stage(found, "contaminated-rows")
+    names = numbered.select(ROW, "doc_id").join(sent_if_small(found, BROADCAST_IDS), ROW)
+    return (
+        names.groupBy("doc_id", "item_id")
+        .agg(F.max(F.struct("matched", "best", "words")).alias("top"))
+        .select("doc_id", "item_id", "top.words", "top.matched", "top.best")
+    )
+
+
+def contaminated_rows(rows: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """:func:`contaminated_pairs` of (row, text), by ``row``, which is never null and never repeats."""
     items = stage(
         benchmark.select("item_id", "text")
         .filter("item_id is not null and text is not null")
@@ -130,47 +146,46 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .filter(F.size("item") >= LEAST_WORDS),
         "items",
     )
-    read = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
+    read = rows.select(F.col(ROW).alias("doc_id"), "text").filter("text is not null")
     hits = stage(seed_hits(read, items), "hits")
     ids = stage(hits.select("doc_id").distinct(), "hit-ids")
     found = (
         read.join(sent_if_small(ids, BROADCAST_IDS), "doc_id")
         .select("doc_id", word_hashes(F.col("text")).alias("doc"))
         .hint("merge")
-        .join(hits, "doc_id")
+        # One row a pair, so that a text is copied once however many lines it meets a passage on.
+        .join(hits.groupBy("doc_id", "item_id").agg(F.collect_set("shift").alias("shifts")), "doc_id")
         .join(items.select("item_id", "item").distinct(), "item_id")
     )
     window = F.least(F.size("item"), F.lit(WINDOW))
-    scored = found.select(
-        "doc_id",
-        "item_id",
-        F.size("item").alias("words"),
-        window.alias("window"),
-        let(
-            _aligned(F.col("doc"), F.col("item"), F.col("shift")),
+
+    def line(shift: Column) -> Column:
+        return let(
+            _aligned(F.col("doc"), F.col("item"), shift),
             lambda same: F.struct(
-                F.aggregate(same, F.lit(0), lambda total, x: total + x).alias("matched"),
                 _best_window(same, window).alias("best"),
+                F.aggregate(same, F.lit(0), lambda total, x: total + x).alias("matched"),
             ),
-        ).alias("score"),
+        )
+
+    fits = F.filter(F.transform("shifts", line), lambda x: 100 * x["best"] >= SIMILAR_PERCENT * window)
+    scored = found.select(
+        F.col("doc_id").alias(ROW),
+        "item_id",
+        F.size("item").alias("words"),
+        F.array_max(F.transform(fits, lambda x: F.struct(x["matched"], x["best"]))).alias("top"),
     )
+    # An item_id may name several passages.
     return (
-        scored.filter(100 * F.col("score.best") >= SIMILAR_PERCENT * F.col("window"))
-        .groupBy("doc_id", "item_id")
-        .agg(F.max(F.struct("score.matched", "score.best", "words")).alias("top"))
-        .select("doc_id", "item_id", "top.words", "top.matched", "top.best")
+        scored.filter("top is not null")
+        .groupBy(ROW, "item_id")
+        .agg(F.max(F.struct("top.matched", "top.best", "words")).alias("top"))
+        .select(ROW, "item_id", "top.words", "top.matched", "top.best")
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no passage of ``benchmark``; rows without an id stay."""
-    ids = stage(contaminated_pairs(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(sent_if_small(ids, BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
-
-
 def decontaminate_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no passage of ``benchmark``, each judged by its own text, with or without an id."""
     numbered = number_rows(docs)
-    found = contaminated_pairs(numbered.select(F.col(ROW).alias("doc_id"), "text"), benchmark)
-    rows = stage(found.select(F.col("doc_id").alias(ROW)).distinct(), "contaminated")
+    rows = stage(contaminated_rows(numbered, benchmark).select(ROW).distinct(), "contaminated")
     return numbered.join(sent_if_small(rows, BROADCAST_IDS), ROW, "left_anti").select(*docs.columns)

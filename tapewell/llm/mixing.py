@@ -337,11 +337,6 @@ def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
 
-def mix_documents(docs: DataFrame) -> DataFrame:
-    """The rows of :func:`mix_rows` that have an id."""
-    return mix_rows(docs).filter("doc_id is not null")
-
-
 def mix_rows(docs: DataFrame) -> DataFrame:
     """The mixture as rows of (doc_id, text, lang, source, n_chars).
 

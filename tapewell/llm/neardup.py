@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .rows import ROW, number_rows
+from .rows import ROW, has_own_ids, number_rows
 from .text import chunks, distinct, mix, span_hashes, strings, words
 
 SHINGLE = 4
@@ -328,81 +328,98 @@ def _open_pairs(met: DataFrame, found: DataFrame, docs: DataFrame, size: int, pe
         .select("token", "place", "doc_id", "n_shingles", "component"),
         "prefix",
     )
-    other = prefix.select(
-        "token",
-        F.col("place").alias("place_b"),
-        F.col("doc_id").alias("b"),
-        F.col("n_shingles").alias("size_b"),
-        F.col("component").alias("component_b"),
+    # What decides on a pair is the same for all sets of a size that hold the token at a place:
+    # such groups meet first, and only groups that may hold links bring their members together.
+    key = ["token", "place", "n_shingles"]
+    groups = prefix.groupBy(*key).agg(
+        F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
     )
+    renamed = ["token", "place_b", "size_b"]
+    other = groups.toDF(*renamed, "members_b", "low_b", "high_b")
     # At the first shingle a linked pair shares, all before it are missed on either side.
     most = F.least(F.col("n_shingles") - F.col("place"), F.col("size_b") - F.col("place_b")) + 1
     needed = percent * (F.col("n_shingles") + F.col("size_b"))
-    return (
-        prefix.withColumnRenamed("doc_id", "a")
-        .join(other, "token")
-        .filter("a < b and component != component_b")
+    meeting = stage(
+        groups.join(other, "token")
         .filter(_sizes_allow(F.col("n_shingles"), F.col("size_b"), percent))
         .filter((100 + percent) * most >= needed)
+        .filter("low != high or low_b != high_b or low != low_b")
+        .select(*key, "place_b", "size_b"),
+        "meeting",
+    )
+    left = prefix.select(*key, F.col("doc_id").alias("a"), "component")
+    right = prefix.select(*key, "doc_id", "component").toDF(*renamed, "b", "component_b")
+    return (
+        left.join(meeting, key)
+        .join(right, renamed)
+        .filter("a < b and component != component_b")
         .select("a", "b")
         .distinct()
     )
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR_PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, spanning_links) per row of ``docs`` (doc_id, text).
+def near_duplicate_rows(rows: DataFrame, size: int = SHINGLE, percent: int = SIMILAR_PERCENT) -> DataFrame:
+    """(row, n_shingles, component, spanning_links) of (row, text), where no ``row`` is null or repeats.
 
-    A null or wordless text has an empty set, links with nothing and is kept. Rows that
-    repeat an id count as one document with the text that is largest in byte order and
-    come back once per row; a null id is a document of its own, kept, with a null
-    component. An empty table gives an empty table. ``spanning_links`` counts the confirmed
-    pairs of a row's class, a subset that spans each component, not all its links.
+    ``component`` is the smallest row of those linked; see :func:`near_duplicates`.
     """
-    one = docs.select("doc_id", "text")
+    one = rows.select(F.col(ROW).alias("doc_id"), "text")
     signed = stage(sign_documents(one, size), "signed")
-    repeated = signed.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    repeated = stage(repeated.select("doc_id"), "repeated")
-    lookup, rows = one.filter("doc_id is not null"), signed.filter("doc_id is not null")
-    if not repeated.isEmpty():
-        twice = stage(
-            lookup.join(repeated, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text")), "twice"
-        )
-        lookup = lookup.join(repeated, "doc_id", "left_anti").unionByName(twice)
-        rows = stage(
-            rows.join(repeated, "doc_id", "left_anti").unionByName(sign_documents(twice, size)), "signed"
-        )
-    found, links = near_duplicate_links(rows, lookup, size, percent)
-    heads = rows.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("head"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("head")).groupBy("head").agg(F.count("*").alias("spanning_links"))
+    found, links = near_duplicate_links(signed, one, size, percent)
+    heads = signed.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("head"))
+    degree = (
+        links.select(F.explode(F.array("a", "b")).alias("head"))
+        .groupBy("head")
+        .agg(F.count("*").alias("spanning_links"))
+    )
     by_class = (
         heads.join(found.withColumnRenamed("doc_id", "head"), "head", "left")
         .join(degree, "head", "left")
-        .select("set_key", F.coalesce("component", "head").alias("component"), F.coalesce("spanning_links", F.lit(0)).alias("spanning_links"))
-    )
-    placed = rows.select("doc_id", "n_shingles", "set_key").join(by_class, "set_key", "left")
-    if not repeated.isEmpty():
-        placed = placed.join(one.filter("doc_id is not null").select("doc_id"), "doc_id")
-    lone = signed.filter("doc_id is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component"), F.lit(0).cast("long").alias("spanning_links")
+        .select("set_key", F.coalesce("component", "head").alias("component"), "spanning_links")
     )
     return (
-        placed.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"), "spanning_links")
-        .unionByName(lone)
+        signed.select("doc_id", "n_shingles", "set_key")
+        .join(by_class, "set_key", "left")
         .select(
-            "doc_id",
+            F.col("doc_id").alias(ROW),
             "n_shingles",
-            F.col("component").alias("component_id"),
-            F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"),
-            F.coalesce("spanning_links", F.lit(0)).alias("spanning_links"),
+            F.coalesce("component", "doc_id").alias("component"),
+            F.coalesce("spanning_links", F.lit(0).cast("long")).alias("spanning_links"),
         )
     )
 
 
-def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = SIMILAR_PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay: of every component the rows with its smallest id; rows without an id."""
-    kept = near_duplicates(docs, size, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi")
-    return named.unionByName(docs.filter("doc_id is null"))
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR_PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, spanning_links) per row of ``docs`` (doc_id, text).
+
+    A null or wordless text has an empty set, links with nothing and is kept. Rows without an
+    id or with a repeated one are compared each by its own text; ``component_id`` is the
+    smallest id of the rows linked, null only if none of them has one. Kept are the rows with
+    that id; of rows without any, the one numbered first. An empty table gives an empty
+    table. ``spanning_links`` counts the confirmed pairs of a row's class, a subset that
+    spans each component, not all its links.
+    """
+    numbered = number_rows(docs.select("doc_id", "text"))
+    found = near_duplicate_rows(numbered, size, percent)
+    if has_own_ids(numbered):
+        return found.select(
+            F.col(ROW).alias("doc_id"),
+            "n_shingles",
+            F.col("component").alias("component_id"),
+            (F.col(ROW) == F.col("component")).alias("kept"),
+            "spanning_links",
+        )
+    named = stage(found.join(numbered.select(ROW, "doc_id"), ROW), "named")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return named.join(least, "component").select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.when(F.col("component_id").isNull(), F.col(ROW) == F.col("component"))
+        .otherwise(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .alias("kept"),
+        "spanning_links",
+    )
 
 
 def drop_near_duplicate_rows(docs: DataFrame, size: int = 5, percent: int = SIMILAR_PERCENT) -> DataFrame:
@@ -412,12 +429,12 @@ def drop_near_duplicate_rows(docs: DataFrame, size: int = 5, percent: int = SIMI
     id the one whose text has the smallest hash.
     """
     numbered = number_rows(docs)
-    found = near_duplicates(numbered.select(F.col(ROW).alias("doc_id"), "text"), size, percent)
+    found = near_duplicate_rows(numbered, size, percent)
     named = numbered.select(ROW, "doc_id", F.xxhash64("text").alias("hash"))
     kept = (
-        found.select(F.col("doc_id").alias(ROW), "component_id")
+        found.select(ROW, "component")
         .join(named, ROW)
-        .groupBy("component_id")
+        .groupBy("component")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("lone"), "doc_id", "hash", ROW)).alias("first"))
         .select(F.col("first")[ROW].alias(ROW))
     )

@@ -82,24 +82,20 @@ def _brute_pairs(docs, items):
     import re
 
     cut = lambda s: re.findall(r"[^\W_]+", (s or "").lower())
-    masks = [[k for k, c in enumerate(m) if c == "1"] for m in decontamination.MASKS]
     found = set()
     for d, text in docs:
         doc = cut(text)
         for i, passage in items:
             item = cut(passage)
-            if d is None or i is None or len(item) < decontamination.LEAST_WORDS:
+            if i is None or len(item) < decontamination.LEAST_WORDS:
                 continue
             window = min(len(item), decontamination.WINDOW)
             for shift in range(-len(item), len(doc)):
                 same = [doc[k + shift] == item[k] for k in range(len(item)) if 0 <= k + shift < len(doc)]
                 if not same:
                     continue
-                seeded = any(
-                    s + m[-1] < len(same) and all(same[s + k] for k in m) for m in masks for s in range(len(same))
-                )
                 runs = [sum(same[s : s + window]) for s in range(max(1, len(same) - window + 1))]
-                if seeded and 100 * max(runs) >= decontamination.SIMILAR_PERCENT * window:
+                if 100 * max(runs) >= decontamination.SIMILAR_PERCENT * window:
                     found.add((d, i))
     return found
 
@@ -128,8 +124,8 @@ def test_leaks_with_changed_words_against_brute_force(docs_of, spark):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     found = decontamination.contaminated_pairs(docs_of(docs), benchmark)
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == _brute_pairs(docs, items)
-    clean = decontamination.decontaminate(docs_of(docs).withColumn("shift", F.lit(1)), benchmark)
-    assert sorted(r["doc_id"] or 0 for r in clean.collect()) == [0, 3, 4, 5, 6, 7]
+    clean = decontamination.decontaminate_rows(docs_of(docs).withColumn("shift", F.lit(1)), benchmark)
+    assert sorted(r["doc_id"] for r in clean.collect()) == [3, 4, 5, 6, 7, 8]
     assert clean.columns[-1] == "shift"
 
 
@@ -184,3 +180,9 @@ def test_native_plans_run_no_python(docs_of, spark, kind):
         ),
     }[kind]()
     assert not any(x in _plan(df) for x in ("Python", "Pandas", "ArrowEval", "MapInArrow"))
+
+
+def test_one_word_repeated_makes_one_row_a_pair(docs_of, spark):
+    benchmark = spark.createDataFrame([(1, "a " * 15), (2, "a " * 12 + "b c d")], "item_id long, text string")
+    found = decontamination.contaminated_pairs(docs_of([(1, "a " * 20_000), (2, "b " * 30)]), benchmark)
+    assert sorted(map(tuple, found.collect())) == [(1, 1, 15, 15, 13), (1, 2, 15, 12, 12)]

@@ -85,13 +85,28 @@ def test_near_duplicates_against_brute_force(docs_of, monkeypatch, broadcast):
 def test_near_duplicates_edges(docs_of):
     text = "one two three four five six"
     rows = [(1, text), (2, text), (2, text), (3, "other words stand here now"), (3, text), (None, text), (None, None)]
-    out = neardup.near_duplicates(docs_of(rows)).collect()
-    assert len(out) == len(rows)
-    assert {r["component_id"] for r in out if r["doc_id"] in (1, 2)} == {1}
-    assert all(r["kept"] and r["component_id"] is None for r in out if r["doc_id"] is None)
+    rows += [(None, "a b c d e f g"), (None, "A b c d e f g"), (9, ""), (9, "x y")]
+    out = sorted(map(str, neardup.near_duplicates(docs_of(rows)).drop("spanning_links").collect()))
+    want = [
+        (1, 3, 1, True), (2, 3, 1, False), (2, 3, 1, False), (3, 2, 3, True), (3, 3, 1, False), (None, 3, 1, False),
+        (None, 0, None, True), (9, 0, 9, True), (9, 1, 9, True),
+    ]
+    lone = [(None, 4, None, True), (None, 4, None, False)]
+    names = ("doc_id", "n_shingles", "component_id", "kept")
+    assert out == sorted(f"Row({', '.join(f'{n}={v}' for n, v in zip(names, r))})" for r in want + lone)
     assert neardup.near_duplicates(docs_of([])).count() == 0
-    left = neardup.drop_near_duplicates(docs_of(rows).withColumn("head", F.lit(1)))
-    assert left.columns[-1] == "head" and left.filter("doc_id = 2").count() == 0 and left.filter("doc_id = 1").count() == 1
+
+
+def test_a_template_that_many_share_joins_few_rows(docs_of, monkeypatch):
+    template = " ".join(f"t{k}" for k in range(110))
+    rows = [(k, f"{template} " + " ".join(f"own{k}x{j}" for j in range(30 + k % 20))) for k in range(400)]
+    met = []
+    real = neardup.confirm_pairs
+    monkeypatch.setattr(neardup, "confirm_pairs", lambda pairs, *a: met.append(pairs.count()) or real(pairs, *a))
+    out = neardup.near_duplicates(docs_of(rows)).collect()
+    sets = _sets(rows, neardup.SHINGLE)
+    assert {r["doc_id"]: r["component_id"] for r in out} == _components(sets)
+    assert sum(met) < 40 * len(rows)
 
 
 def test_every_sketch_coordinate_fills():
@@ -283,13 +298,16 @@ def test_mixed_documents_hold_the_taken_words(docs_of):
     taken = {r["doc_id"]: r["taken"] for r in mixing.mixture_counts(docs_of(rows)).collect()}
     words: dict = {}
     texts = {r[0]: r[1] or "" for r in rows}
-    for row in mixing.mix_documents(docs_of(rows)).collect():
+    for row in mixing.mix_rows(docs_of(rows)).collect():
         assert row["text"] in texts[row["doc_id"]] and row["n_chars"] == len(row["text"])
         words[row["doc_id"]] = words.get(row["doc_id"], 0) + len(row["text"].split())
     assert {d: n for d, n in taken.items() if n} == words
 
 
-def test_mixing_drops_rows_without_id_and_repeats(docs_of):
-    out = mixing.mix_documents(docs_of(_mix_rows())).collect()
-    assert all(r["doc_id"] is not None for r in out)
-    assert mixing.mix_documents(docs_of([])).count() == 0
+def test_mixing_keeps_rows_without_id_and_repeats(docs_of):
+    rows = _mix_rows()
+    taken = sum(r["taken"] for r in mixing.mixture_counts(docs_of(rows)).collect())
+    out = mixing.mix_rows(docs_of(rows)).collect()
+    assert sum(len(r["text"].split()) for r in out) == taken
+    assert {"no id", "twice here"} <= {r["text"] for r in out}
+    assert mixing.mix_rows(docs_of([])).count() == 0

@@ -325,8 +325,8 @@ def sum_counts(aligned: DataFrame, pairs: DataFrame, most: int = TABLE_PAIRS) ->
     Up to ``most`` pairs their counts go to all tasks, beyond that rows and counts are joined.
     """
     if pairs.limit(most + 1).count() <= most:
-        table = pairs.select("code", "seen", "best").toPandas().sort_values("code")
-        arrays = tuple(table[c].to_numpy(np.int64) for c in ("code", "seen", "best"))
+        table = pairs.select("code", "seen", F.col("best").cast("long")).toArrow().sort_by("code")
+        arrays = tuple(table.column(c).to_numpy() for c in ("code", "seen", "best"))
         shared = aligned.sparkSession.sparkContext.broadcast(arrays)
         return aligned.mapInArrow(_sum_rows(shared), f"{_KEPT_SQL}, n_best long, count_sum long")
     single = aligned.select("row", "codes", "times").mapInArrow(_one_row_a_pair, "row long, code long, times long")

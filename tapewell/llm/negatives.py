@@ -99,8 +99,8 @@ def fit_codebooks(rows: DataFrame, sample: int = SAMPLE_VECTORS) -> Codebooks:
     counted = rows.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
     width = max(1, counted["width"] or 0)
     codes = int(min(MOST_CODES, max(2, 2 ** round(np.log2(max(1, counted["n"])) / 4))))
-    chosen = rows.orderBy(F.xxhash64("vector"), "row").limit(sample).select("vector").toPandas()["vector"]
-    points = matrix(pa.array(chosen.tolist(), pa.list_(pa.int64())), width).astype(np.float64)
+    chosen = rows.orderBy(F.xxhash64("vector"), "row").limit(sample).select("vector").toArrow()
+    points = matrix(chosen.column("vector").combine_chunks(), width).astype(np.float64)
     if not len(points):
         points = np.zeros((1, width))
     split = max(1, width // 2)

@@ -178,7 +178,7 @@ def recurring_windows(rows: DataFrame, size: int = WINDOW) -> DataFrame:
     )
     schema = "row long, start long, seed long, kind long, windows array<long>"
     if small(twice, SENT_SEEDS):
-        known = np.sort(twice.toPandas()["seed"].to_numpy(np.int64).view(np.uint64))
+        known = np.sort(twice.toArrow().column("seed").to_numpy().view(np.uint64))
         sent = rows.sparkSession.sparkContext.broadcast(known)
         return stage(rows.mapInArrow(_occurrences(size, sent), schema), "occurrences")
     lists = (

@@ -7,11 +7,18 @@ messages: it selects the expected events from the driver events directly.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewell.catalog.base import (
+    CTES,
     EVENT_SELECT,
+    GRACE,
+    SIZES,
     SYMBOL_LIST,
     Query,
     market_events,
@@ -35,14 +42,23 @@ from tapewell.operators.normalize import (
     to_quarantine,
 )
 from tapewell.schemas import EVENT_COLUMNS
-from tapewell.session import work_dir
+from tapewell.session import stage, work_dir
 from tapewell.sinks.lake import land_quarantine, start_bronze_sink, write_raw_messages
-from tapewell.sinks.topics import publish, route_events, topic_records
+from tapewell.sinks.topics import (
+    publish,
+    publish_records,
+    reject_records,
+    route_events,
+    topic_records,
+    with_topic,
+)
 from tapewell.sources.dimension import symbol_dimension
 from tapewell.sources.lake import read_bronze, read_quarantine
 from tapewell.sources.raw import count_raw_messages, read_raw_messages, stream_raw_messages
 from tapewell.sources.topics import read_topic_events, stream_topic_events
+from tapewell.streaming.live import BRONZE, QUARANTINE, read_commits, read_live, start_live
 from tapewell.streaming.normalizing import stream_normalize
+from tapewell.streaming.windows import LATE, WINDOW
 
 PER_MESSAGE = 3
 
@@ -210,8 +226,7 @@ def _rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _summary(spark: SparkSession, sf: str) -> DataFrame:
-    raw = coinbase_messages(market_events(spark, sf))
-    tagged = normalize_tagged(raw, symbol_dimension(spark, default_feed()), _ingest())
+    raw, tagged = _tagged(spark, sf)
     return normalization_summary(raw, tagged).select(
         "messages",
         "events",
@@ -229,33 +244,51 @@ def _summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _raw_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Messages written as JSON lines, counted unparsed, and read back."""
+    """All messages written as JSON lines, counted unparsed, and read back with their payloads."""
     path = work_dir(spark, "raw")
-    write_raw_messages(coinbase_trade_messages(market_events(spark, sf)), path)
+    raw = stage(all_messages(market_events(spark, sf)), "messages")
+    write_raw_messages(raw, path)
     lines = F.lit(count_raw_messages(spark, path)).cast("bigint")
-    back = read_raw_messages(spark, path)
-    return result(back.select("seq", "ts_recorded", "exchange", "channel", lines.alias("lines")))
+    sent = raw.select("exchange", "channel", "seq", F.col("payload").alias("sent"))
+    back = read_raw_messages(spark, path).join(sent, ["exchange", "channel", "seq"])
+    same = (F.col("payload") == F.col("sent")).alias("same_payload")
+    return result(back.select("seq", "ts_recorded", "exchange", "channel", same, lines.alias("lines")))
+
+
+def _first_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The first half of the trade messages by number, as ``limit`` takes them."""
+    path = work_dir(spark, "raw")
+    raw = stage(coinbase_trade_messages(market_events(spark, sf)), "messages")
+    write_raw_messages(raw, path)
+    return read_raw_messages(spark, path, raw.count() // 2).select("seq", "exchange", "channel")
 
 
 def _quarantine_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    raw = coinbase_trade_messages(market_events(spark, sf))
-    rejects = normalize_coinbase_trades(raw, symbol_dimension(spark, default_feed()), _ingest())[1]
+    """The rejects of all messages landed and read back."""
     path = work_dir(spark, "quarantine")
-    land_quarantine(to_quarantine(rejects), path)
-    return read_quarantine(spark, path).select(
-        "exchange",
-        "seq",
-        "reason",
-        F.get_json_object("payload", "$.product_id").alias("product_id"),
-        F.get_json_object("payload", "$.time").alias("time_text"),
+    land_quarantine(to_quarantine(rejects_of(_tagged(spark, sf)[1])), path)
+    record = F.coalesce(
+        F.get_json_object("payload", "$.product_id"), F.get_json_object("payload", "$.s"), F.lit("none")
     )
+    return (
+        read_quarantine(spark, path)
+        .groupBy("exchange", "seq", "reason", F.replace(record, F.lit("-"), F.lit("")).alias("product"))
+        .agg(F.count("*").alias("n"))
+    )
+
+
+_UNKNOWN_EXCHANGE = (
+    '{"seq": 2, "ts_recorded": "2024-01-01T00:00:00Z", "exchange": "nowhere", "channel": "x", "payload": {"a": 1}}'
+)
 
 
 def _stream_normalize(spark: SparkSession, sf: str) -> DataFrame:
     events = market_events(spark, sf)
     source, sink = work_dir(spark, "feed"), work_dir(spark, "feed-out")
-    write_raw_messages(coinbase_messages(events), source)
-    stream = stream_raw_messages(spark, path=source)
+    write_raw_messages(all_messages(events), f"{source}/feed")
+    strange = [("no message",), ('{"seq": 1}',), (_UNKNOWN_EXCHANGE,), ("  ",)]
+    spark.createDataFrame(strange, "value string").coalesce(1).write.text(f"{source}/strange")
+    stream = stream_raw_messages(spark, path=f"{source}/*")
     stream_normalize(
         stream,
         symbol_dimension(spark, default_feed()),
@@ -280,6 +313,91 @@ def _stream_normalize(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+class _Killed(Exception):
+    pass
+
+
+# Runs of the live plan, lines that are no message and messages of an unknown exchange in each.
+LIVE_SLICES = 3
+
+
+def _numbered_feed(events: DataFrame) -> DataFrame:
+    """All messages under numbers of their own, those of one moment side by side."""
+    parts = [
+        coinbase_trade_messages(events).withColumn("seq", F.expr(f"({PER_MESSAGE} * (seq + 1) - 1) * 4")),
+        coinbase_ticker_messages(events).withColumn("seq", F.expr("seq * 4 + 1")),
+        binance_trade_messages(events).withColumn("seq", F.expr("seq * 4 + 2")),
+        binance_book_messages(events).withColumn("seq", F.expr("seq * 4 + 3")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _live(spark: SparkSession, sf: str) -> tuple[str, int]:
+    """The live plan over a feed that grows, killed once between two tables: its root, and batches."""
+    root = work_dir(spark, "live")
+    feed = stage(_numbered_feed(market_events(spark, sf)), "feed")
+    shares = [i / LIVE_SLICES for i in range(1, LIVE_SLICES)]
+    cuts = [float("-inf"), *feed.approxQuantile("seq", shares, 0.01), float("inf")]
+    killed = []
+
+    def landed(name: str, batch_id: int) -> None:
+        if batch_id == 1 and name == QUARANTINE and not killed:
+            killed.append(batch_id)
+            raise _Killed
+
+    def run() -> None:
+        start_live(
+            stream_raw_messages(spark.newSession(), path=f"{root}/in/*"),
+            f"{root}/out",
+            f"{root}/checkpoint",
+            symbol_dimension(spark, default_feed()),
+            SIZES,
+            GRACE,
+            ts_ingest=_ingest(),
+            landed=landed,
+        ).awaitTermination()
+
+    for number, (low, high) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        strange = spark.createDataFrame([("no message",), ('{"seq": 1}',)], "value string")
+        strange.coalesce(1).write.text(f"{root}/in/strange-{number}")
+        write_raw_messages(feed.where((F.col("seq") >= low) & (F.col("seq") < high)), f"{root}/in/feed-{number}")
+        try:
+            run()
+        except StreamingQueryException:
+            if read_commits(spark, f"{root}/out").count() != number:
+                raise
+            run()
+    return f"{root}/out", len(killed)
+
+
+def _live_run(spark: SparkSession, sf: str) -> DataFrame:
+    """What the live plan shows of its tables, in a few rows each, and what its commits say."""
+    out, killed = _live(spark, sf)
+    none = F.lit(None).cast("timestamp")
+    bronze = read_live(spark, out, BRONZE).groupBy("event_type", "symbol")
+    rejects = read_live(spark, out, QUARANTINE).groupBy("exchange")
+    windows = read_live(spark, out, WINDOW).groupBy("source", F.concat_ws(" ", "symbol", "window_size").alias("part"))
+    late = read_live(spark, out, LATE).groupBy("source", "window_size")
+    commits = read_commits(spark, out)
+    n, no_total = F.count("*").alias("n"), F.lit(0.0)
+    parts = [
+        bronze.agg(n, no_total, F.max("ts_event")),
+        rejects.agg(n).select("exchange", F.lit("all"), "n", no_total, none),
+        windows.agg(n, F.sum(F.col("trade_volume") + F.col("event_count")), F.max("window_start")),
+        late.agg(n, no_total, F.max("window_start")),
+        commits.select(
+            F.lit("landed"), F.lit("all"), F.expr("bronze_rows + quarantine_rows + window_rows + late_rows"), no_total, none
+        ).toDF("a", "b", "n", "total", "newest").groupBy("a", "b").agg(F.sum("n"), F.max("total"), F.max("newest")),
+        commits.agg(n).select(F.lit("killed"), F.lit(str(killed)), "n", no_total, none),
+    ]
+    kinds = ("bronze", "quarantine", "windows", "late", "commits", "batches")
+    named = [
+        df.toDF("a", "b", "n", "total", "newest").withColumn("kind", F.lit(kind))
+        for kind, df in zip(kinds, parts, strict=True)
+    ]
+    return result(reduce(DataFrame.unionByName, named), 3)
+
+
 def _symbol_dimension(spark: SparkSession, sf: str) -> DataFrame:
     """Every event's symbol as each exchange spells it, mapped back; unknown ones dropped."""
     config = default_feed()
@@ -316,18 +434,47 @@ def _published(spark: SparkSession, sf: str) -> DataFrame:
     """Events published to topic files, read back and decoded."""
     path = work_dir(spark, "topics")
     publish(market_events(spark, sf), path=path)
-    return result(read_topic_events(spark, path).select("topic", "key", *EVENT_COLUMNS))
+    return result(read_topic_events(spark, path)[0].select("topic", "key", *EVENT_COLUMNS))
+
+
+def _damaged_topic(spark: SparkSession, sf: str) -> str:
+    """Topic files of the driver events, every seventh record cut off after 30 characters."""
+    path = work_dir(spark, "topics")
+    cut = F.when(F.col("event_id") % 7 == 0, F.substring("value", 1, 30)).otherwise(F.col("value"))
+    records = with_topic(market_events(spark, sf)).select(
+        "topic", F.col("symbol").alias("key"), encode_event().alias("value"), "event_id"
+    )
+    publish_records(records.select("topic", "key", cut.alias("value")), path=path)
+    return path
 
 
 def _consumed(spark: SparkSession, sf: str) -> DataFrame:
-    """The ticker topic consumed as a stream from its beginning, landed as bronze."""
-    path, out = work_dir(spark, "topics"), work_dir(spark, "consumed")
-    publish(market_events(spark, sf), path=path)
-    events = stream_topic_events(spark, path=path, topics=[TICKER_TOPIC])
+    """The ticker topic consumed as a stream from its beginning, past damaged records, landed as bronze."""
+    path, out = _damaged_topic(spark, sf), work_dir(spark, "consumed")
+    events, _ = stream_topic_events(spark, path=path, topics=[TICKER_TOPIC])
     start_bronze_sink(events, f"{out}/bronze", f"{out}/checkpoint").awaitTermination()
     return result(read_bronze(spark, f"{out}/bronze").select(*EVENT_COLUMNS))
 
 
+def _quarantine_topic(spark: SparkSession, sf: str) -> DataFrame:
+    """Damaged records of all topics, streamed to the quarantine topic with where they came from."""
+    path, out = _damaged_topic(spark, sf), work_dir(spark, "refused")
+    _, rejects = stream_topic_events(spark, path=path)
+
+    def publish_batch(batch: DataFrame, batch_id: int) -> None:
+        reject_records(batch).write.mode("overwrite").parquet(f"{out}/records/batch_id={batch_id}")
+
+    writer = rejects.writeStream.foreachBatch(publish_batch).option("checkpointLocation", f"{out}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    refused = spark.read.schema("topic string, key string, value string").parquet(f"{out}/records")
+    return refused.groupBy(
+        "topic",
+        "key",
+        F.get_json_object("value", "$.topic").alias("from_topic"),
+        F.get_json_object("value", "$.reason").alias("reason"),
+    ).agg(F.count("*").alias("n"))
+
+
 def _forced_topic(spark: SparkSession, sf: str) -> DataFrame:
     records = topic_records(market_events(spark, sf), "replay.all")
     return records.groupBy("topic", "key").agg(F.count("*").alias("n"))
@@ -437,18 +584,60 @@ _QUOTE_REASON = (
 _BAD_TRADE = f"{_KNOWN} AND event_type = 'trade' AND (price IS NULL OR price <= 0)"
 _BAD_QUOTE = f"{_KNOWN} AND event_type = 'ticker' AND (best_ask < 0 OR best_ask < best_bid)"
 _COINBASE_REJECTS = f"""
-SELECT exchange, event_id // {PER_MESSAGE} AS seq, {_TRADE_REASON.format(key='price')} AS reason
+SELECT exchange, event_id // {PER_MESSAGE} AS seq, {_TRADE_REASON.format(key='price')} AS reason,
+  symbol AS product
 FROM market_events WHERE {_BAD_TRADE}
 UNION ALL SELECT exchange, event_id,
-  'bad envelope timestamp: Invalid isoformat string: ''soon'''
+  'bad envelope timestamp: Invalid isoformat string: ''soon''', 'none'
 FROM market_events WHERE event_type = 'ticker' AND event_id % 11 = 0
-UNION ALL SELECT exchange, event_id, {_QUOTE_REASON}
+UNION ALL SELECT exchange, event_id, {_QUOTE_REASON}, symbol
 FROM market_events WHERE {_BAD_QUOTE} AND event_id % 11 <> 0"""
 # A Binance trade that neither says so nor has a price is not a trade at all.
 _BINANCE_REJECTS = f"""
-SELECT 'binance_us' AS exchange, event_id AS seq, {_TRADE_REASON.format(key='p')} AS reason
+SELECT 'binance_us' AS exchange, event_id AS seq, {_TRADE_REASON.format(key='p')} AS reason,
+  symbol AS product
 FROM market_events WHERE {_BAD_TRADE} AND NOT (price IS NULL AND event_id % 3 = 0)
-UNION ALL SELECT 'binance_us', event_id, {_QUOTE_REASON} FROM market_events WHERE {_BAD_QUOTE}"""
+UNION ALL SELECT 'binance_us', event_id, {_QUOTE_REASON}, symbol FROM market_events WHERE {_BAD_QUOTE}"""
+_ALL_REJECTS = f"{_COINBASE_REJECTS} UNION ALL {_BINANCE_REJECTS}"
+_ALL_EVENTS = " UNION ALL ".join(
+    f"({q})" for q in (_COINBASE_TRADES, _COINBASE_QUOTES, _BINANCE_TRADES, _BINANCE_QUOTES)
+)
+
+# The live feed: what it accepts, numbered by arrival, through the steps that judge windows.
+_JUDGED = ("clocked", "late_flags", "clock_windows", "closed_by_clock")
+
+
+def _of_live(sql: str) -> str:
+    sql = sql.replace("ORDER BY ts_ingest, event_id", "ORDER BY arrival, event_id")
+    return re.sub(rf"\b(market_events|{'|'.join(_JUDGED)})\b", r"live_\1", sql)
+
+
+_LIVE_STEPS = "".join(f", live_{name} AS ({_of_live(CTES[name])})" for name in _JUDGED)
+_LIVE_COLUMNS = "symbol, event_type, price, size, best_bid, best_ask"
+_LIVE_SQL = f"""
+, sizes AS ({CTES['sizes']}), live_market_events AS (
+  SELECT {_LIVE_COLUMNS}, ts_event, event_id, ({PER_MESSAGE} * (event_id // {PER_MESSAGE} + 1) - 1) * 4 AS arrival
+  FROM market_events WHERE {_KNOWN} AND {_TRADE_OK}
+  UNION ALL SELECT {_LIVE_COLUMNS}, ts_event, event_id, event_id * 4 + 1
+  FROM market_events WHERE {_KNOWN} AND {_QUOTE_OK} AND event_id % 11 <> 0
+  UNION ALL SELECT {_LIVE_COLUMNS}, date_trunc('milliseconds', ts_event), event_id, event_id * 4 + 2
+  FROM market_events WHERE {_KNOWN} AND {_TRADE_OK}
+  UNION ALL SELECT {_LIVE_COLUMNS}, ts_ingest, event_id, event_id * 4 + 3
+  FROM market_events WHERE {_KNOWN} AND {_QUOTE_OK}
+){_LIVE_STEPS}, parts AS (
+  SELECT 'bronze' AS kind, event_type AS a, symbol AS b, count(*) AS n, 0.0 AS total, max(ts_event) AS newest
+  FROM live_market_events GROUP BY ALL
+  UNION ALL SELECT 'quarantine', exchange, 'all', count(*), 0.0, NULL
+  FROM ({_ALL_REJECTS}) GROUP BY ALL
+  UNION ALL SELECT 'quarantine', 'unknown', 'all', {LIVE_SLICES} * 2, 0.0, NULL
+  UNION ALL SELECT 'windows', source, concat_ws(' ', symbol, window_size), count(*),
+    round(sum(trade_volume + event_count), 3), max(window_start) FROM live_closed_by_clock GROUP BY ALL
+  UNION ALL SELECT 'late', source, window_size, count(*), 0.0, max(window_start)
+  FROM live_late_flags WHERE late GROUP BY ALL
+)
+SELECT kind, a, b, n, CAST(total AS DOUBLE) AS total, newest FROM parts
+UNION ALL SELECT 'commits', 'landed', 'all', CAST(sum(n) AS BIGINT), 0.0, NULL FROM parts
+UNION ALL SELECT 'batches', 'killed', '1', {LIVE_SLICES}, 0.0, NULL"""
 
 
 
@@ -487,8 +676,7 @@ FEED_QUERIES: dict[str, Query] = {
     "normalize_rejects": Query(
         _rejects,
         _from_events(
-            "SELECT exchange, seq, reason, count(*) AS n FROM "
-            f"({_COINBASE_REJECTS} UNION ALL {_BINANCE_REJECTS}) GROUP BY ALL"
+            f"SELECT exchange, seq, reason, count(*) AS n FROM ({_ALL_REJECTS}) GROUP BY ALL"
         ),
     ),
     "normalization_summary": Query(
@@ -497,40 +685,54 @@ FEED_QUERIES: dict[str, Query] = {
             f"""
 SELECT (SELECT count(DISTINCT event_id // {PER_MESSAGE}) FROM market_events
         WHERE event_type = 'trade') + (SELECT count(*) FROM market_events
+        WHERE event_type = 'trade') + 2 * (SELECT count(*) FROM market_events
         WHERE event_type = 'ticker') AS messages,
   CAST(sum(n) AS BIGINT) AS events, CAST(sum(trades) AS BIGINT) AS trades,
   CAST(sum(n - trades) AS BIGINT) AS tickers,
-  (SELECT count(*) FROM ({_COINBASE_REJECTS})) AS quarantined,
+  (SELECT count(*) FROM ({_ALL_REJECTS})) AS quarantined,
   string_agg(symbol || '=' || n, ';' ORDER BY symbol) AS by_symbol
 FROM (SELECT symbol, count(*) AS n, count(*) FILTER (event_type = 'trade') AS trades
-      FROM (({_COINBASE_TRADES}) UNION ALL ({_COINBASE_QUOTES})) GROUP BY symbol)"""
+      FROM ({_ALL_EVENTS}) GROUP BY symbol)"""
         ),
     ),
     "raw_roundtrip": Query(
         _raw_roundtrip,
         _from_events(
-            f"SELECT event_id // {PER_MESSAGE} AS seq, max(ts_ingest) AS ts_recorded, "
-            "'coinbase' AS exchange, 'market_trades' AS channel, count(*) OVER () AS lines "
-            "FROM market_events WHERE event_type = 'trade' GROUP BY 1"
+            f"""
+SELECT *, true AS same_payload, count(*) OVER () AS lines FROM (
+  SELECT event_id // {PER_MESSAGE} AS seq, max(ts_ingest) AS ts_recorded, 'coinbase' AS exchange,
+    'market_trades' AS channel FROM market_events WHERE event_type = 'trade' GROUP BY 1
+  UNION ALL SELECT event_id, ts_ingest, 'binance_us', 'trade' FROM market_events WHERE event_type = 'trade'
+  UNION ALL SELECT event_id, ts_ingest, 'coinbase', 'ticker' FROM market_events WHERE event_type = 'ticker'
+  UNION ALL SELECT event_id, ts_ingest, 'binance_us', 'bookTicker' FROM market_events
+    WHERE event_type = 'ticker')"""
+        ),
+    ),
+    "first_messages": Query(
+        _first_messages,
+        _from_events(
+            f"""
+, m AS (SELECT DISTINCT event_id // {PER_MESSAGE} AS seq FROM market_events WHERE event_type = 'trade')
+SELECT seq, 'coinbase' AS exchange, 'market_trades' AS channel FROM m
+QUALIFY row_number() OVER (ORDER BY seq) <= (SELECT count(*) // 2 FROM m)"""
         ),
     ),
     "quarantine_roundtrip": Query(
         _quarantine_roundtrip,
         _from_events(
-            f"SELECT exchange, event_id // {PER_MESSAGE} AS seq, "
-            f"{_TRADE_REASON.format(key='price')} AS reason, symbol AS product_id, "
-            "strftime(ts_event, '%Y-%m-%dT%H:%M:%S.%f') || '789Z' AS time_text "
-            f"FROM market_events WHERE {_BAD_TRADE}"
+            f"SELECT exchange, seq, reason, replace(product, '-', '') AS product, count(*) AS n "
+            f"FROM ({_ALL_REJECTS}) GROUP BY ALL"
         ),
     ),
     "stream_normalize": Query(
         _stream_normalize,
         _from_events(
             "SELECT event_type, symbol, count(*) AS n, max(ts_event) AS newest FROM "
-            f"(({_COINBASE_TRADES}) UNION ALL ({_COINBASE_QUOTES})) GROUP BY 1, 2 UNION ALL "
-            f"SELECT 'rejected', 'all', count(*), NULL FROM ({_COINBASE_REJECTS})"
+            f"({_ALL_EVENTS}) GROUP BY 1, 2 UNION ALL "
+            f"SELECT 'rejected', 'all', count(*) + 3, NULL FROM ({_ALL_REJECTS})"
         ),
     ),
+    "live_run": Query(_live_run, _from_events(_LIVE_SQL)),
     "symbol_dimension": Query(
         _symbol_dimension,
         _from_events(
@@ -554,7 +756,17 @@ FROM (SELECT symbol, count(*) AS n, count(*) FILTER (event_type = 'trade') AS tr
     ),
     "consume_topic": Query(
         _consumed,
-        _from_events(f"SELECT {EVENT_SELECT} FROM market_events WHERE event_type = 'ticker'"),
+        _from_events(
+            f"SELECT {EVENT_SELECT} FROM market_events WHERE event_type = 'ticker' AND event_id % 7 <> 0"
+        ),
+    ),
+    "quarantine_topic": Query(
+        _quarantine_topic,
+        _from_events(
+            "SELECT 'contracts.quarantine' AS topic, symbol AS key, topic AS from_topic, "
+            f"'not a JSON object' AS reason, count(*) AS n FROM (SELECT *, {_TOPIC} FROM market_events "
+            "WHERE event_id % 7 = 0) GROUP BY ALL"
+        ),
     ),
     "publish_one_topic": Query(
         _forced_topic,

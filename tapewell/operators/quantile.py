@@ -60,6 +60,13 @@ def _value_at(df: DataFrame, column: str, rank: int, low: int, high: int, bins:
     return low
 
 
+def value_at_rank(df: DataFrame, column: str, rank: int, bins: int = BINS) -> int | None:
+    """The value at ``rank`` (from 0) in ascending order; None if there are not that many."""
+    value = _as_number(df, column)
+    n, low, high = df.agg(F.count(value), F.min(value), F.max(value)).first()
+    return _value_at(df, column, rank, low, high, bins) if rank < n else None
+
+
 def exact_percentile(df: DataFrame, column: str, share: float, bins: int = BINS) -> float | None:
     """Percentile with linear interpolation between neighbours; None for no rows."""
     value = _as_number(df, column)

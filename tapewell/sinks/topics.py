@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapewell.config import TICKER_TOPIC, TRADES_TOPIC, WINDOWS_TOPIC
+from tapewell.config import QUARANTINE_TOPIC, TICKER_TOPIC, TRADES_TOPIC, WINDOWS_TOPIC
 from tapewell.functions.events import encode_event
 from tapewell.functions.windows import iso_utc
 from tapewell.schemas import WINDOW_SCHEMA
@@ -31,6 +31,14 @@ def topic_records(events: DataFrame, topic: str | None = None) -> DataFrame:
     )
 
 
+def reject_records(rejects: DataFrame) -> DataFrame:
+    """Records (topic, key, value) of rejected texts for the quarantine topic: text and reason as JSON."""
+    key = F.col("key") if "key" in rejects.columns else F.lit(None).cast("string")
+    fields = [name for name in ("topic", "exchange", "seq", "value", "payload", "reason") if name in rejects.columns]
+    body = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    return rejects.select(F.lit(QUARANTINE_TOPIC).alias("topic"), key.alias("key"), body.alias("value"))
+
+
 def publish(
     events: DataFrame,
     path: str | None = None,
@@ -38,7 +46,13 @@ def publish(
     topic: str | None = None,
 ) -> None:
     """Publish a batch of events to files by topic, or to Kafka where its connector is present."""
-    records = topic_records(events, topic)
+    publish_records(topic_records(events, topic), path, kafka)
+
+
+def publish_records(
+    records: DataFrame, path: str | None = None, kafka: dict[str, str] | None = None
+) -> None:
+    """Publish records (topic, key, value), such as those of events or of rejects."""
     if (path is None) == (kafka is None):
         raise ValueError("give either a folder or Kafka options")
     if kafka is not None:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewell.functions.parsing import parse_ts
+from tapewell.operators.quantile import value_at_rank
 from tapewell.schemas import RAW_SCHEMA
 
 _ENVELOPE = ("seq", "ts_recorded", "exchange", "channel", "payload")
@@ -60,9 +61,18 @@ def parse_envelope(lines: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def read_raw_messages(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Recorded messages from JSON lines; ``limit`` keeps the first ones by ``seq``."""
+    """Recorded messages from JSON lines; ``limit`` keeps the first ones by ``seq``.
+
+    The last number that fits is found by counting, so that no task sorts or gathers the
+    messages. Messages that share that number all stay.
+    """
     raw = parse_envelope(spark.read.schema(_TEXT).text(path))
-    return raw if limit is None else raw.orderBy("seq").limit(limit)
+    if limit is None:
+        return raw
+    if limit <= 0:
+        return raw.where(F.lit(False))
+    last = value_at_rank(raw.select("seq"), "seq", limit - 1)
+    return raw if last is None else raw.where(F.col("seq") <= last)
 
 
 def count_raw_messages(spark: SparkSession, path: str) -> int:

@@ -77,7 +77,7 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-class _Closing:
+class Closing:
     """What one micro-batch does to the clocks and open windows that the one before left.
 
     Each batch writes its own state and output folders and reads only the state of its
@@ -163,7 +163,7 @@ def stream_windows(
     spark = ensure_session(events.sparkSession)
     run = run_of(spark, checkpoint)
     state = f"{checkpoint.rstrip('/')}/tapewell-state"
-    closing = _Closing(state, root.rstrip("/"), run, sizes, grace_seconds, block_span)
+    closing = Closing(state, root.rstrip("/"), run, sizes, grace_seconds, block_span)
 
     def take(batch: DataFrame, batch_id: int) -> None:
         closed = closing.take(batch, batch_id)

@@ -321,7 +321,7 @@ class _Killed(Exception):
 LIVE_SLICES = 3
 
 
-def _numbered_feed(events: DataFrame) -> DataFrame:
+def numbered_feed(events: DataFrame) -> DataFrame:
     """All messages under numbers of their own, those of one moment side by side."""
     parts = [
         coinbase_trade_messages(events).withColumn("seq", F.expr(f"({PER_MESSAGE} * (seq + 1) - 1) * 4")),
@@ -335,7 +335,7 @@ def _numbered_feed(events: DataFrame) -> DataFrame:
 def _live(spark: SparkSession, sf: str) -> tuple[str, int]:
     """The live plan over a feed that grows, killed once between two tables: its root, and batches."""
     root = work_dir(spark, "live")
-    feed = stage(_numbered_feed(market_events(spark, sf)), "feed")
+    feed = stage(numbered_feed(market_events(spark, sf)), "feed")
     shares = [i / LIVE_SLICES for i in range(1, LIVE_SLICES)]
     cuts = [float("-inf"), *feed.approxQuantile("seq", shares, 0.01), float("inf")]
     killed = []
@@ -614,7 +614,8 @@ def _of_live(sql: str) -> str:
 
 _LIVE_STEPS = "".join(f", live_{name} AS ({_of_live(CTES[name])})" for name in _JUDGED)
 _LIVE_COLUMNS = "symbol, event_type, price, size, best_bid, best_ask"
-_LIVE_SQL = f"""
+# Steps of a query; the last is the closed windows of the feed, late records left out.
+LIVE_WINDOWS = f"""
 , sizes AS ({CTES['sizes']}), live_market_events AS (
   SELECT {_LIVE_COLUMNS}, ts_event, event_id, ({PER_MESSAGE} * (event_id // {PER_MESSAGE} + 1) - 1) * 4 AS arrival
   FROM market_events WHERE {_KNOWN} AND {_TRADE_OK}
@@ -624,7 +625,8 @@ _LIVE_SQL = f"""
   FROM market_events WHERE {_KNOWN} AND {_TRADE_OK}
   UNION ALL SELECT {_LIVE_COLUMNS}, ts_ingest, event_id, event_id * 4 + 3
   FROM market_events WHERE {_KNOWN} AND {_QUOTE_OK}
-){_LIVE_STEPS}, parts AS (
+){_LIVE_STEPS}"""
+_LIVE_SQL = f"""{LIVE_WINDOWS}, parts AS (
   SELECT 'bronze' AS kind, event_type AS a, symbol AS b, count(*) AS n, 0.0 AS total, max(ts_event) AS newest
   FROM live_market_events GROUP BY ALL
   UNION ALL SELECT 'quarantine', exchange, 'all', count(*), 0.0, NULL

@@ -17,11 +17,12 @@ from tapewell.operators.quality import reconcile, sla_report
 from tapewell.plans.marts import build_marts
 from tapewell.session import ensure_session, stage
 from tapewell.sinks.lake import land_quarantine, land_windows, write_bronze, write_run_summary
-from tapewell.sinks.versioned import read_gold
+from tapewell.sinks.versioned import gold_snapshots, read_gold
 from tapewell.sources.dimension import symbol_dimension
-from tapewell.sources.lake import ALL_FILES, read_bronze, stream_bronze
+from tapewell.sources.lake import read_bronze
+from tapewell.sources.ranges import ROWS_PER_BATCH
 from tapewell.sources.raw import read_raw_messages
-from tapewell.streaming.windows import read_stream_output, stream_windows
+from tapewell.streaming.windows import read_stream_output, stream_landed_windows
 
 
 def _now() -> datetime:
@@ -38,7 +39,9 @@ def run_medallion(
     ts_ingest: Column | None = None,
     limit: int | None = None,
     run_checks: bool = True,
-    streaming: bool = False,
+    streaming: bool = True,
+    rows_per_batch: int = ROWS_PER_BATCH,
+    built_at: datetime | None = None,
 ) -> DataFrame:
     """Run everything over recorded messages and return the one-row run summary.
 
@@ -47,10 +50,10 @@ def run_medallion(
     to folders of its own, so runs cannot get in each other's way. The messages
     are parsed once: events and rejects are both taken from the persisted result.
 
-    Recorded messages are bounded, so the closed windows come from their batch
-    definition, which gives the rows the stream gives and has no micro-batch to
-    fit. ``streaming`` sends bronze through the stream instead, as one micro-batch:
-    the files of a table are not in order of arrival, so they must not be split.
+    The closed windows come from a stream over bronze in order of arrival, about
+    ``rows_per_batch`` rows a micro-batch; without ``streaming`` from their batch
+    definition, which gives the same rows. ``built_at`` is when gold counts as built, the
+    time of the report where it is not given.
     """
     ensure_session(spark)
     run = uuid.uuid4().hex[:8]
@@ -76,9 +79,9 @@ def run_medallion(
         tagged.unpersist()
 
     if streaming:
-        arriving = stream_bronze(spark.newSession(), paths["bronze"], ALL_FILES)
+        arrived = read_bronze(spark.newSession(), paths["bronze"])
         out, checkpoint = f"{root}/runs/{run}/stream", f"{root}/runs/{run}/checkpoint"
-        stream_windows(arriving, out, checkpoint, sizes, grace_seconds).awaitTermination()
+        stream_landed_windows(arrived, out, checkpoint, sizes, grace_seconds, rows_per_batch)
         closed, _late = read_stream_output(spark, out)
     else:
         bronze = read_bronze(spark, paths["bronze"])
@@ -87,15 +90,15 @@ def run_medallion(
 
     marts = build_marts(spark, paths["bronze"], paths["gold"], sizes, run_checks)
     report = sla_report(
-        read_bronze(spark, paths["bronze"]), read_gold(spark, paths["gold"]), _now(), sizes
+        read_bronze(spark, paths["bronze"]), read_gold(spark, paths["gold"]), built_at or _now(), sizes
     )
-    two_appends = marts.snapshot_5m is not None and marts.snapshot_5m != marts.snapshot_1m
+    snapshots = gold_snapshots(spark, paths["gold"]).count()
     summary = report.select(
         F.lit(n_events).cast("bigint").alias("replayed_events"),
         F.lit(bronze_rows).cast("bigint").alias("bronze_rows"),
         F.lit(window_rows).cast("bigint").alias("window_rows"),
         F.lit(marts.gold_rows).cast("bigint").alias("gold_rows"),
-        F.lit(2 if two_appends else 1).alias("gold_snapshots"),
+        F.lit(snapshots).cast("int").alias("gold_snapshots"),
         F.lit(quarantined).cast("bigint").alias("quarantined"),
         "latency_p95_s",
         "completeness_pct",

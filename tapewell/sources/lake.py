@@ -7,10 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from tapewell.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, QUARANTINE_SCHEMA, WINDOW_SCHEMA
 
 
-# As many files in one micro-batch as there are.
-ALL_FILES = 2**31 - 1
-
-
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Whole bronze table; event_type and symbol come back from the paths."""
     return spark.read.schema(BRONZE_SCHEMA).parquet(root).select(*BRONZE_SCHEMA.fieldNames())
@@ -21,8 +17,8 @@ def stream_bronze(
 ) -> DataFrame:
     """Bronze as a stream of whatever files are or will be there.
 
-    Micro-batches take files by age. Where order of arrival matters, either follow a
-    table that grows in that order, or take a finished one whole (``ALL_FILES``).
+    Micro-batches take files by age. Where order of arrival matters, follow a table that
+    grows in that order, or take a finished one by :mod:`tapewell.sources.ranges`.
     """
     reader = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files_per_trigger is not None:

@@ -35,6 +35,7 @@ from tapewell.operators.ordering import (
 from tapewell.operators.windows import EVENT_SUMS, event_terms, metrics_of_sums, source_of
 from tapewell.schemas import ARRIVAL, LATE_SCHEMA, POSITION, WINDOW_SCHEMA
 from tapewell.session import ensure_session
+from tapewell.sources.ranges import ROWS_PER_BATCH, in_ranges, kept_ranges, stream_ranges
 from tapewell.streaming.normalizing import run_of
 
 # Folders of the output.
@@ -179,6 +180,43 @@ def stream_windows(
     )
 
 
+def stream_landed_windows(
+    events: DataFrame,
+    root: str,
+    checkpoint: str,
+    sizes: dict[str, int] = WINDOW_SIZES,
+    grace_seconds: int = DEFAULT_GRACE_SECONDS,
+    rows: int = ROWS_PER_BATCH,
+    block_span: int = BLOCK_SPAN,
+) -> None:
+    """:func:`stream_windows` over a landed table, about ``rows`` rows a micro-batch in order of arrival.
+
+    Returns when all of the table is taken in; a run that was cut off goes on where it was.
+    """
+    spark = ensure_session(events.sparkSession)
+    ranges = kept_ranges(spark, events, checkpoint, rows)
+    if not ranges:
+        return
+    run = run_of(spark, checkpoint)
+    state = f"{checkpoint.rstrip('/')}/tapewell-state"
+    closing = Closing(state, root.rstrip("/"), run, sizes, grace_seconds, block_span)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        closing.take(in_ranges(events, batch), batch_id)
+
+    query = (
+        stream_ranges(spark, ranges)
+        .writeStream.foreachBatch(take)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime="0 seconds")
+        .start()
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def stream_trade_windows(events: DataFrame, *args, **kwargs) -> StreamingQuery:
     """Windows of the trades alone: VWAP, volume, count."""
     return stream_windows(events.where(F.col("event_type") != "ticker"), *args, **kwargs)

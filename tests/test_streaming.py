@@ -59,24 +59,31 @@ def naive(seconds):
     return at(seconds).replace(tzinfo=None)
 
 
-def test_late_record_is_dropped_and_reported(feed):
-    prices = {10: 100.0, 20: 100.0, 70: 200.0, 80: 200.0}
-    in_time = [trade("BTC-USD", price, 1.0, s) for s, price in prices.items()]
-    feed.send([*in_time, trade("BTC-USD", 999.0, 5.0, 30)])
-    windows, late = feed.drain(stream_windows, {"1m": 60, "5m": 300}, 2)
-    (first,) = windows.collect()
-    assert (first.window_start, first.trade_count, first.vwap) == (naive(0), 2, 100.0)
-    (dropped,) = late.collect()
-    assert (dropped.event_ts, dropped.window_size) == (naive(30), "1m")
-    assert (dropped.window_start, dropped.window_end) == (naive(0), naive(60))
-
-
-def test_quiet_symbol_stays_open(feed):
-    quiet = [trade("SOL-USD", 50.0, 1.0, s) for s in (10, 20)]
-    busy = [trade("BTC-USD", 100.0, 1.0, s) for s in (10, 70, 130, 190)]
-    feed.send(quiet + busy)
-    windows, _ = feed.drain(stream_windows, {"1m": 60}, 2)
-    assert {r.symbol for r in windows.collect()} == {"BTC-USD"}
+def test_late_records_miss_the_windows_that_closed(feed):
+    # Ten-second and one-minute windows, a grace of four seconds, ETH's clock at 44 in the end.
+    rows = [trade("ETH-USD", 20.0 + s, 2.0, s) for s in (3, 8, 19, 31, 44)]
+    rows += [trade("ETH-USD", 7.5, 1.0, 9.5), trade("ETH-USD", 7.5, 1.0, 35.25)]
+    rows += [quote("ETH-USD", 4.0, 4.5, 2)]  # quotes have a clock of their own
+    feed.send(rows)
+    windows, late = feed.drain(stream_windows, {"10s": 10, "1m": 60}, 4)
+    closed = {r.window_start: (r.trade_count, r.trade_volume) for r in windows.collect()}
+    assert closed == {naive(0): (2, 4.0), naive(10): (1, 2.0), naive(30): (1, 2.0)}
+    assert sorted((r.event_ts, r.window_size, r.window_end) for r in late.collect()) == [
+        (naive(9.5), "10s", naive(10)),
+        (naive(35.25), "10s", naive(40)),  # the clock had just reached the end and the grace
+    ]
+
+
+def test_a_symbol_closes_by_its_own_clock_alone(feed):
+    rows = [quote("BTC-USD", 1.0, 2.0, s) for s in (100, 350, 901)]
+    rows += [quote("ETH-USD", 3.0, 4.0, 299), trade("BTC-USD", 5.0, 1.0, 10)]
+    feed.send(rows)
+    windows, late = feed.drain(stream_windows, {"5m": 300}, 1)
+    assert sorted((r.symbol, r.source, r.window_start) for r in windows.collect()) == [
+        ("BTC-USD", "ticker", naive(0)),
+        ("BTC-USD", "ticker", naive(300)),
+    ]
+    assert late.count() == 0
 
 
 def test_state_lives_across_batches(feed):

@@ -46,19 +46,20 @@ def test_window_start_of_ntz_and_key(spark):
     assert row.k == f"BTC-USD|5m|{int(at(300).timestamp())}"
 
 
-def test_vwap(frame):
-    rows = [trade("BTC-USD", 100.0, 1.0, 1), trade("BTC-USD", 200.0, 3.0, 30)]
-    (w,) = compute_windows(frame(rows), 60, "1m").collect()
-    assert (w.vwap, w.trade_volume, w.trade_count, w.event_count) == (175.0, 4.0, 2, 2)
-    assert (w.avg_spread, w.ticker_count) == (None, 0)
-    assert (w.window_start, w.window_end) == (naive(0), naive(60))
+def test_trades_of_a_window_weigh_by_size(frame):
+    rows = [trade("SOL-USD", 8.0, 0.5, 601), trade("SOL-USD", 12.0, 1.5, 640), trade("SOL-USD", 9.0, 2.0, 899.5)]
+    rows += [trade("SOL-USD", 50.0, 1.0, 900)]
+    first, second = compute_windows(frame(rows), 300, "5m").orderBy("window_start").collect()
+    assert (first.vwap, first.trade_volume, first.trade_count) == (10.0, 4.0, 3)
+    assert (first.window_start, first.window_end, first.avg_mid) == (naive(600), naive(900), None)
+    assert (second.vwap, second.event_count, second.ticker_count) == (50.0, 1, 0)
 
 
-def test_quotes(frame):
-    rows = [quote("BTC-USD", 100.0, 102.0, 1), quote("BTC-USD", 200.0, 204.0, 2)]
+def test_quotes_of_a_window_count_alike(frame):
+    rows = [quote("ETH-USD", 10.0, 10.5, 30), quote("ETH-USD", 11.0, 12.0, 31), quote("ETH-USD", 9.0, 9.0, 59)]
     (w,) = compute_windows(frame(rows), 60, "1m").collect()
-    assert (w.avg_spread, w.avg_mid, w.ticker_count) == (3.0, 151.5, 2)
-    assert (w.vwap, w.trade_volume) == (None, 0.0)
+    assert (w.avg_spread, w.avg_mid, w.ticker_count) == (0.5, 10.25, 3)
+    assert (w.vwap, w.trade_volume, w.trade_count) == (None, 0.0, 0)
 
 
 def test_unusable_events_still_make_a_window(frame):
@@ -82,23 +83,20 @@ def test_order_of_arrival_does_not_matter(frame):
     assert [r.vwap for r in one] == pytest.approx([r.vwap for r in two], rel=1e-12)
 
 
-def test_windows_close_at_end_plus_grace(frame):
-    def closed(last, grace=5):
-        df = frame([trade("BTC-USD", 1.0, 1.0, 10), trade("BTC-USD", 1.0, 1.0, last)])
-        metrics = compute_windows(df, 60, "1m")
-        return closed_windows(metrics, max_event_ts_by_symbol(df), grace).count()
-
-    assert closed(65) == 1
-    assert closed(64.999) == 0
+@pytest.mark.parametrize(("last", "grace", "n"), [(307, 7, 1), (306.999, 7, 0), (300, 0, 1), (900, 300, 2)])
+def test_a_window_closes_when_the_clock_reaches_its_end_and_the_grace(frame, last, grace, n):
+    df = frame([trade("ETH-USD", 3.0, 2.0, 250), quote("ETH-USD", 1.0, 2.0, 599), trade("ETH-USD", 4.0, 1.0, last)])
+    newest = max_event_ts_by_symbol(df.where(F.col("event_type") == "trade"))
+    assert closed_windows(compute_windows(df, 300, "5m"), newest, grace).count() == n
 
 
-def test_trailing_window_stays_open_and_symbols_have_their_own_clock(frame):
-    rows = [trade("BTC-USD", 1.0, 1.0, s) for s in (10, 70, 130)]
-    df = frame([*rows, trade("SOL-USD", 1.0, 1.0, 10)])
-    closed = closed_windows(compute_windows(df, 60, "1m"), max_event_ts_by_symbol(df))
-    assert [(r.symbol, r.window_start) for r in closed.orderBy("window_start").collect()] == [
-        ("BTC-USD", naive(0)),
-        ("BTC-USD", naive(60)),
+def test_each_symbol_closes_by_its_own_newest_event(frame):
+    rows = [trade("ETH-USD", 1.0, 1.0, s) for s in (0, 400, 720)] + [trade("SOL-USD", 1.0, 1.0, 299)]
+    df = frame([*rows, quote("SOL-USD", 1.0, 1.5, 304.5)])
+    closed = closed_windows(compute_windows(df, 300, "5m"), max_event_ts_by_symbol(df), 5)
+    assert sorted((r.symbol, r.window_start) for r in closed.collect()) == [
+        ("ETH-USD", naive(0)),
+        ("ETH-USD", naive(300)),
     ]
 
 

@@ -38,7 +38,7 @@ from .text import CHUNK_BYTES, chunks, mix, raw, span_hashes, strings, words
 WINDOW = 20
 # Confirmed windows a shard's automaton is compiled from, and text it is fed at a time.
 SHARD_WINDOWS = 100_000
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 # Rows of ids, and seeds as numbers, up to which they are sent to all tasks (8 bytes each).
 SENT_ROWS = 1_000_000
 SENT_SEEDS = 4_000_000
@@ -215,11 +215,13 @@ def confirm_windows(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("seed", "window", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")),
         "firsts",
     )
-    claims = (
+    # Written, so that the join below can split a kind that very many rows hold.
+    claims = stage(
         single.select("seed", "kind", "place", "window")
         .join(firsts, ["seed", "window"])
         .groupBy("seed", "kind")
-        .agg(F.collect_list(F.struct("place", "first_row", "first_start")).alias("claims"))
+        .agg(F.collect_list(F.struct("place", "first_row", "first_start")).alias("claims")),
+        "claims",
     )
     again = (
         found.select("row", "start", "seed", "kind")
@@ -242,12 +244,12 @@ def _cut_passages(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = strings(batch.column("text"))
-            places = batch.column("places").to_pylist()
+            places = batch.column("places")
             for low, high in chunks(column):
                 body, _, begins, ends, before = words(column[low:high], lower=False)
                 shards, rows, starts, texts = [], [], [], []
                 for k in range(high - low):
-                    at = np.unique(np.array(places[low + k], np.int64))
+                    at = np.unique(places[low + k].values.to_numpy(zero_copy_only=False))
                     cut = np.flatnonzero(np.diff(at) > 1) + 1
                     for run_ in np.split(at, cut):
                         first, last = before[k] + run_[0], before[k] + run_[-1] + size
@@ -428,12 +430,12 @@ def _keep(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = strings(batch.column("text"))
-            lists = batch.column("spans").to_pylist()
             copy = batch.column("copy").to_pylist()
             for low, high in chunks(column):
+                lists = batch.column("spans")[low:high].to_pylist()
                 body, _, begins, ends, before = words(column[low:high], lower=False)
                 kept = np.ones(len(begins) + 1, bool)
-                for k, own in enumerate(lists[low:high]):
+                for k, own in enumerate(lists):
                     if copy[low + k] and before[k + 1] - before[k] >= size:
                         kept[before[k] : before[k + 1]] = False
                     for span in own or ():

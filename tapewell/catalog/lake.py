@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,7 @@ from tapewell.sinks.lake import (
     write_raw_messages,
 )
 from tapewell.sinks.topics import parse_window_records, window_records
-from tapewell.sinks.versioned import gold_snapshots, materialize_gold, read_gold
+from tapewell.sinks.versioned import gold_history, gold_snapshots, materialize_gold, read_gold
 from tapewell.sources.lake import (
     read_bronze,
     read_gold_csv,
@@ -133,6 +134,16 @@ def _snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return gold_snapshots(spark, _gold_root(spark, sf)).select("snapshot_id", "seq", "rows")
 
 
+def _gold_writers(spark: SparkSession, sf: str) -> DataFrame:
+    """Three rebuilds at once, of all gold and of the windows of two sizes: each is whole."""
+    root, built = work_dir(spark, "gold"), stage(gold(spark, sf), "gold")
+    parts = [built, *[built.where(F.col("window_size") == size) for size in ("1m", "5m")]]
+    with ThreadPoolExecutor(len(parts)) as pool:
+        list(pool.map(lambda k: materialize_gold(parts[k], root, GENERATION + k), range(len(parts))))
+    # Which one commits last is open.
+    return gold_history(spark, root).select("generation", "snapshots", "rows")
+
+
 def _time_travel(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.time_travel(spark, _gold_root(spark, sf))
 
@@ -369,6 +380,15 @@ GROUP BY bad""",
             "AS seq, count(*) AS rows FROM gold GROUP BY 1, 2",
         ),
     ),
+    "gold_writers": Query(
+        _gold_writers,
+        with_ctes(
+            "gold",
+            select="SELECT CAST(k AS BIGINT) AS generation, count(DISTINCT window_size = '1m') "
+            "AS snapshots, count(*) AS rows FROM gold JOIN (VALUES (1, NULL), (2, '1m'), (3, '5m')) "
+            "AS part(k, size) ON size IS NULL OR size = window_size GROUP BY k",
+        ),
+    ),
     "time_travel": Query(
         _time_travel,
         with_ctes(

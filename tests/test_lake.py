@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import timedelta
 from pathlib import Path
 
@@ -29,7 +30,9 @@ from tapewell.sinks.lake import (
     write_gold_csv,
 )
 from tapewell.sinks.topics import publish, route_events, topic_records
+from tapewell.sinks import versioned
 from tapewell.sinks.versioned import (
+    gold_history,
     gold_snapshots,
     materialize_gold,
     purge_old_generations,
@@ -156,6 +159,58 @@ def test_parts_without_rows_make_no_snapshot(spark, gold, tmp_path):
     assert (row.first_snapshot_id, row.first_snapshot_rows) == (None, None)
 
 
+def test_writers_at_once_leave_whole_generations(spark, gold, tmp_path):
+    root = str(tmp_path / "gold")
+    parts = [gold, gold.where("symbol = 'ETH-USD'"), gold.where("window_size = '1m'"), gold.limit(0)]
+    with ThreadPoolExecutor(len(parts)) as pool:
+        list(pool.map(lambda k: materialize_gold(parts[k], root, 10 + k), range(len(parts))))
+    history = gold_history(spark, root).collect()
+    assert [r.version for r in history] == [0, 1, 2, 3]
+    rows = {r.generation: (r.snapshots, r["rows"]) for r in history}
+    counts = [df.count() for df in parts]
+    assert rows == dict(zip(range(10, 14), zip((2, 2, 1, 0), counts, strict=True), strict=True))
+    newest = history[-1].generation - 10
+    assert sorted(read_gold(spark, root).collect()) == sorted(
+        parts[newest].select(*GOLD_SCHEMA.fieldNames()).collect()
+    )
+
+
+def test_a_taken_version_is_passed_over(spark, gold, tmp_path, monkeypatch):
+    root = str(tmp_path / "gold")
+    materialize_gold(gold, root, 1)
+    eth = gold.where("symbol = 'ETH-USD'")
+    told = [0, 0]  # what a writer read before another one committed version 0
+    find = versioned._next_version
+    monkeypatch.setattr(versioned, "_next_version", lambda *a: told.pop() if told else find(*a))
+    materialize_gold(eth, root, 2)
+    assert [(r.version, r.generation) for r in gold_history(spark, root).collect()] == [(0, 1), (1, 2)]
+    assert read_gold(spark, root).count() == eth.count()
+    with pytest.raises(ValueError, match="committed already"):
+        materialize_gold(gold, root, 1)
+    assert read_gold(spark, root).count() == eth.count()
+
+
+def test_a_writer_that_dies_before_its_commit_shows_nothing(spark, gold, tmp_path, monkeypatch):
+    root = str(tmp_path / "gold")
+    eth = gold.where("symbol = 'ETH-USD'")
+    materialize_gold(eth, root, 1)
+
+    def die(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versioned, "_commit", die)
+        with pytest.raises(OSError, match="lost"):
+            materialize_gold(gold, root, 2)
+    assert read_gold(spark, root).count() == eth.count()
+    purge_old_generations(spark, root)  # it may be a writer at work
+    assert len(list((Path(root) / "data").iterdir())) == 2
+    purge_old_generations(spark, root, abandoned_seconds=0)
+    assert len(list((Path(root) / "data").iterdir())) == 1
+    materialize_gold(gold, root, 2)  # not committed before, so its number is free
+    assert read_gold(spark, root).count() == gold.count()
+
+
 def test_nothing_built_yet(spark, tmp_path):
     assert gold_snapshots(spark, str(tmp_path)).count() == 0
     assert read_gold(spark, str(tmp_path)).columns == GOLD_SCHEMA.fieldNames()

@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from ..session import stage, work_dir
 from .native import sent_if_small, small
 
-MAGIC = "WARC/1.1\r\n"
+VERSION_LINE = "WARC/1.1\r\n"
+# What versions 1.0 and 1.1 begin with; a digit and a line end must follow.
+MAGIC = "WARC/1."
 END = "\r\n\r\n"
 LEAST_REVISIT_BYTES = 0
 BROADCAST_ROWS = 100_000
@@ -36,6 +38,8 @@ _HEAD_END = b"\r\n\r\n"
 _DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _LENGTH = re.compile(rb"\r\nContent-Length: *(\d+)\r\n", re.IGNORECASE)
+_REST_OF_MAGIC = re.compile(rb"\d\r\n")
+_HEX_SHA1 = re.compile("[0-9A-Fa-f]{40}")
 _FIELD = re.compile(rb"(?:^|\r\n)([A-Za-z-]+): *([^\r\n]*)")
 
 
@@ -98,7 +102,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = LEAST_REVIS
     written = F.when(revisit, F.lit("")).otherwise(payload)
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     head = F.concat(
-        F.lit(MAGIC),
+        F.lit(VERSION_LINE),
         line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
         line("WARC-Record-ID", F.coalesce(_record_id(F.col("page_id")), F.lit("<urn:uuid:none>"))),
         line("WARC-Target-URI", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", " ")),
@@ -128,7 +132,7 @@ class Piece:
 
 
 def _look(at: int, body: bytes) -> Piece:
-    end = body.find(_HEAD_END)
+    end = body.find(_HEAD_END) if _REST_OF_MAGIC.match(body) else -1
     found = _LENGTH.search(b"\r\n" + body[: end + 2]) if end >= 0 else None
     if not found:
         return Piece(at, body)
@@ -347,21 +351,35 @@ def _page(urn: str | None) -> int | None:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
+def _sha1(digest: str | None) -> str | None:
+    """The SHA-1 a digest header tells, in base 32; None without one and for other algorithms."""
+    name, _, value = (digest or "").partition(":")
+    if name.strip().lower() != "sha1":
+        return None
+    value = value.strip()
+    return base64.b32encode(bytes.fromhex(value)).decode() if _HEX_SHA1.fullmatch(value) else value.upper()
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for row in batch.to_pylist():
             fields = _headers(row["head"])
             kind = fields.get("warc-type")
-            told = fields.get("warc-payload-digest", "").removeprefix("sha1:")
-            if kind == "response" and told != row["sha1"]:
+            told = _sha1(fields.get("warc-payload-digest"))
+            # What stands in the record is its block; of a captured HTTP message the payload is a part only.
+            checks = [_sha1(fields.get("warc-block-digest"))]
+            if kind != "revisit" and not fields.get("content-type", "").startswith("application/http"):
+                checks.append(told)
+            if any(x not in (None, row["sha1"]) for x in checks):
                 raise ValueError(f"{row['file']}: payload at {row['at']} does not match its digest")
+            length = fields.get("x-payload-length") if kind == "revisit" else row["size"]
             rows.append(
                 {
                     "page_id": _page(fields.get("warc-record-id")),
                     "url": fields.get("warc-target-uri"),
-                    "payload_bytes": row["size"] if kind == "response" else int(fields.get("x-payload-length", 0)),
-                    "payload_digest": told,
+                    "payload_bytes": None if length is None else int(length),
+                    "payload_digest": told or (None if kind == "revisit" else row["sha1"]),
                     "record_type": kind,
                     "refers_to": _page(fields.get("warc-refers-to")),
                 }
@@ -384,8 +402,13 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of all true records.
 
-    Sizes and digests of responses are those of the bytes read and must match the headers;
-    a revisit carries its own.
+    Versions 1.0 and 1.1, plain or compressed record by record (``.gz``, read in one split).
+    Sizes are those of the bytes read. A SHA-1 in the headers, in base 32 or hexadecimal, must
+    match them and a mismatch fails; without one (digests are optional, other algorithms are
+    not checked) the digest is that of the bytes. The payload digest of a captured HTTP message
+    covers a part of the record and is passed on as told. A revisit carries its own size and
+    digest, null where it tells none. Records of all types come out; ids that are not of
+    :func:`write_archives` are null.
     """
     entries = stage(find_entries(spark, folder), "entries")
     # One row a split. Where they are too many to send, the merge of both has to put pieces in order again.

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import random
 import re
@@ -243,6 +244,52 @@ def test_archives_of_no_pages_and_least_bytes(spark, tmp_path):
     assert out == {1: "response", 2: "response", 3: "response", 4: "revisit"}
 
 
+def _record(version, kind, block, **fields):
+    lines = [f"WARC/{version}", f"WARC-Type: {kind}", *[f"WARC-{k.replace('_', '-')}: {v}" for k, v in fields.items()]]
+    if kind in ("request", "response"):
+        lines.append("Content-Type: application/http; msgtype=" + kind)
+    return "\r\n".join([*lines, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
+
+
+def _sha1(data):
+    return base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_archives_of_others(spark, tmp_path, packed):
+    """Both versions, all types of records, optional digests in both notations, magics in payloads, gzip."""
+    inner = b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    page = b"HTTP/1.1 200 OK\r\n\r\n<p>" + inner * 3
+    records = [
+        ("warcinfo", _record("1.0", "warcinfo", b"software: x\r\n", Record_ID="<urn:uuid:1>"), None),
+        ("request", _record("1.1", "request", b"GET / HTTP/1.1\r\n\r\n"), None),
+        # The payload digest is that of the body, the block digest that of all.
+        ("response", _record("1.1", "response", page, Payload_Digest="sha1:" + _sha1(page[19:]),
+                             Block_Digest="sha1:" + hashlib.sha1(page).hexdigest()), _sha1(page[19:])),
+        ("resource", _record("1.0", "resource", inner), _sha1(inner)),
+        ("metadata", _record("1.0", "metadata", b"", Payload_Digest="md5:00"), _sha1(b"")),
+        ("revisit", _record("1.1", "revisit", b""), None),
+    ]
+    whole = b"".join(gzip.compress(x) for _, x, _ in records) if packed else b"".join(x for _, x, _ in records)
+    folder = tmp_path / "other"
+    folder.mkdir()
+    (folder / ("a.warc.gz" if packed else "a.warc")).write_bytes(whole)
+    out = {r["record_type"]: r for r in warc.read_archives(spark, str(folder)).collect()}
+    assert sorted(out) == sorted(kind for kind, _, _ in records)
+    assert {r["page_id"] for r in out.values()} == {None}
+    assert out["response"]["payload_bytes"] == len(page) and out["warcinfo"]["payload_bytes"] == 13
+    assert (out["revisit"]["payload_bytes"], out["revisit"]["payload_digest"]) == (None, None)
+    for kind, _, digest in records:
+        assert digest is None or out[kind]["payload_digest"] == digest
+
+
+def test_a_wrong_digest_fails(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(_record("1.1", "resource", b"abc", Block_Digest="sha1:" + _sha1(b"abd")))
+    with pytest.raises(Exception, match="does not match its digest"):
+        warc.read_archives(spark, str(tmp_path)).collect()
+
+
+
 def test_targets_reshare_what_is_too_much():
     assert mixing.share_out([10, 10, 10], [1, 2, 3]) == [5, 10, 15]
     targets = mixing.share_out([1, 100, 100], [3, 1, 1])

@@ -186,20 +186,28 @@ def sub_records(raw: DataFrame, ts_ingest: Column | None = None) -> DataFrame:
         F.lit("bad envelope timestamp: "),
         _why_no_timestamp(F.col("c.timestamp"), "payload", "timestamp"),
     )
-    return kinds.select(
+    texts = (
+        F.when(kind == COINBASE_TRADE, _sub_texts(live, "trades"))
+        .when(kind == COINBASE_TICKER, _sub_texts(events, "tickers"))
+        .when(kind == BINANCE, F.array(binance_data))
+        .when(kind == BAD_ENVELOPE, F.array("payload"))
+    )
+    # What the message itself says is worked out before its records part: a column read
+    # from the payload afterwards would make every record carry the whole message.
+    head = kinds.select(
         "seq",
         "exchange",
         "ts_ingest",
         "envelope_ts",
         "kind",
         F.when(kind == BAD_ENVELOPE, why_bad).alias("envelope_reason"),
-        F.posexplode(
-            F.when(kind == COINBASE_TRADE, _sub_texts(live, "trades"))
-            .when(kind == COINBASE_TICKER, _sub_texts(events, "tickers"))
-            .when(kind == BINANCE, F.array(binance_data))
-            .when(kind == BAD_ENVELOPE, F.array("payload"))
-        ).alias("ordinal", "record"),
+        texts.alias("texts"),
     )
+    kept = [name for name in head.columns if name != "texts"]
+    # The outer form, since the plain one has the messages opened once more by a filter on
+    # the size of what it parts.
+    parted = head.select(*kept, F.posexplode_outer("texts").alias("ordinal", "record"))
+    return parted.where(F.col("ordinal").isNotNull())
 
 
 def _with_fields(subs: DataFrame) -> DataFrame:

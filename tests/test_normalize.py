@@ -335,3 +335,22 @@ def test_capture_order(spark):
     ordered = with_capture_order(df.withColumn("at", -F.col("seq")), ["at"]).collect()
     texts = [json.loads(r.payload)["i"] for r in sorted(ordered, key=lambda r: r.seq)]
     assert texts == list(range(50))
+
+
+def test_a_message_of_many_trades_opens_record_by_record(spark, dim):
+    """No record carries its message along, so the cost of a message follows its length."""
+    n = 20_000
+    trades = [a_trade(trade_id=str(i), price=str(i + 1)) for i in range(n)]
+    trades[n // 3] = "not a trade"
+    tagged = normalize_tagged(raw(spark, trades_message(*trades)), dim, F.lit(INGEST))
+    row = tagged.agg(
+        F.count("*").alias("n"),
+        F.count("reason").alias("bad"),
+        F.sum("price").alias("sum"),
+        F.count_distinct("arrival_pos").alias("places"),
+    ).first()
+    assert (row.n, row.bad, row.places) == (n, 1, n)
+    assert row.sum == n * (n + 1) / 2 - (n // 3 + 1)
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    (parted,) = [line for line in plan.splitlines() if "posexplode" in line]
+    assert "payload" not in parted and "c#" not in parted

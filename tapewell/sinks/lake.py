@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapewell.functions.parsing import parse_ts
 from tapewell.functions.windows import iso_utc
+from tapewell.landed import current_folder, discard, make_current, new_folder
 from tapewell.schemas import (
     ARRIVAL,
     BRONZE_SCHEMA,
@@ -20,45 +20,44 @@ from tapewell.schemas import (
     RAW_SCHEMA,
     WINDOW_SCHEMA,
 )
-from tapewell.session import stage
 
 BRONZE_PARTITIONS = ("event_type", "symbol")
 WINDOW_PARTITIONS = ("window_size", "source")
 
 
-def _rows_landed(df: DataFrame, root: str) -> int:
-    """Rows in the table at ``root``, from the Parquet footers of what was written."""
-    try:
-        return df.sparkSession.read.schema(df.schema).parquet(root).count()
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return 0
-        raise
+def _land(
+    df: DataFrame, root: str, partitions: tuple[str, ...], clear: bool, empties: bool = False
+) -> int:
+    """Replace or extend a table and return the rows landed.
 
-
-def _land(df: DataFrame, root: str, partitions: tuple[str, ...], clear: bool) -> int:
-    """Replace or extend a partitioned table, leaving it alone when there is nothing to land.
-
-    ``rebalance`` groups rows by table partition so that tasks do not each write a
-    file per partition, and lets adaptive execution split a partition that holds a
-    large share of all rows and merge the small ones. ``df`` is evaluated once; the rows
-    counted are those of this write, whoever else writes.
+    A replacement is written once, to a folder of its own, counted from its Parquet footers
+    and made current by one small file; until then readers have the old table. Without rows
+    the old table stays, unless the table ``empties``. An extension goes to the current
+    folder, and the rows counted are those of this write, whoever else writes.
     """
-    if clear:
-        # The old table may go only once there are rows, so these are written down first.
-        df = stage(df, "landing")
-        landed = df.count()
-        if landed:
-            _write(df, root, partitions, "overwrite")
-        return landed
-    seen = Observation()
-    _write(df.observe(seen, F.count(F.lit(1)).alias("rows")), root, partitions, "append")
-    return seen.get["rows"]
+    spark = df.sparkSession
+    if not clear:
+        seen = Observation()
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        _write(counted, current_folder(spark, root), partitions, "append")
+        return seen.get["rows"]
+    folder = new_folder(root)
+    _write(df, folder, partitions, "errorifexists")
+    landed = spark.read.schema(df.schema).parquet(folder).count()
+    if landed or empties:
+        make_current(spark, root, folder)
+    else:
+        discard(spark, folder)
+    return landed
 
 
-def _write(df: DataFrame, root: str, partitions: tuple[str, ...], mode: str) -> None:
-    rebalanced = df.hint("rebalance", *partitions)
-    rebalanced.write.partitionBy(*partitions).mode(mode).parquet(root)
+def _write(df: DataFrame, folder: str, partitions: tuple[str, ...], mode: str) -> None:
+    """``rebalance`` groups rows by table partition so that tasks do not each write a file per
+    partition, and lets adaptive execution split a partition that holds a large share of all
+    rows and merge the small ones."""
+    if partitions:
+        df = df.hint("rebalance", *partitions)
+    df.write.partitionBy(*partitions).mode(mode).parquet(folder)
 
 
 def _with_order(events: DataFrame) -> DataFrame:
@@ -113,9 +112,7 @@ def land_quarantine(quarantine: DataFrame, root: str, clear: bool = True) -> int
     to land: an empty table then says that the run had no violations.
     """
     typed = quarantine.select(*[F.col(f.name).cast(f.dataType) for f in QUARANTINE_SCHEMA])
-    before = 0 if clear else _rows_landed(typed, root)
-    typed.write.mode("overwrite" if clear else "append").parquet(root)
-    return _rows_landed(typed, root) - before
+    return _land(typed, root, (), clear, empties=True)
 
 
 def write_raw_messages(raw: DataFrame, path: str) -> None:

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tapewell.landed import current_folder
 from tapewell.schemas import BRONZE_SCHEMA, GOLD_SCHEMA, QUARANTINE_SCHEMA, WINDOW_SCHEMA
 
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Whole bronze table; event_type and symbol come back from the paths."""
-    return spark.read.schema(BRONZE_SCHEMA).parquet(root).select(*BRONZE_SCHEMA.fieldNames())
+    folder = current_folder(spark, root)
+    return spark.read.schema(BRONZE_SCHEMA).parquet(folder).select(*BRONZE_SCHEMA.fieldNames())
 
 
 def stream_bronze(
     spark: SparkSession, root: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Bronze as a stream of whatever files are or will be there.
+    """Bronze as a stream of whatever files are or will be in its current folder.
 
     Micro-batches take files by age. Where order of arrival matters, follow a table that
     grows in that order, or take a finished one by :mod:`tapewell.sources.ranges`.
@@ -23,15 +25,16 @@ def stream_bronze(
     reader = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(root).select(*BRONZE_SCHEMA.fieldNames())
+    return reader.parquet(current_folder(spark, root)).select(*BRONZE_SCHEMA.fieldNames())
 
 
 def read_windows(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(WINDOW_SCHEMA).parquet(root).select(*WINDOW_SCHEMA.fieldNames())
+    folder = current_folder(spark, root)
+    return spark.read.schema(WINDOW_SCHEMA).parquet(folder).select(*WINDOW_SCHEMA.fieldNames())
 
 
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(QUARANTINE_SCHEMA).parquet(root)
+    return spark.read.schema(QUARANTINE_SCHEMA).parquet(current_folder(spark, root))
 
 
 def read_gold_csv(spark: SparkSession, path: str) -> DataFrame:

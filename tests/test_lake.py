@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from tapewell.landed import current_folder, purge_replaced
 from tapewell.operators import quality
 from tapewell.operators.analytics import (
     latest_per_symbol,
@@ -23,6 +24,7 @@ from tapewell.operators.windows import gold_window_metrics
 from tapewell.plans.marts import build_marts
 from tapewell.plans.medallion import run_medallion
 from tapewell.schemas import GOLD_SCHEMA, QUARANTINE_SCHEMA, WINDOW_SCHEMA
+from tapewell.sinks import lake
 from tapewell.sinks.lake import (
     land_quarantine,
     land_windows,
@@ -67,7 +69,7 @@ def test_bronze_is_partitioned_and_keeps_its_types(spark, frame, tmp_path):
     root = str(tmp_path / "bronze")
     df = frame([trade("BTC-USD", 1.0, 1.0, 0), trade("ETH-USD", 1.0, 1.0, 0)])
     assert write_bronze(df, root) == 2
-    assert (Path(root) / "event_type=trade" / "symbol=BTC-USD").is_dir()
+    assert (Path(current_folder(spark, root)) / "event_type=trade" / "symbol=BTC-USD").is_dir()
     back = read_bronze(spark, root)
     assert dict(back.dtypes)["best_bid"] == "double"
     assert sorted(back.collect()) == sorted(df.collect())
@@ -99,6 +101,62 @@ def test_clearing_the_quarantine_needs_nothing(spark, tmp_path):
     assert read_quarantine(spark, root).count() == 0
 
 
+def _bytes(folder) -> int:
+    return sum(f.stat().st_size for f in Path(folder).rglob("*.parquet"))
+
+
+def test_a_replaced_table_is_written_once_and_seen_whole(spark, frame, tmp_path, monkeypatch):
+    root = str(tmp_path / "bronze")
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(scratch.iterdir())
+    write_bronze(frame(minutes(3)), root)
+    assert _bytes(root) == _bytes(current_folder(spark, root))
+    old = read_bronze(spark, root)
+
+    # A writer that dies before its table is current leaves the old one.
+    def die(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(lake, "make_current", die)
+        with pytest.raises(RuntimeError, match="killed"):
+            write_bronze(frame(minutes(1)), root)
+    assert read_bronze(spark, root).count() == 9
+    # Nothing to land: no table is left behind either.
+    tables = set((Path(root) / "_tables").iterdir())
+    assert write_bronze(frame([]), root) == 0
+    assert set((Path(root) / "_tables").iterdir()) == tables and len(tables) == 2
+
+    # A reader at work keeps the table it started on; a table may be replaced by its own rows.
+    assert write_bronze(read_bronze(spark, root).where("symbol = 'ETH-USD'"), root) == 3
+    assert (old.count(), read_bronze(spark, root).count()) == (9, 3)
+    assert set(scratch.iterdir()) == before
+
+    purge_replaced(spark, root)
+    assert len(list((Path(root) / "_tables").iterdir())) == 2  # the dead writer's may be alive
+    purge_replaced(spark, root, abandoned_seconds=0)
+    assert _bytes(root) == _bytes(current_folder(spark, root))
+    assert read_bronze(spark, root).count() == 3
+
+
+def test_writers_at_once_leave_one_whole_table(spark, frame, tmp_path):
+    root = str(tmp_path / "bronze")
+    sizes = (1, 2, 4)
+    with ThreadPoolExecutor(3) as pool:
+        landed = list(pool.map(lambda n: write_bronze(frame(minutes(n)), root), sizes))
+    assert landed == [3 * n for n in sizes]
+    assert read_bronze(spark, root).count() in landed
+
+
+def test_appends_go_to_the_current_table(spark, frame, tmp_path):
+    root = str(tmp_path / "bronze")
+    assert write_bronze(frame(minutes(1)), root, clear=False) == 3
+    assert current_folder(spark, root) == root  # a table never replaced is its own folder
+    assert write_bronze(frame(minutes(2)), root) == 6
+    assert write_bronze(frame(minutes(1)), root, clear=False) == 3
+    assert read_bronze(spark, root).count() == 9
+
+
 def test_windows_land_with_one_sided_data_and_text_bounds(spark, tmp_path):
     root = str(tmp_path / "windows")
     row = ("BTC-USD", "1m", "2026-03-01T00:00:00+00:00", "2026-03-01T00:01:00+00:00", "trades",

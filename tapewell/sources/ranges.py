@@ -75,12 +75,14 @@ def kept_ranges(spark: SparkSession, events: DataFrame, checkpoint: str, rows: i
     """The ranges a checkpoint was started with, cut and written down when it is new."""
     path = f"{checkpoint.rstrip('/')}/tapewell-ranges"
     try:
-        return json.loads(spark.read.text(path, wholetext=True).first()[0])
+        kept = spark.read.text(path, wholetext=True).first()
+        if kept is not None:  # a driver lost while writing leaves an empty folder
+            return json.loads(kept[0])
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
     ranges = cut_ranges(events, rows)
-    spark.createDataFrame([(json.dumps(ranges),)], "value string").coalesce(1).write.text(path)
+    spark.createDataFrame([(json.dumps(ranges),)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return ranges
 
 

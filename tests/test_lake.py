@@ -22,6 +22,8 @@ from tapewell.operators.analytics import (
 from tapewell.operators.silver import silver_ticker, silver_trades
 from tapewell.operators.windows import gold_window_metrics
 from tapewell.plans.marts import build_marts
+from tapewell.plans import medallion
+from tapewell.plans.journal import Journal, fingerprint
 from tapewell.plans.medallion import run_medallion
 from tapewell.schemas import GOLD_SCHEMA, QUARANTINE_SCHEMA, WINDOW_SCHEMA
 from tapewell.sinks import lake
@@ -442,3 +444,61 @@ def test_the_whole_run(spark, tmp_path):
         assert row.sla_passed
     (bad,) = read_quarantine(spark, root + "/quarantine").collect()
     assert bad.reason.startswith("price must be > 0")
+
+
+def test_a_lost_run_goes_on_at_its_first_unfinished_stage(spark, tmp_path, monkeypatch):
+    source = tmp_path / "raw.jsonl"
+    raw_lines(source)
+    root = str(tmp_path / "lake")
+
+    def run(**options):
+        return run_medallion(spark, str(source), root, streaming=False, **options).first()
+
+    def not_again(*_, **__):
+        raise AssertionError("this stage was finished")
+
+    def killed(*_, **__):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(medallion, "land_windows", killed)
+        with pytest.raises(RuntimeError, match="killed"):
+            run()
+    bronze = current_folder(spark, root + "/bronze")
+    with monkeypatch.context() as patched:
+        patched.setattr(medallion, "read_raw_messages", not_again)
+        patched.setattr(medallion, "build_marts", killed)
+        with pytest.raises(RuntimeError, match="killed"):
+            run(resume=True)
+        patched.setattr(medallion, "build_marts", build_marts)
+        patched.setattr(medallion, "land_windows", not_again)
+        resumed = run(resume=True)
+        assert current_folder(spark, root + "/bronze") == bronze
+        # A finished run is not gone on with, nor is one of other settings or files.
+        for options in ({}, {"grace_seconds": 1}):
+            with pytest.raises(AssertionError, match="finished"):
+                run(resume=True, **options)
+    whole = run()
+    same = [name for name in whole.__fields__ if name != "latency_p95_s"]
+    assert [resumed[name] for name in same] == [whole[name] for name in same]
+
+
+def test_a_replaced_table_is_not_gone_on_from(spark, tmp_path):
+    source = tmp_path / "input.txt"
+    source.write_text("one")
+    root = str(tmp_path / "tables")
+    inputs = fingerprint(spark, str(source), sizes=[1])
+    first = Journal(spark, root, inputs, resume=True)
+    assert first.stage("landed", lambda: {"n": 1}) == {"n": 1}
+    assert first.stage("windows", lambda: {"n": 2}) == {"n": 2}
+    again = Journal(spark, root, inputs, resume=True)
+    assert again.run == first.run
+    assert again.stage("landed", lambda: {"n": 9}) == {"n": 1}
+    assert again.stage("windows", lambda: {"n": 3}, lambda kept: kept["n"] != 2) == {"n": 3}
+    assert again.run > first.run
+    third = Journal(spark, root, inputs, resume=True)
+    assert (third.run, third.kept) == (again.run, {"landed": {"n": 1}, "windows": {"n": 3}})
+    assert Journal(spark, root, inputs, resume=False).kept == {}
+    source.write_text("one more")
+    assert fingerprint(spark, str(source), sizes=[1]) != inputs
+    assert fingerprint(spark, str(source), sizes=[2]) != inputs

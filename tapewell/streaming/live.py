@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -83,11 +83,11 @@ class _Plan:
         record.coalesce(1).write.mode("overwrite").parquet(commit)
 
     def _put(self, df: DataFrame, name: str, folder: str, batch_id: int, partitions: tuple[str, ...] = ()) -> int:
-        seen = Observation()
-        observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        observed.write.mode("overwrite").partitionBy(*partitions).parquet(f"{self.root}/{name}/{folder}")
+        path = f"{self.root}/{name}/{folder}"
+        df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
         self.landed(name, batch_id)
-        return seen.get["rows"]
+        # From the footers: a counter would count the rows of a task that ran twice twice.
+        return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def start_live(
@@ -103,6 +103,7 @@ def start_live(
     interval: str = "10 seconds",
     emit: Callable[[str, DataFrame, str], None] | None = None,
     landed: Callable[[str, int], None] | None = None,
+    quiet_seconds: int | None = None,
 ) -> StreamingQuery:
     """Run the live plan over a stream of raw messages; read it back with :func:`read_live`.
 
@@ -110,13 +111,15 @@ def start_live(
     grows do. Rows produced and rows landed are compared before a batch is committed; a
     difference stops the stream. ``emit`` gets a batch's closed windows and its quarantine,
     with the batch's folder name, before its commit (at least once); ``landed`` is told of
-    every table written. ``bounded`` takes in what is there and stops.
+    every table written. ``bounded`` takes in what is there and stops; ``quiet_seconds`` lets
+    quiet symbols leave the state, see :class:`tapewell.streaming.windows.Closing`.
     """
     spark = ensure_session(raw.sparkSession)
     root = root.rstrip("/")
     run = run_of(spark, checkpoint)
     state = f"{checkpoint.rstrip('/')}/tapewell-state"
-    plan = _Plan(root, dim, ts_ingest, Closing(state, root, run, sizes, grace_seconds, block_span), emit, landed)
+    closing = Closing(state, root, run, sizes, grace_seconds, block_span, quiet_seconds)
+    plan = _Plan(root, dim, ts_ingest, closing, emit, landed)
     trigger = {"availableNow": True} if bounded else {"processingTime": interval}
     return (
         raw.writeStream.foreachBatch(plan.take)

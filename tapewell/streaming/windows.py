@@ -48,6 +48,7 @@ CLOCK_SCHEMA = T.StructType(
         T.StructField("symbol", T.StringType()),
         T.StructField("source", T.StringType()),
         T.StructField("clock", T.TimestampType()),
+        T.StructField("gone", T.BooleanType()),
     ]
 )
 SUMS_SCHEMA = T.StructType(
@@ -82,12 +83,30 @@ class Closing:
     """What one micro-batch does to the clocks and open windows that the one before left.
 
     Each batch writes its own state and output folders and reads only the state of its
-    predecessor, so a repeated batch writes the same rows over its own.
+    predecessor, so a repeated batch writes the same rows over its own. The state before
+    that goes: a batch starts only when its predecessor is committed.
+
+    With ``quiet_seconds`` a key (symbol and source) whose clock has fallen further than that
+    behind the newest clock of all, as the batch before left it, leaves the state: its open
+    windows close with what they hold. A key that is not in the state, because it left or is
+    new, is then taken to have passed every window that a key which left can have closed, so
+    no window comes out twice; rows of such windows are late.
     """
 
     def __init__(
-        self, state: str, root: str, run: str, sizes: dict[str, int], grace_seconds: int, span: int
+        self,
+        state: str,
+        root: str,
+        run: str,
+        sizes: dict[str, int],
+        grace_seconds: int,
+        span: int,
+        quiet_seconds: int | None = None,
     ) -> None:
+        self.open_seconds = max(sizes.values()) + grace_seconds
+        if quiet_seconds is not None and quiet_seconds < self.open_seconds:
+            raise ValueError(f"a symbol must be quiet for {self.open_seconds} seconds at least")
+        self.quiet_seconds = quiet_seconds
         self.state, self.root, self.run = state, root, run
         self.sizes, self.grace_seconds, self.span = sizes, grace_seconds, span
 
@@ -104,18 +123,31 @@ class Closing:
         df.write.mode("overwrite").parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    def _drop_state(self, spark: SparkSession, batch_id: int) -> None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.state}/{self.folder(batch_id)}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def _put(self, df: DataFrame, batch_id: int, name: str) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/{self.folder(batch_id)}")
 
     def take(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """Land the batch's late records and closed windows, and return the latter."""
         spark = batch.sparkSession
+        self._drop_state(spark, batch_id - 2)
         before = self._left(spark, batch_id - 1, "clocks", CLOCK_SCHEMA)
+        before = before.where(~F.coalesce("gone", F.lit(False))).drop("gone")
+        passed, gone = F.lit(None).cast("timestamp"), F.lit(False)
+        if self.quiet_seconds is not None:
+            micros = before.agg(F.max(F.unix_micros("clock"))).first()[0]
+            newest_before = F.timestamp_micros(F.lit(micros).cast("bigint"))
+            left = add_seconds(newest_before, -self.quiet_seconds)
+            passed = add_seconds(left, self.open_seconds)
+            gone = F.coalesce(F.col("clock") < left, F.lit(False))
         still_open = self._left(spark, batch_id - 1, "sums", SUMS_SCHEMA).where(~F.col("closed"))
         clocked = (
             with_closing_clock(batch.select(*_NEEDED), self.span)
             .join(before, KEY, "left")
-            .withColumn("prior_max", F.greatest("prior_max", "clock"))
+            .withColumn("prior_max", F.greatest("prior_max", F.coalesce("clock", passed)))
         )
         judged = with_missed_sizes(clocked, self.sizes, self.grace_seconds)
         judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
@@ -123,7 +155,7 @@ class Closing:
             self._put(missed_windows(judged, self.sizes), batch_id, LATE)
             newest = judged.groupBy(*KEY).agg(F.max("ts_event").alias("clock"))
             clocks = before.unionByName(newest).groupBy(*KEY).agg(F.max("clock").alias("clock"))
-            clocks = self._keep(clocks, batch_id, "clocks")
+            clocks = self._keep(clocks.withColumn("gone", gone), batch_id, "clocks")
             sums = (
                 still_open.drop("closed")
                 .unionByName(sums_in_time(judged, self.sizes).drop("newest"))
@@ -131,7 +163,8 @@ class Closing:
                 .agg(*[F.sum(name).alias(name) for name in EVENT_SUMS])
             )
             closes_at = add_seconds(F.col("window_end"), self.grace_seconds)
-            flagged = sums.join(clocks, KEY).withColumn("closed", F.col("clock") >= closes_at)
+            is_closed = F.col("gone") | (F.col("clock") >= closes_at)
+            flagged = sums.join(clocks, KEY).withColumn("closed", is_closed)
             kept = self._keep(flagged.select(*SUMS_SCHEMA.fieldNames()), batch_id, "sums")
         finally:
             judged.unpersist()
@@ -151,6 +184,7 @@ def stream_windows(
     bounded: bool = True,
     interval: str = "10 seconds",
     emit: Callable[[DataFrame, str], None] | None = None,
+    quiet_seconds: int | None = None,
 ) -> StreamingQuery:
     """Land the closed windows and late records of a stream; read them back with
     :func:`read_stream_output`.
@@ -159,12 +193,16 @@ def stream_windows(
     a micro-batch it decides what came first, and micro-batches must follow it. ``emit``
     also gets the closed windows of each micro-batch with the batch's folder name.
     ``bounded`` takes in what is there and stops; otherwise the query runs on. State is
-    kept beside the checkpoint's own files, a small folder per micro-batch.
+    kept beside the checkpoint's own files, of the last two micro-batches. It holds a clock
+    for each symbol ever seen, unless ``quiet_seconds`` lets quiet ones go; see
+    :class:`Closing`.
     """
     spark = ensure_session(events.sparkSession)
     run = run_of(spark, checkpoint)
     state = f"{checkpoint.rstrip('/')}/tapewell-state"
-    closing = Closing(state, root.rstrip("/"), run, sizes, grace_seconds, block_span)
+    closing = Closing(
+        state, root.rstrip("/"), run, sizes, grace_seconds, block_span, quiet_seconds
+    )
 
     def take(batch: DataFrame, batch_id: int) -> None:
         closed = closing.take(batch, batch_id)

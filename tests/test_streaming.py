@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tapewell.sources.lake import read_bronze
 from tapewell.sources.raw import stream_raw_messages
 from tapewell.streaming.normalizing import stream_normalize
 from tapewell.streaming.windows import (
+    Closing,
     read_stream_output,
     run_stream,
     stream_ticker_windows,
@@ -257,3 +259,60 @@ def test_message_numbers_and_positions_are_kept_apart(spark):
     assert rejects.isEmpty()
     in_order = events.where(F.col("price") == F.col("arrival_pos") + 1)
     assert in_order.where(F.col("arrival_seq") == 1 << 50).count() == 500
+
+
+class Batches:
+    """Micro-batches given to the closing of windows one by one."""
+
+    def __init__(self, spark, frame, folder, quiet=None):
+        self.spark, self.frame, self.folder, self.sent = spark, frame, folder, []
+        self.closing = Closing(f"{folder}/state", f"{folder}/out", "r", {"10s": 10}, 2, 16, quiet)
+
+    def take(self, *rows, batch=None):
+        if batch is None:
+            at_row = sum(map(len, self.sent))
+            self.sent.append([{**row, "arrival_seq": at_row + i} for i, row in enumerate(rows)])
+            batch = len(self.sent) - 1
+        self.closing.take(self.frame(self.sent[batch]), batch)
+
+    def states(self):
+        return sorted(p.name for p in Path(f"{self.folder}/state/run=r").iterdir())
+
+    def output(self):
+        windows, late = read_stream_output(self.spark, f"{self.folder}/out")
+        rows = windows.select("symbol", "window_start", "trade_count", "trade_volume").collect()
+        return sorted(map(tuple, rows)), sorted((r.symbol, r.event_ts) for r in late.collect())
+
+
+def test_state_of_old_batches_goes_and_a_repeat_is_exact(spark, frame, tmp_path):
+    run = Batches(spark, frame, tmp_path)
+    for k in range(5):
+        run.take(trade("SOL-USD", 3.0, 1.0, 8 * k), trade("SOL-USD", 3.0, 2.0, 8 * k + 5))
+        assert run.states() == [f"batch_id={i}" for i in (k - 1, k) if i >= 0]
+    before = run.output()
+    run.take(batch=4)
+    assert run.output() == before and run.states() == ["batch_id=3", "batch_id=4"]
+    whole = frame([row for batch in run.sent for row in batch])
+    expected = closed_windows_by_clock(whole, {"10s": 10}, 2)
+    columns = ("symbol", "window_start", "trade_count", "trade_volume")
+    assert before[0] == sorted(map(tuple, expected.select(*columns).collect()))
+
+
+def test_quiet_symbols_leave_the_state(spark, frame, tmp_path):
+    run = Batches(spark, frame, tmp_path, quiet=20)
+    run.take(trade("ADA-USD", 1.0, 1.0, 1), trade("SOL-USD", 3.0, 1.0, 2))
+    run.take(trade("SOL-USD", 3.0, 1.0, 50))
+    assert [r[0] for r in run.output()[0]] == ["SOL-USD"]  # judged by the clocks left before
+    run.take(trade("SOL-USD", 3.0, 1.0, 51))
+    assert ("ADA-USD", naive(0), 1, 1.0) in run.output()[0]  # closes with what it holds
+    run.take(trade("SOL-USD", 3.0, 1.0, 52))
+    clocks = spark.read.parquet(f"{tmp_path}/state/run=r/batch_id=3/clocks")
+    assert [r.symbol for r in clocks.collect()] == ["SOL-USD"]
+    # Back again: its closed window does not come out twice, new ones do.
+    run.take(trade("ADA-USD", 1.0, 7.0, 4), trade("ADA-USD", 1.0, 4.0, 53), trade("ADA-USD", 1.0, 4.0, 75))
+    windows, late = run.output()
+    ada = [w for w in windows if w[0] == "ADA-USD"]
+    assert ada == [("ADA-USD", naive(0), 1, 1.0), ("ADA-USD", naive(50), 1, 4.0)]
+    assert late == [("ADA-USD", naive(4))]
+    with pytest.raises(ValueError, match="12 seconds"):
+        Batches(spark, frame, tmp_path, quiet=11)

@@ -316,3 +316,25 @@ def test_quiet_symbols_leave_the_state(spark, frame, tmp_path):
     assert late == [("ADA-USD", naive(4))]
     with pytest.raises(ValueError, match="12 seconds"):
         Batches(spark, frame, tmp_path, quiet=11)
+
+
+def test_a_micro_batch_reads_only_the_files_of_its_ranges(spark, tmp_path):
+    """Landed files hold all arrival numbers each; a micro-batch must not scan all of them."""
+    from tapewell.sources.ranges import kept_rows, rows_in_ranges
+
+    rows = [(n, "ab"[n % 2]) for n in range(40)] + [(None, "a")]
+    spark.createDataFrame(rows, "arrival_seq long, symbol string").repartition(3).write.partitionBy("symbol").parquet(
+        str(tmp_path / "landed")
+    )
+    events = spark.read.parquet(str(tmp_path / "landed"))
+    ranges = [[0, 9], [10, 19], [20, 29], [30, 39]]
+    kept = kept_rows(spark, events, ranges, str(tmp_path / "checkpoint"))
+    batch = spark.createDataFrame([(1, 10, 19), (2, 20, 29)], "number long, low long, high long")
+    taken = rows_in_ranges(kept, batch)
+    assert taken.columns == events.columns
+    assert sorted(r.arrival_seq for r in taken.collect()) == list(range(10, 30))
+    read = {r.f for r in taken.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert read and all("_range=1" in f or "_range=2" in f for f in read)
+    # Written once per checkpoint: a second call reads the copy that is there.
+    again = kept_rows(spark, events.limit(0), ranges, str(tmp_path / "checkpoint"))
+    assert again.count() == 40

@@ -12,7 +12,7 @@ from tapewell.operators.ordering import closed_windows_by_clock, late_records
 from tapewell.operators.quality import windows_parity
 from tapewell.schemas import BRONZE_SCHEMA, RAW_SCHEMA
 from tapewell.session import streaming_session
-from tapewell.sinks.lake import record_emitter, start_bronze_sink
+from tapewell.sinks.lake import record_emitter, start_bronze_sink, write_bronze
 from tapewell.sinks.topics import parse_window_records, window_records
 from tapewell.sources.dimension import symbol_dimension
 from tapewell.sources.lake import read_bronze
@@ -22,6 +22,7 @@ from tapewell.streaming.windows import (
     Closing,
     read_stream_output,
     run_stream,
+    stream_landed_windows,
     stream_ticker_windows,
     stream_trade_windows,
     stream_windows,
@@ -338,3 +339,49 @@ def test_a_micro_batch_reads_only_the_files_of_its_ranges(spark, tmp_path):
     # Written once per checkpoint: a second call reads the copy that is there.
     again = kept_rows(spark, events.limit(0), ranges, str(tmp_path / "checkpoint"))
     assert again.count() == 40
+
+
+def test_a_small_batch_is_taken_by_one_task_a_table(spark, frame, tmp_path):
+    """Sharing out a few thousand rows costs more than the work on them, batch after batch."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    run = Batches(own, frame, tmp_path)
+    run.closing.span = 1000
+    run.closing.most_rows = 60
+    context, rows = spark.sparkContext, late_market(180)
+    for k in range(3):
+        path = f"{tmp_path}/in/{k}"
+        numbered = [{**row, "arrival_seq": 60 * k + i} for i, row in enumerate(rows[60 * k : 60 * k + 60])]
+        frame(numbered).repartition(3).write.parquet(path)
+        batch = own.read.schema(BRONZE_SCHEMA).parquet(path)
+        context.setJobGroup(f"small-{tmp_path}-{k}", "a small batch")
+        try:
+            run.closing.take(batch, k)
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup(f"small-{tmp_path}-2")]
+    stages = [tracker.getStageInfo(stage) for job in jobs for stage in job.stageIds]
+    assert len(jobs) == 4 and [stage.numTasks for stage in stages] == [1] * 4
+    df = frame([{**row, "arrival_seq": i} for i, row in enumerate(rows)])
+    windows, late = read_stream_output(spark, f"{tmp_path}/out")
+    batch = closed_windows_by_clock(df, {"10s": 10}, 2)
+    assert batch.count() > 5 and windows_parity(windows, batch).count() == 0
+    assert sorted(late.collect()) == sorted(late_records(df, {"10s": 10}, 2).collect())
+
+
+@pytest.mark.parametrize("span", [16, 1 << 16])
+def test_a_landed_table_closes_the_same_windows_in_small_and_large_batches(spark, frame, tmp_path, span):
+    """With rows that have no symbol, no time or no number, and rows that come twice."""
+    rows = [{**row, "arrival_seq": i} for i, row in enumerate(late_market(200))]
+    rows += [{**rows[i]} for i in (20, 20, 133)]
+    rows += [{**rows[40], "symbol": None}, {**rows[90], "ts_event": None}]
+    write_bronze(frame([*rows, {**rows[60], "arrival_seq": None}]), str(tmp_path / "bronze"))
+    out, sizes = str(tmp_path / "out"), {"1m": 60, "5m": 300}
+    table = read_bronze(spark.newSession(), str(tmp_path / "bronze"))
+    stream_landed_windows(table, out, str(tmp_path / "checkpoint"), sizes, 5, 45, span)
+    windows, late = read_stream_output(spark, out)
+    whole = read_bronze(spark, str(tmp_path / "bronze")).where("arrival_seq IS NOT NULL")
+    batch = closed_windows_by_clock(whole, sizes, 5)
+    assert batch.count() > 5 and windows_parity(windows, batch).count() == 0
+    assert sorted(late.collect()) == sorted(late_records(whole, sizes, 5).collect())
